@@ -97,6 +97,9 @@ QUARTERED_CATEGORY = "nursing_staffing"
 DEFAULT_QUARTER = "2024Q2"
 OTHER_CATEGORY = "other"
 
+# As-of date stamped on the overall metrics table unless the job passes one.
+DEFAULT_SNAPSHOT_DATE = "2024-07-01"
+
 # ---------------------------------------------------------------------------
 # End of fixed values
 # ---------------------------------------------------------------------------

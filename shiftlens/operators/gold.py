@@ -141,7 +141,7 @@ def build_agg_provider_monthly(silver: DataFrame) -> DataFrame:
 
 def build_agg_state_monthly(daily: DataFrame) -> DataFrame:
     """Wide state-month aggregate (18 columns) over the daily metric rows
-    (``v_daily_metrics`` shape, all days). Percentiles are exact and run over
+    (``v_daily_metrics`` shape plus ``contract_ratio``, all days). Percentiles are exact and run over
     the 2-place daily HPPD, so each group's buffer holds at most one entry per
     distinct 2-place value, however many rows the group has."""
     g = daily.groupBy("state", F.year("work_date").alias("year"), F.month("work_date").alias("month"))
@@ -157,6 +157,7 @@ def build_agg_state_monthly(daily: DataFrame) -> DataFrame:
         F.percentile("nursing_hppd", F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))).alias("q"),
         stable_round(exact_avg("rn_skill_mix_pct"), 2).alias("avg_rn_mix_pct"),
         stable_round(exact_avg("contract_staff_pct"), 2).alias("avg_contract_pct"),
+        stable_round(F.avg("contract_ratio"), 4).alias("avg_contract_ratio"),
         F.count(F.lit(1)).alias("total_records"),
     )
     return out.select(
@@ -167,7 +168,7 @@ def build_agg_state_monthly(daily: DataFrame) -> DataFrame:
         stable_round(F.col("q")[0], 2).alias("median_nursing_hppd"),
         stable_round(F.col("q")[1], 2).alias("p25_hppd"),
         stable_round(F.col("q")[2], 2).alias("p75_hppd"),
-        "avg_rn_mix_pct", "avg_contract_pct", "total_records",
+        "avg_rn_mix_pct", "avg_contract_pct", "avg_contract_ratio", "total_records",
     )
 
 

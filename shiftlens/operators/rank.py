@@ -32,37 +32,30 @@ def rank_table(df: DataFrame, value: str, partition_by: list[str] | tuple = (),
     """(partition..., value, rank_desc, rank_asc, partition_rows) per distinct value."""
     parts = list(partition_by)
     v = F.col(value)
-    counts = df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("_n"))
-
-    nonnull = counts.where(v.isNotNull()).withColumn("_b", F.floor(v / F.lit(bucket_width)))
+    # Null values form their own bucket, which sorts after every other bucket.
+    counts = (df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_b", F.floor(v / F.lit(bucket_width))))
     wpart = Window.partitionBy(*parts)
     before = Window.unboundedPreceding, -1
-    buckets = nonnull.groupBy(*parts, "_b").agg(F.sum("_n").alias("_nb"))
-    buckets = buckets.select(
+    nb = F.col("_nb")
+    buckets = counts.groupBy(*parts, "_b").agg(F.sum("_n").alias("_nb")).select(
         *parts, "_b",
-        F.coalesce(F.sum("_nb").over(wpart.orderBy(F.col("_b").desc()).rowsBetween(*before)),
-                   F.lit(0)).alias("_gt_bucket"))
-    in_bucket = nonnull.select(
+        F.coalesce(F.sum(nb).over(wpart.orderBy(F.col("_b").desc_nulls_last()).rowsBetween(*before)),
+                   F.lit(0)).alias("_gt_bucket"),
+        F.sum(nb).over(wpart).alias("_rows"),
+        F.coalesce(F.sum(F.when(F.col("_b").isNotNull(), nb)).over(wpart), F.lit(0)).alias("_nonnull"))
+    in_bucket = counts.select(
         *parts, value, "_b", "_n",
-        F.coalesce(F.sum("_n").over(Window.partitionBy(*parts, "_b").orderBy(v.desc()).rowsBetween(*before)),
-                   F.lit(0)).alias("_gt_in_bucket"))
+        F.coalesce(F.sum("_n").over(Window.partitionBy(*parts, "_b").orderBy(v.desc())
+                                    .rowsBetween(*before)), F.lit(0)).alias("_gt_in_bucket"))
     ranked = _join_null_safe(in_bucket, buckets, parts + ["_b"])
-
-    totals = counts.groupBy(*parts).agg(
-        F.sum("_n").alias("_rows"),
-        F.sum(F.when(v.isNotNull(), F.col("_n")).otherwise(0)).alias("_nonnull"))
-    nulls = counts.where(v.isNull()).select(*parts, value, "_n",
-                                            F.lit(None).cast("bigint").alias("_gt"))
-    per_value = ranked.select(*parts, value, "_n",
-                              (F.col("_gt_bucket") + F.col("_gt_in_bucket")).alias("_gt"))
-    allv = per_value.unionByName(nulls)
-    allv = _join_null_safe(allv, totals, parts)
     nn = F.col("_nonnull")
-    gt = F.col("_gt")
-    return allv.select(
+    gt = F.col("_gt_bucket") + F.col("_gt_in_bucket")   # rows strictly greater (nulls: all non-null)
+    is_null = v.isNull()
+    return ranked.select(
         *parts, value,
-        F.when(gt.isNull(), nn + 1).otherwise(gt + 1).cast("bigint").alias("rank_desc"),
-        F.when(gt.isNull(), nn + 1).otherwise(nn - gt - F.col("_n") + 1).cast("bigint").alias("rank_asc"),
+        (gt + 1).cast("bigint").alias("rank_desc"),
+        F.when(is_null, nn + 1).otherwise(nn - gt - F.col("_n") + 1).cast("bigint").alias("rank_asc"),
         F.col("_rows").cast("bigint").alias("partition_rows"),
     )
 
@@ -79,25 +72,39 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return la.join(ra, cond, "inner").select("_l.*", *rest)
 
 
+def _rank_outputs(spec: dict) -> list:
+    n1 = (F.col("partition_rows") - 1).cast("double")
+    outs = []
+    if spec.get("rank_desc"):
+        outs.append(F.col("rank_desc").alias(spec["rank_desc"]))
+    if spec.get("rank_asc"):
+        outs.append(F.col("rank_asc").alias(spec["rank_asc"]))
+    for key, src in (("percent_rank_asc", "rank_asc"), ("percent_rank_desc", "rank_desc")):
+        if spec.get(key):
+            outs.append(F.when(F.col("partition_rows") > 1, (F.col(src) - 1).cast("double") / n1)
+                        .otherwise(F.lit(0.0)).alias(spec[key]))
+    return outs
+
+
+def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0) -> DataFrame:
+    """Add several rankings at once. Each spec: ``value``, optional ``partition_by``
+    and the output names ``rank_desc`` / ``rank_asc`` / ``percent_rank_asc`` /
+    ``percent_rank_desc``. Every rank table is computed from ``df`` itself and
+    joined back once, so the plan grows linearly with the number of rankings."""
+    out = df
+    for spec in specs:
+        parts = list(spec.get("partition_by", ()))
+        keys = parts + [spec["value"]]
+        rt = rank_table(df, spec["value"], parts, bucket_width).select(*keys, *_rank_outputs(spec))
+        out = _join_null_safe(out, rt, keys)
+    return out
+
+
 def with_ranks(df: DataFrame, value: str, partition_by: list[str] | tuple = (), *,
                rank_desc: str | None = None, rank_asc: str | None = None,
                percent_rank_asc: str | None = None, percent_rank_desc: str | None = None,
                bucket_width: float = 1.0) -> DataFrame:
     """Add the requested rank columns of ``value`` within ``partition_by``."""
-    parts = list(partition_by)
-    rt = rank_table(df, value, parts, bucket_width)
-    keys = parts + [value]
-    outs = []
-    n1 = (F.col("partition_rows") - 1).cast("double")
-    if rank_desc:
-        outs.append(F.col("rank_desc").alias(rank_desc))
-    if rank_asc:
-        outs.append(F.col("rank_asc").alias(rank_asc))
-    if percent_rank_asc:
-        outs.append(F.when(F.col("partition_rows") > 1, (F.col("rank_asc") - 1).cast("double") / n1)
-                    .otherwise(F.lit(0.0)).alias(percent_rank_asc))
-    if percent_rank_desc:
-        outs.append(F.when(F.col("partition_rows") > 1, (F.col("rank_desc") - 1).cast("double") / n1)
-                    .otherwise(F.lit(0.0)).alias(percent_rank_desc))
-    rt = rt.select(*keys, *outs)
-    return _join_null_safe(df, rt, keys)
+    return add_ranks(df, [dict(value=value, partition_by=partition_by, rank_desc=rank_desc,
+                               rank_asc=rank_asc, percent_rank_asc=percent_rank_asc,
+                               percent_rank_desc=percent_rank_desc)], bucket_width)

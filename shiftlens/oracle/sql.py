@@ -207,10 +207,413 @@ SELECT count(DISTINCT provider_id) AS total_providers,
 FROM daily_c
 """
 
+
+_MONTH_TS = "CAST(date_trunc('month', work_date) AS TIMESTAMP)"
+_YM = "strftime(work_date, '%Y-%m')"
+_IS = lambda cat: f"{_CAT} = '{cat}'"
+
+CTES["v_provider_monthly"] = f"""
+SELECT provider_id, state, {_MONTH_TS} AS month_date, {_YM} AS year_month,
+       count(*) AS days_reported,
+       {R(IAVG("patient_census"), 1)} AS avg_daily_census,
+       {ISUM("patient_census")} AS total_patient_days,
+       {XSUM("total_nursing_hours")} AS total_nursing_hours,
+       {XSUM("hrs_rn")} AS total_rn_hours,
+       {XSUM("hrs_lpn")} AS total_lpn_hours,
+       {XSUM("hrs_cna")} AS total_cna_hours,
+       {R(XAVG("nursing_hppd"), 2)} AS avg_hppd,
+       {R("min(nursing_hppd)", 2)} AS min_hppd,
+       {R("max(nursing_hppd)", 2)} AS max_hppd,
+       {R("stddev_samp(nursing_hppd)", 2)} AS stddev_hppd,
+       {R(XAVG("rn_skill_mix_pct"), 2)} AS avg_rn_mix_pct,
+       {R(XAVG("contract_staff_pct"), 2)} AS avg_contract_pct,
+       CAST(count_if({_IS(C.CATEGORY_CRITICAL)}) AS BIGINT) AS critical_days,
+       CAST(count_if({_IS(C.CATEGORY_MEETS)}) AS BIGINT) AS benchmark_met_days
+FROM daily_c
+GROUP BY provider_id, state, {_MONTH_TS}, {_YM}
+"""
+
+CTES["v_state_monthly"] = f"""
+SELECT state, {_MONTH_TS} AS month_date, {_YM} AS year_month,
+       count(DISTINCT provider_id) AS provider_count,
+       {ISUM("patient_census")} AS total_patient_days,
+       {R(IAVG("patient_census"), 1)} AS avg_daily_census,
+       {XSUM("total_nursing_hours")} AS total_nursing_hours,
+       {XSUM("hrs_rn")} AS total_rn_hours,
+       {XSUM("hrs_lpn")} AS total_lpn_hours,
+       {XSUM("hrs_cna")} AS total_cna_hours,
+       {R(XAVG("nursing_hppd"), 2)} AS avg_hppd,
+       {R("quantile_cont(nursing_hppd, 0.5)", 2)} AS median_hppd,
+       {R("quantile_cont(nursing_hppd, 0.25)", 2)} AS p25_hppd,
+       {R("quantile_cont(nursing_hppd, 0.75)", 2)} AS p75_hppd,
+       {R(XAVG("rn_skill_mix_pct"), 2)} AS avg_rn_mix_pct,
+       {R(XAVG("contract_staff_pct"), 2)} AS avg_contract_pct,
+       {R(PCT(_IS(C.CATEGORY_MEETS)), 1)} AS pct_meeting_benchmark,
+       {R(PCT(_IS(C.CATEGORY_CRITICAL)), 1)} AS pct_critical
+FROM daily_c
+GROUP BY state, {_MONTH_TS}, {_YM}
+"""
+
+_RANKED = ("provider_id, state, days_reported, avg_daily_census, avg_hppd, avg_rn_mix_pct, "
+           "avg_contract_pct, critical_days")
+
+CTES["v_provider_rankings"] = f"""
+SELECT {_RANKED},
+       CAST(RANK() OVER (PARTITION BY state ORDER BY avg_hppd DESC NULLS LAST) AS BIGINT) AS state_rank_hppd,
+       CAST(RANK() OVER (PARTITION BY state ORDER BY avg_rn_mix_pct DESC NULLS LAST) AS BIGINT) AS state_rank_rn_mix,
+       CAST(RANK() OVER (PARTITION BY state ORDER BY avg_contract_pct ASC NULLS LAST) AS BIGINT) AS state_rank_stability,
+       CAST(RANK() OVER (ORDER BY avg_hppd DESC NULLS LAST) AS BIGINT) AS national_rank_hppd,
+       {R("PERCENT_RANK() OVER (ORDER BY avg_hppd ASC NULLS LAST) * " + D(100), 1)} AS hppd_percentile
+FROM v_provider_monthly
+WHERE days_reported >= {C.MIN_DAYS_RANKED}
+"""
+
+_LEVEL = f"""CASE WHEN avg_hppd < {D(C.ALERT_HIGH_HPPD)} AND avg_daily_census > {C.ALERT_MIN_CENSUS} THEN '{C.ALERT_LEVEL_HIGH}'
+            WHEN avg_hppd < {D(C.ALERT_MEDIUM_HPPD)} AND avg_daily_census > {C.ALERT_MIN_CENSUS} THEN '{C.ALERT_LEVEL_BELOW_MIN}'
+            WHEN avg_contract_pct > {C.ALERT_CONTRACT_HIGH} THEN '{C.ALERT_LEVEL_CONTRACT}'
+            WHEN critical_days > {C.ALERT_CRITICAL_DAYS} THEN '{C.ALERT_LEVEL_FREQUENT}'
+            ELSE '{C.ALERT_LEVEL_LOW}' END"""
+
+CTES["v_staffing_alerts"] = f"""
+SELECT provider_id, state, year_month, avg_daily_census, avg_hppd, avg_rn_mix_pct, avg_contract_pct,
+       critical_days, days_reported,
+       {_LEVEL} AS alert_level,
+       CASE WHEN avg_hppd < {D(C.ALERT_HIGH_HPPD)} THEN '{C.HPPD_ALERT_BELOW_25}'
+            WHEN avg_hppd < {D(C.ALERT_MEDIUM_HPPD)} THEN '{C.HPPD_ALERT_BELOW_30}' ELSE '' END AS hppd_alert,
+       CASE WHEN avg_contract_pct > {C.ALERT_CONTRACT_HIGH} THEN '{C.CONTRACT_ALERT_50}'
+            WHEN avg_contract_pct > {C.ALERT_CONTRACT_WATCH} THEN '{C.CONTRACT_ALERT_30}' ELSE '' END AS contract_alert,
+       split_part({_LEVEL}, ' - ', 1) AS alert_severity
+FROM v_provider_monthly
+WHERE avg_hppd < {D(C.ALERT_CANDIDATE_HPPD)} OR avg_contract_pct > {C.ALERT_CANDIDATE_CONTRACT}
+   OR critical_days > {C.ALERT_CANDIDATE_CRITICAL_DAYS}
+"""
+
+_DAYNAME = "CASE " + " ".join(f"WHEN dow = {i} THEN '{n}'" for i, n in enumerate(C.DAY_NAMES)) + " END"
+
+CTES["v_day_of_week_analysis"] = f"""
+SELECT state, dow AS day_of_week, {_DAYNAME} AS day_name,
+       CASE WHEN dow IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+       count(*) AS record_count,
+       {R(XAVG("nursing_hppd"), 2)} AS avg_hppd,
+       {R(XAVG("rn_skill_mix_pct"), 2)} AS avg_rn_mix_pct,
+       {R(XAVG("contract_staff_pct"), 2)} AS avg_contract_pct
+FROM (SELECT *, CAST(dayofweek(work_date) AS BIGINT) AS dow FROM daily_c) x
+GROUP BY state, dow
+"""
+
+CTES["state_monthly_weighted"] = f"""
+SELECT state, {_YM} AS year_month,
+       {XSUM("total_nursing_hours")} AS total_nursing_hours,
+       {ISUM("patient_census")} AS total_patient_days,
+       {R(XSUM("total_nursing_hours") + " / " + ISUM("patient_census"), 2)} AS weighted_hppd,
+       {R(XAVG("nursing_hppd"), 2)} AS avg_hppd
+FROM daily_c GROUP BY state, {_YM}
+"""
+
+CTES["rn_benchmark"] = f"""
+SELECT state, count(*) AS record_count,
+       {R(XAVG("rn_hppd"), 2)} AS avg_rn_hppd,
+       {R(PCT(f"rn_hppd >= {D(C.RN_HPPD_BENCHMARK)}"), 1)} AS pct_meeting_rn_benchmark
+FROM daily_c GROUP BY state
+"""
+
+
+def _bands_sql(value: str, lo: float, hi: float, labels: list[str]) -> str:
+    label = (f"CASE WHEN {value} < {lo} THEN '{labels[0]}' WHEN {value} <= {hi} THEN '{labels[1]}' "
+             f"ELSE '{labels[2]}' END")
+    order = f"CAST(CASE WHEN {value} < {lo} THEN 1 WHEN {value} <= {hi} THEN 2 ELSE 3 END AS BIGINT)"
+    return f"""
+SELECT band, band_order, record_count,
+       {R(D(100) + " * record_count / sum(record_count) OVER ()", 1)} AS pct_records
+FROM (SELECT {label} AS band, {order} AS band_order, count(*) AS record_count
+      FROM daily_c GROUP BY 1, 2) b
+"""
+
+
+CTES["contract_bands"] = _bands_sql("contract_staff_pct", C.CONTRACT_TYPICAL_MAX, C.CONTRACT_HIGH_MIN,
+                                    ["Typical (<15%)", "Elevated (15-30%)", "High Reliance (>30%)"])
+CTES["skill_mix_bands"] = _bands_sql("rn_skill_mix_pct", C.RN_MIX_TYPICAL_MIN, C.RN_MIX_TYPICAL_MAX,
+                                     ["Below Typical (<15%)", "Typical (15-25%)", "Above Typical (>25%)"])
+
+# -- gold tables ---------------------------------------------------------------
+
+_INT = lambda e: f"CAST({e} AS INTEGER)"
+
+CTES["dim_date"] = f"""
+SELECT {DATE_KEY.format(d='d')} AS date_key, d AS full_date,
+       {_INT("year(d)")} AS year, {_INT("quarter(d)")} AS quarter, {_INT("month(d)")} AS month,
+       {_INT("day(d)")} AS day, {_INT("weekofyear(d)")} AS week_of_year,
+       {_INT("dayofweek(d) + 1")} AS day_of_week, dayname(d) AS day_name,
+       dayofweek(d) IN (0, 6) AS is_weekend, strftime(d, '%Y-%m') AS year_month,
+       CAST(year(d) AS VARCHAR) || 'Q' || CAST(quarter(d) AS VARCHAR) AS year_quarter
+FROM (SELECT DISTINCT work_date AS d FROM silver WHERE work_date IS NOT NULL) x
+"""
+
+CTES["dim_provider"] = """
+SELECT DISTINCT provnum AS provider_id, provname AS provider_name, city, state, county_name, county_fips
+FROM silver
+"""
+
+CTES["dim_provider_current"] = """
+SELECT provnum AS provider_id,
+       arg_max(provname, work_date) AS provider_name, arg_max(city, work_date) AS city,
+       arg_max(state, work_date) AS state, arg_max(county_name, work_date) AS county_name,
+       arg_max(county_fips, work_date) AS county_fips
+FROM silver GROUP BY provnum
+"""
+
+CTES["dim_state"] = f"""
+SELECT ROW_NUMBER() OVER (ORDER BY state) AS state_sk, *
+FROM (SELECT state, count(DISTINCT provnum) AS provider_count, count(DISTINCT county_fips) AS county_count,
+             count(DISTINCT city) AS city_count, {ISUM("mdscensus")} AS total_patient_days,
+             {R("avg(nursing_hppd)", 2)} AS avg_hppd
+      FROM silver GROUP BY state) s
+"""
+
+CTES["agg_state_monthly_etl"] = f"""
+SELECT state, {_INT("year(work_date)")} AS year, {_INT("month(work_date)")} AS month,
+       count(DISTINCT provnum) AS provider_count,
+       {R("avg(nursing_hppd)", 2)} AS avg_hppd,
+       {R(IAVG("mdscensus"), 1)} AS avg_census,
+       count(*) AS record_count
+FROM silver GROUP BY 1, 2, 3
+"""
+
+CTES["agg_provider_monthly"] = f"""
+SELECT provnum AS provider_id, arg_max(provname, work_date) AS provider_name, state,
+       {_INT("year(work_date)")} AS year, {_INT("month(work_date)")} AS month,
+       strftime(work_date, '%Y-%m') AS year_month,
+       {R(IAVG("mdscensus"), 1)} AS avg_daily_census,
+       {ISUM("mdscensus")} AS total_patient_days,
+       {XSUM("COALESCE(hrs_rn, 0.0)")} AS total_rn_hours,
+       {XSUM("COALESCE(hrs_lpn, 0.0)")} AS total_lpn_hours,
+       {XSUM("COALESCE(hrs_cna, 0.0)")} AS total_cna_hours,
+       {XSUM("total_nursing_hours")} AS total_nursing_hours,
+       {XSUM("total_employed_hours")} AS total_employed_hours,
+       {XSUM("total_contract_hours")} AS total_contract_hours,
+       {R("avg(nursing_hppd)", 2)} AS avg_nursing_hppd,
+       {R("min(nursing_hppd)", 2)} AS min_nursing_hppd,
+       {R("max(nursing_hppd)", 2)} AS max_nursing_hppd,
+       {R("avg(contract_ratio)", 4)} AS avg_contract_ratio,
+       count(*) AS days_reported
+FROM silver GROUP BY provnum, state, year(work_date), month(work_date), strftime(work_date, '%Y-%m')
+"""
+
+CTES["daily_x"] = "SELECT d.*, f.contract_ratio FROM v_daily_metrics d JOIN facts f USING (provider_id, work_date)"
+
+CTES["agg_state_monthly"] = f"""
+SELECT state, {_INT("year(work_date)")} AS year, {_INT("month(work_date)")} AS month,
+       strftime(work_date, '%Y-%m') AS year_month,
+       count(DISTINCT provider_id) AS provider_count,
+       {ISUM("patient_census")} AS total_patient_days,
+       {R(IAVG("patient_census"), 1)} AS avg_daily_census,
+       {XSUM("total_nursing_hours")} AS total_nursing_hours,
+       {XSUM("hrs_rn")} AS total_rn_hours,
+       {XSUM("hrs_lpn")} AS total_lpn_hours,
+       {XSUM("hrs_cna")} AS total_cna_hours,
+       {R(XAVG("nursing_hppd"), 2)} AS avg_nursing_hppd,
+       {R("quantile_cont(nursing_hppd, 0.5)", 2)} AS median_nursing_hppd,
+       {R("quantile_cont(nursing_hppd, 0.25)", 2)} AS p25_hppd,
+       {R("quantile_cont(nursing_hppd, 0.75)", 2)} AS p75_hppd,
+       {R(XAVG("rn_skill_mix_pct"), 2)} AS avg_rn_mix_pct,
+       {R(XAVG("contract_staff_pct"), 2)} AS avg_contract_pct,
+       {R("avg(contract_ratio)", 4)} AS avg_contract_ratio,
+       count(*) AS total_records
+FROM daily_x GROUP BY 1, 2, 3, 4
+"""
+
+CTES["agg_overall_metrics"] = f"""
+SELECT count(DISTINCT provnum) AS total_providers, count(DISTINCT state) AS total_states,
+       {ISUM("mdscensus")} AS total_patient_days,
+       {XSUM("total_nursing_hours")} AS total_nursing_hours,
+       {R("avg(nursing_hppd)", 2)} AS overall_avg_hppd,
+       {R(XSUM("total_contract_hours") + " / " + XSUM("total_nursing_hours"), 4)} AS overall_contract_ratio,
+       min(work_date) AS data_start_date, max(work_date) AS data_end_date,
+       CAST(date_diff('day', min(work_date), max(work_date)) + 1 AS BIGINT) AS total_days,
+       count(*) AS total_records,
+       DATE '{C.DEFAULT_SNAPSHOT_DATE}' AS snapshot_date
+FROM silver
+"""
+
+# -- warehouse / dashboard -------------------------------------------------------
+
+CTES["v_daily_staffing"] = """
+SELECT provider_id, date_key, state, cy_qtr, work_date, patient_census, hrs_rn, hrs_lpn, hrs_cna,
+       total_nursing_hours, nursing_hppd, contract_ratio, total_employed_hours, total_contract_hours
+FROM facts
+"""
+
+CTES["mv_staffing_summary"] = f"""
+SELECT f.state, d.year, d.month, d.year_month,
+       count(DISTINCT f.provider_id) AS provider_count,
+       {ISUM("f.patient_census")} AS total_patient_days,
+       {IAVG("f.patient_census")} AS avg_daily_census,
+       {XSUM("f.total_nursing_hours")} AS total_nursing_hours,
+       {R("avg(f.nursing_hppd)", 6)} AS avg_nursing_hppd,
+       {R("avg(f.contract_ratio)", 6)} AS avg_contract_ratio,
+       {XSUM("f.hrs_rn")} AS total_rn_hours,
+       {XSUM("f.hrs_lpn")} AS total_lpn_hours,
+       {XSUM("f.hrs_cna")} AS total_cna_hours,
+       count(*) AS record_count
+FROM facts f JOIN dim_date d ON f.date_key = d.date_key
+GROUP BY f.state, d.year, d.month, d.year_month
+"""
+
+CTES["provider_join"] = """
+SELECT p.provider_id, p.provider_name, p.city, p.state, pm.year_month, pm.avg_nursing_hppd,
+       pm.avg_daily_census, pm.total_nursing_hours, pm.avg_contract_ratio, pm.days_reported
+FROM dim_provider p JOIN agg_provider_monthly pm ON p.provider_id = pm.provider_id
+"""
+
+CTES["mv_provider_rankings"] = """
+SELECT *,
+       CAST(RANK() OVER (PARTITION BY state, year_month ORDER BY avg_nursing_hppd DESC NULLS LAST) AS BIGINT) AS state_rank_hppd,
+       CAST(RANK() OVER (PARTITION BY year_month ORDER BY avg_nursing_hppd DESC NULLS LAST) AS BIGINT) AS national_rank_hppd
+FROM provider_join
+"""
+
+CTES["alerts_top"] = """
+SELECT * FROM v_staffing_alerts
+ORDER BY CASE alert_severity WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END,
+         avg_hppd ASC NULLS LAST, provider_id, year_month, state
+LIMIT 100
+"""
+
+CTES["provider_details"] = """
+SELECT * FROM v_provider_monthly
+ORDER BY avg_hppd DESC NULLS LAST, provider_id, year_month, state LIMIT 200
+"""
+
+CTES["provider_details_state"] = """
+SELECT * FROM v_provider_monthly WHERE state = (SELECT min(state) FROM v_provider_monthly)
+ORDER BY avg_hppd DESC NULLS LAST, provider_id, year_month, state LIMIT 200
+"""
+
+CTES["v_state_monthly_first5"] = """
+SELECT * FROM v_state_monthly
+WHERE state IN (SELECT DISTINCT state FROM v_state_monthly ORDER BY state LIMIT 5)
+"""
+
+_HBIN = "CASE " + " ".join(
+    f"WHEN nursing_hppd < {D(e)} THEN '{C.HPPD_BIN_LABELS[i]}'" for i, e in enumerate(C.HPPD_BIN_EDGES)
+) + f" ELSE '{C.HPPD_BIN_LABELS[-1]}' END"
+_HORD = "CAST(CASE " + " ".join(
+    f"WHEN nursing_hppd < {D(e)} THEN {i + 1}" for i, e in enumerate(C.HPPD_BIN_EDGES)
+) + f" ELSE {len(C.HPPD_BIN_LABELS)} END AS BIGINT)"
+
 # Bodies of registered queries (each may reference any CTE above).
 QUERIES: dict[str, str] = {
     "v_daily_metrics": "SELECT * FROM v_daily_metrics",
     "v_kpi_summary": "SELECT * FROM v_kpi_summary",
+    "v_provider_monthly": "SELECT * FROM v_provider_monthly",
+    "v_state_monthly": "SELECT * FROM v_state_monthly",
+    "v_provider_rankings": "SELECT * FROM v_provider_rankings",
+    "v_staffing_alerts": "SELECT * FROM v_staffing_alerts",
+    "v_day_of_week_analysis": "SELECT * FROM v_day_of_week_analysis",
+    "state_monthly_weighted": "SELECT * FROM state_monthly_weighted",
+    "rn_benchmark": "SELECT * FROM rn_benchmark",
+    "contract_bands": "SELECT * FROM contract_bands",
+    "skill_mix_bands": "SELECT * FROM skill_mix_bands",
+    "silver_typed": "SELECT provnum, provname, city, state, county_name, county_fips, cy_qtr, work_date, "
+                    "mdscensus, " + ", ".join(C.hour_columns()) + " FROM silver",
+    "silver_metrics": "SELECT provnum, work_date, total_nursing_hours, nursing_hppd FROM silver",
+    "silver_contract": "SELECT provnum, work_date, total_employed_hours, total_contract_hours, contract_ratio FROM silver",
+    "silver_calendar": "SELECT provnum, work_date, work_year, work_month, work_day_of_week FROM silver",
+    "fact_daily_staffing": "SELECT * FROM facts",
+    "dim_date": "SELECT * FROM dim_date",
+    "dim_provider": "SELECT * FROM dim_provider",
+    "dim_provider_current": "SELECT * FROM dim_provider_current",
+    "dim_state": "SELECT * FROM dim_state",
+    "agg_state_monthly_etl": "SELECT * FROM agg_state_monthly_etl",
+    "agg_provider_monthly": "SELECT * FROM agg_provider_monthly",
+    "agg_state_monthly": "SELECT * FROM agg_state_monthly",
+    "agg_overall_metrics": "SELECT * FROM agg_overall_metrics",
+    "v_daily_staffing": "SELECT * FROM v_daily_staffing",
+    "v_provider": "SELECT * FROM dim_provider",
+    "v_provider_monthly_agg": "SELECT provider_id, provider_name, state, year, month, year_month, avg_daily_census, "
+                              "total_nursing_hours, avg_nursing_hppd, avg_contract_ratio, days_reported "
+                              "FROM agg_provider_monthly",
+    "v_state_monthly_agg": "SELECT state, year, month, year_month, provider_count, total_patient_days, "
+                           "total_nursing_hours, avg_nursing_hppd, median_nursing_hppd, avg_contract_ratio, "
+                           "total_records FROM agg_state_monthly",
+    "mv_staffing_summary": "SELECT * FROM mv_staffing_summary",
+    "mv_provider_rankings": "SELECT * FROM mv_provider_rankings",
+    "kpi_overall": f"""SELECT count(DISTINCT provider_id) AS total_providers, count(DISTINCT state) AS total_states,
+       {ISUM("patient_census")} AS total_patient_days, {XSUM("total_nursing_hours")} AS total_nursing_hours,
+       {R("avg(nursing_hppd)", 6)} AS avg_hppd, {R("avg(contract_ratio) * " + D(100), 6)} AS avg_contract_pct
+FROM v_daily_staffing""",
+    "state_comparison": f"""SELECT state, count(DISTINCT provider_id) AS providers,
+       {R("avg(nursing_hppd)", 6)} AS avg_hppd, {R("avg(contract_ratio) * " + D(100), 6)} AS contract_pct,
+       {XSUM("total_nursing_hours")} AS total_hours
+FROM v_daily_staffing GROUP BY state""",
+    "monthly_trend": f"""SELECT year_month, {XSUM("total_nursing_hours")} AS total_hours,
+       {R("avg(avg_nursing_hppd)", 6)} AS avg_hppd, {ISUM("provider_count")} AS providers_reporting
+FROM mv_staffing_summary GROUP BY year_month""",
+    "low_hppd_facilities": f"""SELECT provider_id, provider_name, city, state, avg_nursing_hppd, avg_daily_census, year_month
+FROM provider_join WHERE avg_nursing_hppd < {D(C.LOW_HPPD_MAX)} AND avg_daily_census > {C.LOW_HPPD_MIN_CENSUS}
+ORDER BY avg_nursing_hppd ASC NULLS LAST, provider_id, year_month, provider_name, city, state LIMIT 100""",
+    "contract_trend": f"""SELECT state, year_month, employed_hours, contract_hours,
+       contract_hours / NULLIF(total, 0.0) * {D(100)} AS contract_pct
+FROM (SELECT f.state, d.year_month, {XSUM("f.total_employed_hours")} AS employed_hours,
+             {XSUM("f.total_contract_hours")} AS contract_hours, {XSUM("f.total_nursing_hours")} AS total
+      FROM facts f JOIN dim_date d ON f.date_key = d.date_key GROUP BY f.state, d.year_month) x""",
+    "alert_level_counts": "SELECT alert_level, count(*) AS alert_count FROM v_staffing_alerts GROUP BY alert_level",
+    "kpi_cards": f"""SELECT total_providers, total_states, total_records, overall_avg_hppd,
+       {R("overall_avg_hppd - " + D(C.HPPD_BENCHMARK), 2)} AS hppd_vs_benchmark,
+       {R("(" + D(C.HPPD_BENCHMARK) + " - overall_avg_hppd) / " + D(C.HPPD_BENCHMARK) + " * " + D(100), 1)} AS benchmark_gap_pct,
+       overall_rn_mix_pct, pct_meeting_benchmark
+FROM v_kpi_summary""",
+    "state_monthly_ordered": "SELECT * FROM v_state_monthly ORDER BY state, year_month",
+    "state_summary": f"""SELECT state, {ISUM("provider_count")} AS provider_count,
+       {R(XAVG("avg_hppd"), 2)} AS avg_hppd, {R(XAVG("avg_rn_mix_pct"), 2)} AS avg_rn_mix_pct,
+       {R(XAVG("pct_meeting_benchmark"), 1)} AS pct_meeting_benchmark,
+       {R(XAVG("pct_critical"), 1)} AS pct_critical, {XSUM("total_nursing_hours")} AS total_nursing_hours
+FROM v_state_monthly GROUP BY state""",
+    "state_list": "SELECT DISTINCT state FROM v_state_monthly",
+    "provider_details": "SELECT * FROM provider_details",
+    "provider_details_state": "SELECT * FROM provider_details_state",
+    "provider_page_stats": f"""SELECT count(*) AS providers, {R(XAVG("avg_hppd"), 2)} AS avg_hppd,
+       {R(XAVG("avg_daily_census"), 1)} AS avg_census,
+       {R(PCT("avg_hppd >= " + D(C.HPPD_BENCHMARK)), 1)} AS pct_meeting_benchmark
+FROM provider_details""",
+    "provider_scatter": "SELECT provider_id, state, year_month, avg_daily_census, avg_hppd, avg_rn_mix_pct, "
+                        "days_reported FROM provider_details",
+    "alerts_top": "SELECT * FROM alerts_top",
+    "alert_counts": "SELECT CAST(count_if(alert_severity = 'HIGH') AS BIGINT) AS high_alerts, "
+                    "CAST(count_if(alert_severity = 'MEDIUM') AS BIGINT) AS medium_alerts, "
+                    "CAST(count_if(alert_severity = 'LOW') AS BIGINT) AS low_alerts FROM alerts_top",
+    "alerts_filtered": "SELECT * FROM alerts_top WHERE alert_severity IN ('HIGH', 'MEDIUM')",
+    "daily_trends": f"""SELECT work_date, count(DISTINCT provider_id) AS providers_reporting,
+       {R(XAVG("nursing_hppd"), 2)} AS avg_hppd, {R(XAVG("rn_skill_mix_pct"), 2)} AS avg_rn_mix_pct,
+       {ISUM("patient_census")} AS total_census, {XSUM("total_nursing_hours")} AS total_hours
+FROM daily_c GROUP BY work_date""",
+    "hppd_distribution": f"""SELECT {_HBIN} AS hppd_range, {_HORD} AS bin_order, count(*) AS record_count
+FROM daily_c WHERE nursing_hppd IS NOT NULL GROUP BY 1, 2""",
+    "staffing_mix": f"""SELECT rn_hours, lpn_hours, cna_hours,
+       {R("rn_hours / (rn_hours + lpn_hours + cna_hours) * " + D(100), 1)} AS rn_share_pct,
+       {R("lpn_hours / (rn_hours + lpn_hours + cna_hours) * " + D(100), 1)} AS lpn_share_pct,
+       {R("cna_hours / (rn_hours + lpn_hours + cna_hours) * " + D(100), 1)} AS cna_share_pct
+FROM (SELECT {XSUM("hrs_rn")} AS rn_hours, {XSUM("hrs_lpn")} AS lpn_hours, {XSUM("hrs_cna")} AS cna_hours
+      FROM daily_c) x""",
+    "state_trend_selected": "SELECT * FROM v_state_monthly_first5",
+    "rankings_top10": """SELECT * FROM v_provider_rankings
+ORDER BY national_rank_hppd, provider_id, state, days_reported, avg_daily_census, avg_rn_mix_pct,
+         avg_contract_pct, critical_days LIMIT 10""",
+    "global_rank": """SELECT provider_id, state, year_month, avg_hppd,
+       CAST(RANK() OVER (ORDER BY avg_hppd DESC NULLS LAST) AS BIGINT) AS national_rank,
+       PERCENT_RANK() OVER (ORDER BY avg_hppd ASC NULLS LAST) AS percent_rank
+FROM v_provider_monthly""",
+    "table_row_counts": """SELECT 'fact_daily_staffing' AS table_name, count(*) AS row_count FROM facts
+UNION ALL SELECT 'dim_provider', count(*) FROM dim_provider
+UNION ALL SELECT 'dim_date', count(*) FROM dim_date
+UNION ALL SELECT 'agg_provider_monthly', count(*) FROM agg_provider_monthly
+UNION ALL SELECT 'agg_state_monthly', count(*) FROM agg_state_monthly""",
+    "fk_violations": """SELECT 'fact.date_key -> dim_date' AS check_name,
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = f.date_key)) AS violations FROM facts f
+UNION ALL SELECT 'fact.provider_id -> dim_provider',
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dim_provider p WHERE p.provider_id = f.provider_id)) FROM facts f
+UNION ALL SELECT 'fact.state -> dim_state',
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dim_state s WHERE s.state = f.state)) FROM facts f""",
 }
 
 

@@ -16,14 +16,15 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions.rounding import exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
 from ..functions import staffing as S
-from ..operators.rank import with_ranks
+from ..operators.rank import add_ranks
 
 DAILY_HOURS = ["hrs_rn", "hrs_lpn", "hrs_cna", "hrs_rn_emp", "hrs_lpn_emp", "hrs_cna_emp",
                "hrs_rn_ctr", "hrs_lpn_ctr", "hrs_cna_ctr"]
 
 
-def v_daily_metrics(fact: DataFrame) -> DataFrame:
-    """V1: null-safe hours, HPPD, RN HPPD, contract/RN/CNA shares and staffing band."""
+def v_daily_metrics(fact: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """V1: null-safe hours, HPPD, RN HPPD, contract/RN/CNA shares and staffing band.
+    ``extra``: further fact columns to carry along (for gold builders)."""
     census = F.col("patient_census")
     total = F.col("total_nursing_hours")
     contract = S.null_safe_total(["hrs_rn_ctr", "hrs_lpn_ctr", "hrs_cna_ctr"])
@@ -37,6 +38,7 @@ def v_daily_metrics(fact: DataFrame) -> DataFrame:
         S.share_pct(S.nz("hrs_rn"), total).alias("rn_skill_mix_pct"),
         S.share_pct(S.nz("hrs_cna"), total).alias("cna_ratio_pct"),
         S.staffing_category(total, census).alias("staffing_level_category"),
+        *extra,
     )
 
 
@@ -141,10 +143,12 @@ def v_provider_rankings(provider_monthly: DataFrame, min_days: int = C.MIN_DAYS_
     All months are ranked together, as upstream. Ranks come from the
     scalable rank operator (no single-task window over all rows)."""
     base = provider_monthly.where(F.col("days_reported") >= min_days).select(*RANKING_COLUMNS)
-    r = with_ranks(base, "avg_hppd", ["state"], rank_desc="state_rank_hppd")
-    r = with_ranks(r, "avg_rn_mix_pct", ["state"], rank_desc="state_rank_rn_mix")
-    r = with_ranks(r, "avg_contract_pct", ["state"], rank_asc="state_rank_stability")
-    r = with_ranks(r, "avg_hppd", [], rank_desc="national_rank_hppd", percent_rank_asc="_pr")
+    r = add_ranks(base, [
+        dict(value="avg_hppd", partition_by=["state"], rank_desc="state_rank_hppd"),
+        dict(value="avg_rn_mix_pct", partition_by=["state"], rank_desc="state_rank_rn_mix"),
+        dict(value="avg_contract_pct", partition_by=["state"], rank_asc="state_rank_stability"),
+        dict(value="avg_hppd", rank_desc="national_rank_hppd", percent_rank_asc="_pr"),
+    ])
     return r.select(*RANKING_COLUMNS, "state_rank_hppd", "state_rank_rn_mix", "state_rank_stability",
                     "national_rank_hppd",
                     stable_round(F.col("_pr") * F.lit(100.0), 1).alias("hppd_percentile"))

@@ -5,13 +5,99 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import config as C
 from . import metrics as M
+from . import serving as Q
 from .warehouse import Warehouse
 
+
+def _pm(wh: Warehouse) -> DataFrame:
+    return M.v_provider_monthly(wh.daily())
+
+
+def _daily_c(wh: Warehouse) -> DataFrame:
+    return wh.daily()
+
+
+def _silver_cols(*cols: str):
+    return lambda wh: wh.silver.select(*cols)
+
+
+def _provider_details_first_state(wh: Warehouse) -> DataFrame:
+    """Provider page filtered to one state: the first in the state list."""
+    pm = _pm(wh)
+    first = pm.agg(F.min("state").alias("state"))  # one row
+    rows = pm.join(F.broadcast(first), "state", "left_semi")
+    return (rows.orderBy(F.col("avg_hppd").desc_nulls_last(), "provider_id", "year_month", "state")
+            .limit(Q.PAGE_LIMIT))
+
+
 WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
+    # metric views
     "v_daily_metrics": lambda wh: wh.daily(),
     "v_kpi_summary": lambda wh: M.v_kpi_summary(wh.daily()),
+    "v_provider_monthly": _pm,
+    "v_state_monthly": lambda wh: M.v_state_monthly(wh.daily()),
+    "v_provider_rankings": lambda wh: M.v_provider_rankings(_pm(wh)),
+    "v_staffing_alerts": lambda wh: M.v_staffing_alerts(_pm(wh)),
+    "v_day_of_week_analysis": lambda wh: M.v_day_of_week_analysis(wh.daily()),
+    "state_monthly_weighted": lambda wh: M.state_monthly_weighted(wh.daily()),
+    "rn_benchmark": lambda wh: M.rn_benchmark(wh.daily()),
+    "contract_bands": lambda wh: M.contract_bands(wh.daily()),
+    "skill_mix_bands": lambda wh: M.skill_mix_bands(wh.daily()),
+    # silver
+    "silver_typed": _silver_cols("provnum", "provname", "city", "state", "county_name", "county_fips",
+                                 "cy_qtr", "work_date", "mdscensus", *C.hour_columns()),
+    "silver_metrics": _silver_cols("provnum", "work_date", "total_nursing_hours", "nursing_hppd"),
+    "silver_contract": _silver_cols("provnum", "work_date", "total_employed_hours", "total_contract_hours",
+                                    "contract_ratio"),
+    "silver_calendar": _silver_cols("provnum", "work_date", "work_year", "work_month", "work_day_of_week"),
+    # gold
+    "fact_daily_staffing": lambda wh: wh.fact.drop("processed_at"),
+    "dim_date": lambda wh: wh.table("dim_date"),
+    "dim_provider": lambda wh: wh.table("dim_provider").drop("provider_sk"),
+    "dim_provider_current": lambda wh: wh.table("dim_provider_current"),
+    "dim_state": lambda wh: wh.table("dim_state"),
+    "agg_state_monthly_etl": lambda wh: wh.table("agg_state_monthly_etl"),
+    "agg_provider_monthly": lambda wh: wh.table("agg_provider_monthly"),
+    "agg_state_monthly": lambda wh: wh.table("agg_state_monthly"),
+    "agg_overall_metrics": lambda wh: wh.table("agg_overall_metrics"),
+    # warehouse access views and materialized-view definitions
+    "v_daily_staffing": Q.v_daily_staffing,
+    "v_provider": Q.v_provider,
+    "v_provider_monthly_agg": Q.v_provider_monthly_agg,
+    "v_state_monthly_agg": Q.v_state_monthly_agg,
+    "mv_staffing_summary": Q.mv_staffing_summary,
+    "mv_provider_rankings": Q.mv_provider_rankings,
+    # warehouse queries
+    "kpi_overall": Q.kpi_overall,
+    "state_comparison": Q.state_comparison,
+    "monthly_trend": Q.monthly_trend,
+    "low_hppd_facilities": Q.low_hppd_facilities,
+    "contract_trend": Q.contract_trend,
+    "alert_level_counts": Q.alert_level_counts,
+    # dashboard
+    "kpi_cards": Q.kpi_cards,
+    "state_monthly_ordered": Q.state_monthly_ordered,
+    "state_summary": Q.state_summary,
+    "state_list": Q.state_list,
+    "provider_details": lambda wh: Q.provider_details(wh, limit=Q.PAGE_LIMIT),
+    "provider_details_state": _provider_details_first_state,
+    "provider_page_stats": Q.provider_page_stats,
+    "provider_scatter": Q.provider_scatter,
+    "alerts_top": Q.alerts_top,
+    "alert_counts": Q.alert_counts,
+    "alerts_filtered": Q.alerts_filtered,
+    "daily_trends": Q.daily_trends,
+    "hppd_distribution": Q.hppd_distribution,
+    "staffing_mix": Q.staffing_mix,
+    "state_trend_selected": Q.state_trend_selected,
+    "rankings_top10": Q.rankings_top10,
+    "global_rank": Q.global_rank,
+    "table_row_counts": Q.table_row_counts,
+    "fk_violations": Q.fk_violations,
 }
 
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import config as C
 from ..operators import gold
 from ..operators.silver import to_silver
 from ..sources.panel import facility_days, render_raw
@@ -28,7 +29,7 @@ GOLD_TABLES = {
     "agg_overall_metrics": "aggregates/agg_overall_metrics",
 }
 
-DEFAULT_SNAPSHOT_DATE = "2024-07-01"
+DEFAULT_SNAPSHOT_DATE = C.DEFAULT_SNAPSHOT_DATE
 
 
 @dataclass
@@ -87,7 +88,7 @@ def build_gold_table(name: str, silver: DataFrame, snapshot_date: str = DEFAULT_
         return gold.build_agg_provider_monthly(silver)
     if name == "agg_state_monthly":
         from .metrics import v_daily_metrics
-        return gold.build_agg_state_monthly(v_daily_metrics(gold.build_fact(silver)))
+        return gold.build_agg_state_monthly(v_daily_metrics(gold.build_fact(silver), extra=("contract_ratio",)))
     if name == "agg_state_monthly_etl":
         return gold.build_agg_state_monthly_etl(silver)
     if name == "agg_overall_metrics":
