@@ -603,11 +603,24 @@ ORDER BY national_rank_hppd, provider_id, state, days_reported, avg_daily_census
        CAST(RANK() OVER (ORDER BY avg_hppd DESC NULLS LAST) AS BIGINT) AS national_rank,
        PERCENT_RANK() OVER (ORDER BY avg_hppd ASC NULLS LAST) AS percent_rank
 FROM v_provider_monthly""",
+    "gold_roundtrip": """SELECT 'fact_daily_staffing' AS table_name, count(*) AS row_count FROM facts
+UNION ALL SELECT 'dim_provider', count(*) FROM dim_provider
+UNION ALL SELECT 'dim_date', count(*) FROM dim_date
+UNION ALL SELECT 'agg_provider_monthly', count(*) FROM agg_provider_monthly
+UNION ALL SELECT 'agg_state_monthly', count(*) FROM agg_state_monthly""",
     "table_row_counts": """SELECT 'fact_daily_staffing' AS table_name, count(*) AS row_count FROM facts
 UNION ALL SELECT 'dim_provider', count(*) FROM dim_provider
 UNION ALL SELECT 'dim_date', count(*) FROM dim_date
 UNION ALL SELECT 'agg_provider_monthly', count(*) FROM agg_provider_monthly
 UNION ALL SELECT 'agg_state_monthly', count(*) FROM agg_state_monthly""",
+    "silver_roundtrip": "SELECT provnum, provname, city, state, county_name, county_fips, cy_qtr, work_date, "
+                        "mdscensus, " + ", ".join(C.hour_columns()) + " FROM silver",
+    "incremental_silver": "SELECT provnum, provname, city, state, county_name, county_fips, cy_qtr, work_date, "
+                          "mdscensus, " + ", ".join(C.hour_columns()) + " FROM silver",
+    "raw_scan_counts": "SELECT cy_qtr, state, count(*) AS record_count FROM panel GROUP BY cy_qtr, state",
+    "kpi_from_gold": "SELECT * FROM v_kpi_summary",
+    "mv_staffing_summary_stored": "SELECT * FROM mv_staffing_summary",
+    "mv_provider_rankings_stored": "SELECT * FROM mv_provider_rankings",
     "fk_violations": """SELECT 'fact.date_key -> dim_date' AS check_name,
        count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = f.date_key)) AS violations FROM facts f
 UNION ALL SELECT 'fact.provider_id -> dim_provider',

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from .. import config as C
 from . import metrics as M
 from . import serving as Q
+from . import jobs as J
 from .warehouse import Warehouse
+from ..session import scratch_dir
+from ..sources.bronze import raw_inventory
+from ..sources.sinks import materialize
+from ..streaming.incremental import run_incremental_silver
 
 
 def _pm(wh: Warehouse) -> DataFrame:
@@ -101,7 +106,83 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
+SILVER_TYPED = ["provnum", "provname", "city", "state", "county_name", "county_fips", "cy_qtr",
+                "work_date", "mdscensus", *C.hour_columns()]
+
+
+# -- queries that run the jobs (they write under the shared checkpoint folder) --
+
+def _silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.silver_roundtrip(spark, sf_dir, scratch_dir(spark, "silver")).select(*SILVER_TYPED)
+
+
+def _incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_dir(spark, "incremental")
+    J.land_panel(spark, sf_dir, base, "2024-07-01")
+    p = J.pipeline_paths(base)
+    out = run_incremental_silver(spark, p["raw"], f"{base}/silver_stream", f"{base}/_checkpoint")
+    return out.select(*SILVER_TYPED)
+
+
+def _gold_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    base = scratch_dir(spark, "gold")
+    log = J.run_pipeline(spark, sf_dir, base)
+    failed = log.where(F.col("status") != "SUCCEEDED").collect()  # at most one row per stage
+    if failed:
+        raise RuntimeError(f"pipeline failed: {failed}")
+    p = J.pipeline_paths(base)
+    return Warehouse.from_gold(spark, p["gold"], p["silver"])
+
+
+def _gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.table_row_counts(_gold_warehouse(spark, sf_dir))
+
+
+def _kpi_from_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.v_kpi_summary(_gold_warehouse(spark, sf_dir).daily())
+
+
+def _mv_stored(definition):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wh = Warehouse.derived(spark, sf_dir)
+        return materialize(spark, scratch_dir(spark, "mv"), lambda: definition(wh))
+    return run
+
+
+def _raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_dir(spark, "inventory")
+    J.land_panel(spark, sf_dir, base, "2024-07-01")
+    return raw_inventory(spark, f"{base}/raw")
+
+
+def _pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.run_pipeline(spark, sf_dir, scratch_dir(spark, "runlog")).select("stage", "status", "rows")
+
+
+JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "silver_roundtrip": _silver_roundtrip,
+    "incremental_silver": _incremental_silver,
+    "raw_scan_counts": lambda spark, sf: J.raw_scan_counts(spark, sf, scratch_dir(spark, "rawscan")),
+    "gold_roundtrip": _gold_roundtrip,
+    "kpi_from_gold": _kpi_from_gold,
+    "mv_staffing_summary_stored": _mv_stored(Q.mv_staffing_summary),
+    "mv_provider_rankings_stored": _mv_stored(Q.mv_provider_rankings),
+    # rows-only checks (no SQL equivalent: file sizes, run status, lineage, hash keys)
+    "raw_inventory": _raw_inventory,
+    "pipeline_run_log": _pipeline_run_log,
+}
+
+ROWS_ONLY: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "silver_lineage": lambda wh: wh.silver.select("provnum", "work_date", "processed_at", "source_file")
+    .where(F.col("processed_at").isNotNull() & F.col("source_file").isNotNull()),
+    "dim_provider_sk": lambda wh: wh.table("dim_provider").select("provider_sk", "provider_id"),
+}
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Warehouse.derived(spark, sf_dir))
-    return {k: bind(fn) for k, fn in WH_QUERIES.items()}
+    out = {k: bind(fn) for k, fn in WH_QUERIES.items()}
+    out.update({k: bind(fn) for k, fn in ROWS_ONLY.items()})
+    out.update(JOB_QUERIES)
+    return out
