@@ -619,6 +619,8 @@ UNION ALL SELECT 'agg_state_monthly', count(*) FROM agg_state_monthly""",
                           "mdscensus, " + ", ".join(C.hour_columns()) + " FROM silver",
     "raw_scan_counts": "SELECT cy_qtr, state, count(*) AS record_count FROM panel GROUP BY cy_qtr, state",
     "kpi_from_gold": "SELECT * FROM v_kpi_summary",
+    "catalog_sql_counts": """SELECT f.state, count(*) AS record_count, max(s.provider_count) AS provider_count
+FROM facts f JOIN dim_state s ON f.state = s.state GROUP BY f.state""",
     "mv_staffing_summary_stored": "SELECT * FROM mv_staffing_summary",
     "mv_provider_rankings_stored": "SELECT * FROM mv_provider_rankings",
     "fk_violations": """SELECT 'fact.date_key -> dim_date' AS check_name,

@@ -11,10 +11,10 @@ from .. import config as C
 from . import metrics as M
 from . import serving as Q
 from . import jobs as J
-from .warehouse import Warehouse
+from .warehouse import GOLD_TABLES, Warehouse
 from ..session import scratch_dir
 from ..sources.bronze import raw_inventory
-from ..sources.sinks import materialize
+from ..sources.sinks import materialize, register_tables
 from ..streaming.incremental import run_incremental_silver
 
 
@@ -142,6 +142,21 @@ def _kpi_from_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.v_kpi_summary(_gold_warehouse(spark, sf_dir).daily())
 
 
+CATALOG_SQL = """
+SELECT f.state, count(*) AS record_count, max(s.provider_count) AS provider_count
+FROM fact_daily_staffing f JOIN dim_state s ON f.state = s.state
+GROUP BY f.state
+"""
+
+
+def _catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold folders registered as tables, queried with SQL text."""
+    base = scratch_dir(spark, "catalog")
+    J.run_pipeline(spark, sf_dir, base)
+    register_tables(spark, J.pipeline_paths(base)["gold"], GOLD_TABLES)
+    return spark.sql(CATALOG_SQL)
+
+
 def _mv_stored(definition):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         wh = Warehouse.derived(spark, sf_dir)
@@ -165,6 +180,7 @@ JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_scan_counts": lambda spark, sf: J.raw_scan_counts(spark, sf, scratch_dir(spark, "rawscan")),
     "gold_roundtrip": _gold_roundtrip,
     "kpi_from_gold": _kpi_from_gold,
+    "catalog_sql_counts": _catalog_sql,
     "mv_staffing_summary_stored": _mv_stored(Q.mv_staffing_summary),
     "mv_provider_rankings_stored": _mv_stored(Q.mv_provider_rankings),
     # rows-only checks (no SQL equivalent: file sizes, run status, lineage, hash keys)
