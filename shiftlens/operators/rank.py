@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import ensure_checkpoint_dir
+
 
 def rank_table(df: DataFrame, value: str, partition_by: list[str] | tuple = (),
                bucket_width: float = 1.0) -> DataFrame:
@@ -86,17 +88,45 @@ def _rank_outputs(spec: dict) -> list:
     return outs
 
 
-def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0) -> DataFrame:
+def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0,
+              materialize: bool = True) -> DataFrame:
     """Add several rankings at once. Each spec: ``value``, optional ``partition_by``
     and the output names ``rank_desc`` / ``rank_asc`` / ``percent_rank_asc`` /
-    ``percent_rank_desc``. Every rank table is computed from ``df`` itself and
-    joined back once, so the plan grows linearly with the number of rankings."""
+    ``percent_rank_desc``.
+
+    All specs are stacked into one (spec, partition..., value) table, so the
+    input is aggregated once for every ranking together, and one rank table
+    serves all of them; the joins back form a single chain over ``df``.
+
+    With ``materialize`` the rank table (one row per spec, partition and
+    distinct value: small) is computed once and checkpointed to the shared
+    ``spark.checkpoint.dir``; every join back then reads those few files
+    instead of re-deriving the ranks (and the input) per spec."""
+    width = max((len(sp.get("partition_by", ())) for sp in specs), default=0)
+    slots = [f"_p{j}" for j in range(width)]
+
+    def slot(parts: list[str], j: int):
+        v = F.col(parts[j]).cast("string") if j < len(parts) else F.lit(None).cast("string")
+        return v.alias(slots[j])
+
+    rows = [F.struct(F.lit(i).alias("_spec"),
+                     *[slot(list(sp.get("partition_by", ())), j) for j in range(width)],
+                     F.col(sp["value"]).cast("double").alias("_v"))
+            for i, sp in enumerate(specs)]
+    stacked = df.select(F.explode(F.array(*rows)).alias("_s")).select("_s.*")
+    rt = rank_table(stacked, "_v", ["_spec", *slots], bucket_width)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        rt = rt.checkpoint(eager=True)
+
     out = df
-    for spec in specs:
-        parts = list(spec.get("partition_by", ()))
-        keys = parts + [spec["value"]]
-        rt = rank_table(df, spec["value"], parts, bucket_width).select(*keys, *_rank_outputs(spec))
-        out = _join_null_safe(out, rt, keys)
+    for i, sp in enumerate(specs):
+        parts = list(sp.get("partition_by", ()))
+        mine = slots[:len(parts)]
+        sub = rt.where(F.col("_spec") == i).select(*mine, "_v", *_rank_outputs(sp))
+        cond = [F.col(p).cast("string").eqNullSafe(sub[mine[j]]) for j, p in enumerate(parts)]
+        cond.append(F.col(sp["value"]).cast("double").eqNullSafe(sub["_v"]))
+        out = out.join(sub, cond, "inner").drop(*mine, "_v")
     return out
 
 
