@@ -23,16 +23,23 @@ def raw_category_path(base: str, category: str = C.QUARTERED_CATEGORY) -> str:
 
 
 def land_raw(raw: DataFrame, base: str, ingest_date: str,
-             category: str = C.QUARTERED_CATEGORY) -> str:
+             category: str = C.QUARTERED_CATEGORY, file_name: str | None = None) -> str:
     """Write raw string records as header CSV under the bronze layout.
 
-    Re-landing the same (quarter, ingest date) replaces only that folder
-    (dynamic partition overwrite); other quarters and dates stay."""
+    The quarter folder comes from the records' ``CY_Qtr``; only when that
+    column is missing is it taken from ``file_name`` (router rule), else the
+    default quarter. Re-landing the same (quarter, ingest date) replaces only
+    that folder (dynamic partition overwrite); other quarters and dates stay."""
     qcol = next((c for c in raw.columns if c.lower() == "cy_qtr"), None)
     out = raw
     parts = ["ingest_date"]
     if category == C.QUARTERED_CATEGORY:
-        quarter = F.col(qcol) if qcol else F.lit(C.DEFAULT_QUARTER)
+        if qcol:
+            quarter = F.col(qcol)
+        elif file_name:
+            quarter = _quarter_from_name(F.lit(file_name))
+        else:
+            quarter = F.lit(C.DEFAULT_QUARTER)
         out = out.select(*[c for c in out.columns if c != qcol], quarter.alias("cy_qtr"))
         parts = ["cy_qtr", "ingest_date"]
     out = out.withColumn("ingest_date", F.lit(ingest_date))
@@ -43,19 +50,44 @@ def land_raw(raw: DataFrame, base: str, ingest_date: str,
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV scan, every column a string; ``source_file`` from the file
-    metadata. Raises if the folder holds no records."""
+    """Header CSV scan, every column a string, plus ``cy_qtr``, ``ingest_date``
+    and ``source_file``. Raises if the folder holds no records.
+
+    Folder names are not trusted over the data: a record's own ``CY_Qtr``
+    wins, and the ``cy_qtr=`` folder only fills in when the file has no
+    quarter column (files landed by :func:`land_raw`). Files whose header
+    differs from the first file's fail the scan instead of being read
+    positionally into the wrong columns."""
     try:
         df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("recursiveFileLookup", False).csv(path))
+              .option("enforceSchema", False).option("recursiveFileLookup", True).csv(path))
     except Exception as e:  # missing folder, no files
         raise EmptySourceError(f"No records found in {path}: {e}") from e
-    df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    fp = F.col("_metadata.file_path")
+    path_quarter = F.nullif(F.regexp_extract(fp, r"cy_qtr=([^/]+)", 1), F.lit(""))
+    ingest = F.nullif(F.regexp_extract(fp, r"ingest_date=([^/]+)", 1), F.lit(""))
+    qcol = next((c for c in df.columns if c.lower() == "cy_qtr"), None)
+    quarter = (F.coalesce(F.nullif(F.trim(F.col(qcol)), F.lit("")), path_quarter) if qcol else path_quarter)
+    keep = [c for c in df.columns if c != qcol and c.lower() not in ("ingest_date", "source_file")]
+    df = df.select(*keep, quarter.alias("cy_qtr"), ingest.alias("ingest_date"), fp.alias("source_file"))
     if df.isEmpty():
         raise EmptySourceError(f"No records found in {path}")
     return df
 
 
+def _quarter_from_name(name: Column) -> Column:
+    """First of Q1..Q4 in the name (else the default quarter); the year from the
+    name when it carries one (else the default year)."""
+    qn = None
+    for i in range(1, 5):
+        cond = name.contains(f"Q{i}")
+        qn = F.when(cond, F.lit(str(i))) if qn is None else qn.when(cond, F.lit(str(i)))
+    default_year, default_q = C.DEFAULT_QUARTER[:4], C.DEFAULT_QUARTER[-1]
+    year = F.regexp_extract(name, r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", 1)
+    year = F.when(year == "", F.lit(default_year)).otherwise(year)
+    return F.concat(year, F.lit("Q"), qn.otherwise(F.lit(default_q)))
+
+
 def route_files(files: DataFrame, name_col: str = "file_name", ingest_date: Column | str | None = None) -> DataFrame:
     """Add ``category``, ``cy_qtr`` and the bronze ``key`` for each file name.
 
@@ -68,14 +100,7 @@ def route_files(files: DataFrame, name_col: str = "file_name", ingest_date: Colu
         cond = name.contains(pattern)
         cat = F.when(cond, F.lit(category)) if cat is None else cat.when(cond, F.lit(category))
     cat = cat.otherwise(F.lit(C.OTHER_CATEGORY))
-    qn = None
-    for i in range(1, 5):
-        cond = name.contains(f"Q{i}")
-        qn = F.when(cond, F.lit(str(i))) if qn is None else qn.when(cond, F.lit(str(i)))
-    default_year, default_q = C.DEFAULT_QUARTER[:4], C.DEFAULT_QUARTER[-1]
-    year = F.regexp_extract(name, r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", 1)
-    year = F.when(year == "", F.lit(default_year)).otherwise(year)
-    quarter = F.concat(year, F.lit("Q"), qn.otherwise(F.lit(default_q)))
+    quarter = _quarter_from_name(name)
     quartered = cat == F.lit(C.QUARTERED_CATEGORY)
     d = F.col(ingest_date) if isinstance(ingest_date, str) else (
         ingest_date if ingest_date is not None else F.date_format(F.current_date(), "yyyy-MM-dd"))

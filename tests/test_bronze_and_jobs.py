@@ -103,3 +103,29 @@ def test_materialized_view_refresh_versions(spark):
     counter["n"] = 5
     mv.refresh()
     assert mv.read().count() == 5 and len(mv.versions()) == 2
+
+
+def test_uploaded_file_keeps_its_own_quarter(spark, tmp_path):
+    """Upstream-style upload: the whole CSV (with CY_Qtr) under a cy_qtr= folder.
+    A wrong folder must not relabel the rows."""
+    from shiftlens import config as C
+    from shiftlens.operators.silver import to_silver
+    folder = tmp_path / "raw" / "nursing_staffing" / "cy_qtr=2024Q2" / "ingest_date=2024-07-01"
+    folder.mkdir(parents=True)
+    cols = C.raw_columns()
+    vals = {c: "1.0" for c in C.raw_hour_columns()}
+    vals.update({"PROVNUM": "015001", "PROVNAME": "X", "CITY": "C", "STATE": " al ", "COUNTY_NAME": "B",
+                 "COUNTY_FIPS": "1013", "CY_Qtr": "2024Q1", "WorkDate": "20240401", "MDScensus": "10"})
+    (folder / "PBJ_Daily_Nurse_Staffing_Q2_2024.csv").write_text(
+        ",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
+    raw = read_raw(spark, str(tmp_path / "raw" / "nursing_staffing"))
+    r = to_silver(raw).first()
+    assert (r.cy_qtr, r.state, r.ingest_date, r.total_nursing_hours) == ("2024Q1", "AL", "2024-07-01", 3.0)
+
+
+def test_missing_quarter_column_uses_file_name(spark):
+    from shiftlens import config as C
+    base = scratch_dir(spark, "byname")
+    cols = [c for c in C.raw_columns() if c != "CY_Qtr"]
+    land_raw(raw_frame(spark, [{}], cols), base, "2024-10-01", file_name="PBJ_Daily_Nurse_Staffing_Q3_2024.csv")
+    assert read_raw(spark, J.pipeline_paths(base)["raw"]).first().cy_qtr == "2024Q3"
