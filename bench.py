@@ -51,7 +51,7 @@ def main() -> None:
     J.land_panel(spark, sf_dir, base, "2024-07-01")
     times["pipeline_land"] = time.time() - t
     t = time.time()
-    J.run_raw_to_silver(spark, p["raw"], p["silver"])
+    records = J.run_raw_to_silver(spark, p["raw"], p["silver"])
     times["pipeline_silver"] = time.time() - t
     t = time.time()
     J.run_silver_to_gold(spark, p["silver"], p["gold"])
@@ -71,7 +71,9 @@ def main() -> None:
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": {k: round(v, 3) for k, v in times.items()}, "sf": sf,
-           "cpus": cpus}
+           "cpus": cpus, "facility_days": records,
+           "pipeline_records_per_sec": round(records / (times["pipeline_land"] + times["pipeline_silver"]
+                                                         + times["pipeline_gold"]), 1)}
     print(json.dumps(out))
 
 

@@ -34,6 +34,12 @@ def test_census_filter_and_column_pruning_reach_the_scan(gold_wh):
     assert "hrs_rndon" not in scan_schema and "processed_at" not in scan_schema
 
 
+def test_state_filter_prunes_fact_partitions(gold_wh):
+    state = gold_wh.fact.select("state").first().state
+    plan = _physical(Q.provider_details(gold_wh, state=state))
+    assert f"(state = {state})" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
 def test_date_dimension_is_broadcast(gold_wh):
     assert "BroadcastHashJoin" in _physical(Q.mv_staffing_summary(gold_wh))
 
