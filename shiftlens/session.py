@@ -24,7 +24,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", os.environ.get("SHIFTLENS_DRIVER_MEMORY", "16g")))
+         .config("spark.driver.memory", os.environ.get("SHIFTLENS_DRIVER_MEMORY", "16g"))
+         # rank tables are checkpointed; drop their files once no plan references them
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**LIBRARY_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
