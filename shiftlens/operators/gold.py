@@ -73,8 +73,10 @@ def build_dim_provider(silver: DataFrame) -> DataFrame:
 
 
 def build_dim_provider_current(silver: DataFrame) -> DataFrame:
-    """Latest attribute tuple per provider: one row per provider, safe to join on."""
-    latest = F.max_by(F.struct(*[F.col(c) for c in PROVIDER_ATTRS]), F.col("work_date"))
+    """Latest attribute tuple per provider: one row per provider, safe to join on.
+    Two tuples on the same latest date resolve to the greater tuple (attribute order)."""
+    attrs = F.struct(*[F.col(c) for c in PROVIDER_ATTRS])
+    latest = F.max_by(attrs, F.struct(F.col("work_date"), attrs))
     return (silver.groupBy("provnum").agg(latest.alias("a"))
             .select(F.col("provnum").alias("provider_id"),
                     F.col("a.provname").alias("provider_name"),
@@ -114,7 +116,7 @@ def build_agg_provider_monthly(silver: DataFrame) -> DataFrame:
     g = silver.groupBy("provnum", "state", F.year("work_date").alias("year"),
                        F.month("work_date").alias("month"))
     out = g.agg(
-        F.max_by("provname", "work_date").alias("provider_name"),
+        F.max_by("provname", F.struct("work_date", "provname")).alias("provider_name"),
         stable_round(int_avg("mdscensus"), 1).alias("avg_daily_census"),
         F.sum("mdscensus").cast("bigint").alias("total_patient_days"),
         exact_sum(F.coalesce("hrs_rn", F.lit(0.0))).alias("total_rn_hours"),

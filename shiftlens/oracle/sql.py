@@ -355,11 +355,12 @@ FROM silver
 """
 
 CTES["dim_provider_current"] = """
-SELECT provnum AS provider_id,
-       arg_max(provname, work_date) AS provider_name, arg_max(city, work_date) AS city,
-       arg_max(state, work_date) AS state, arg_max(county_name, work_date) AS county_name,
-       arg_max(county_fips, work_date) AS county_fips
-FROM silver GROUP BY provnum
+SELECT provider_id, provider_name, city, state, county_name, county_fips
+FROM (SELECT provnum AS provider_id, provname AS provider_name, city, state, county_name, county_fips,
+             ROW_NUMBER() OVER (PARTITION BY provnum ORDER BY work_date DESC, provname DESC, city DESC,
+                                state DESC, county_name DESC, county_fips DESC) AS rn
+      FROM silver) x
+WHERE rn = 1
 """
 
 CTES["dim_state"] = f"""
@@ -380,7 +381,7 @@ FROM silver GROUP BY 1, 2, 3
 """
 
 CTES["agg_provider_monthly"] = f"""
-SELECT provnum AS provider_id, arg_max(provname, work_date) AS provider_name, state,
+SELECT provnum AS provider_id, max_by(provname, (work_date, provname)) AS provider_name, state,
        {_INT("year(work_date)")} AS year, {_INT("month(work_date)")} AS month,
        strftime(work_date, '%Y-%m') AS year_month,
        {R(IAVG("mdscensus"), 1)} AS avg_daily_census,
@@ -465,6 +466,19 @@ SELECT p.provider_id, p.provider_name, p.city, p.state, pm.year_month, pm.avg_nu
 FROM dim_provider p JOIN agg_provider_monthly pm ON p.provider_id = pm.provider_id
 """
 
+CTES["provider_join_current"] = """
+SELECT p.provider_id, p.provider_name, p.city, p.state, pm.year_month, pm.avg_nursing_hppd,
+       pm.avg_daily_census, pm.total_nursing_hours, pm.avg_contract_ratio, pm.days_reported
+FROM dim_provider_current p JOIN agg_provider_monthly pm ON p.provider_id = pm.provider_id
+"""
+
+CTES["mv_provider_rankings_current"] = """
+SELECT *,
+       CAST(RANK() OVER (PARTITION BY state, year_month ORDER BY avg_nursing_hppd DESC NULLS LAST) AS BIGINT) AS state_rank_hppd,
+       CAST(RANK() OVER (PARTITION BY year_month ORDER BY avg_nursing_hppd DESC NULLS LAST) AS BIGINT) AS national_rank_hppd
+FROM provider_join_current
+"""
+
 CTES["mv_provider_rankings"] = """
 SELECT *,
        CAST(RANK() OVER (PARTITION BY state, year_month ORDER BY avg_nursing_hppd DESC NULLS LAST) AS BIGINT) AS state_rank_hppd,
@@ -551,6 +565,10 @@ FROM v_daily_staffing GROUP BY state""",
 FROM mv_staffing_summary GROUP BY year_month""",
     "low_hppd_facilities": f"""SELECT provider_id, provider_name, city, state, avg_nursing_hppd, avg_daily_census, year_month
 FROM provider_join WHERE avg_nursing_hppd < {D(C.LOW_HPPD_MAX)} AND avg_daily_census > {C.LOW_HPPD_MIN_CENSUS}
+ORDER BY avg_nursing_hppd ASC NULLS LAST, provider_id, year_month, provider_name, city, state LIMIT 100""",
+    "mv_provider_rankings_current": "SELECT * FROM mv_provider_rankings_current",
+    "low_hppd_facilities_current": f"""SELECT provider_id, provider_name, city, state, avg_nursing_hppd, avg_daily_census, year_month
+FROM provider_join_current WHERE avg_nursing_hppd < {D(C.LOW_HPPD_MAX)} AND avg_daily_census > {C.LOW_HPPD_MIN_CENSUS}
 ORDER BY avg_nursing_hppd ASC NULLS LAST, provider_id, year_month, provider_name, city, state LIMIT 100""",
     "contract_trend": f"""SELECT state, year_month, employed_hours, contract_hours,
        contract_hours / NULLIF(total, 0.0) * {D(100)} AS contract_pct

@@ -76,11 +76,13 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v_state_monthly_agg": Q.v_state_monthly_agg,
     "mv_staffing_summary": Q.mv_staffing_summary,
     "mv_provider_rankings": Q.mv_provider_rankings,
+    "mv_provider_rankings_current": lambda wh: Q.mv_provider_rankings(wh, current=True),
     # warehouse queries
     "kpi_overall": Q.kpi_overall,
     "state_comparison": Q.state_comparison,
     "monthly_trend": Q.monthly_trend,
     "low_hppd_facilities": Q.low_hppd_facilities,
+    "low_hppd_facilities_current": lambda wh: Q.low_hppd_facilities(wh, current=True),
     "contract_trend": Q.contract_trend,
     "alert_level_counts": Q.alert_level_counts,
     # dashboard

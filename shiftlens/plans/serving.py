@@ -85,10 +85,12 @@ def mv_staffing_summary(wh: Warehouse) -> DataFrame:
     )
 
 
-def _provider_join(wh: Warehouse) -> DataFrame:
-    """dim_provider x agg_provider_monthly on provider_id (fans out when a
-    provider's attributes changed, as upstream)."""
-    p = wh.table("dim_provider").select("provider_id", "provider_name", "city", "state")
+def _provider_join(wh: Warehouse, current: bool = False) -> DataFrame:
+    """dim_provider x agg_provider_monthly on provider_id. The faithful form fans
+    out when a provider's attributes changed (as upstream); ``current`` joins
+    the one-row-per-provider ``dim_provider_current`` instead."""
+    dim = "dim_provider_current" if current else "dim_provider"
+    p = wh.table(dim).select("provider_id", "provider_name", "city", "state")
     pm = wh.table("agg_provider_monthly").select(
         "provider_id", "year_month", "avg_nursing_hppd", "avg_daily_census", "total_nursing_hours",
         "avg_contract_ratio", "days_reported")
@@ -99,8 +101,8 @@ MV_RANK_COLUMNS = ["provider_id", "provider_name", "city", "state", "year_month"
                    "avg_daily_census", "total_nursing_hours", "avg_contract_ratio", "days_reported"]
 
 
-def mv_provider_rankings(wh: Warehouse) -> DataFrame:
-    j = _provider_join(wh)
+def mv_provider_rankings(wh: Warehouse, current: bool = False) -> DataFrame:
+    j = _provider_join(wh, current)
     r = add_ranks(j, [
         dict(value="avg_nursing_hppd", partition_by=["state", "year_month"], rank_desc="state_rank_hppd"),
         dict(value="avg_nursing_hppd", partition_by=["year_month"], rank_desc="national_rank_hppd"),
@@ -141,8 +143,8 @@ def monthly_trend(wh: Warehouse, summary: DataFrame | None = None) -> DataFrame:
         .orderBy("year_month"))
 
 
-def low_hppd_facilities(wh: Warehouse, limit: int = 100) -> DataFrame:
-    j = _provider_join(wh).where((F.col("avg_nursing_hppd") < C.LOW_HPPD_MAX)
+def low_hppd_facilities(wh: Warehouse, limit: int = 100, current: bool = False) -> DataFrame:
+    j = _provider_join(wh, current).where((F.col("avg_nursing_hppd") < C.LOW_HPPD_MAX)
                                  & (F.col("avg_daily_census") > C.LOW_HPPD_MIN_CENSUS))
     return (j.select("provider_id", "provider_name", "city", "state", "avg_nursing_hppd",
                      "avg_daily_census", "year_month")
