@@ -22,10 +22,6 @@ def _pm(wh: Warehouse) -> DataFrame:
     return M.v_provider_monthly(wh.daily())
 
 
-def _daily_c(wh: Warehouse) -> DataFrame:
-    return wh.daily()
-
-
 def _silver_cols(*cols: str):
     return lambda wh: wh.silver.select(*cols)
 
