@@ -621,6 +621,14 @@ ORDER BY national_rank_hppd, provider_id, state, days_reported, avg_daily_census
        CAST(RANK() OVER (ORDER BY avg_hppd DESC NULLS LAST) AS BIGINT) AS national_rank,
        PERCENT_RANK() OVER (ORDER BY avg_hppd ASC NULLS LAST) AS percent_rank
 FROM v_provider_monthly""",
+    "pipeline_run_log": """SELECT 'land_raw' AS stage, 'SUCCEEDED' AS status, count(*) AS rows FROM panel
+UNION ALL SELECT 'raw_to_silver', 'SUCCEEDED', count(*) FROM silver
+UNION ALL SELECT 'silver_to_gold', 'SUCCEEDED',
+       (SELECT count(*) FROM dim_date) + (SELECT count(*) FROM dim_provider)
+     + (SELECT count(*) FROM dim_provider_current) + (SELECT count(*) FROM dim_state)
+     + (SELECT count(*) FROM facts) + (SELECT count(*) FROM agg_provider_monthly)
+     + (SELECT count(*) FROM agg_state_monthly) + (SELECT count(*) FROM agg_state_monthly_etl)
+     + (SELECT count(*) FROM agg_overall_metrics)""",
     "gold_roundtrip": """SELECT 'fact_daily_staffing' AS table_name, count(*) AS row_count FROM facts
 UNION ALL SELECT 'dim_provider', count(*) FROM dim_provider
 UNION ALL SELECT 'dim_date', count(*) FROM dim_date

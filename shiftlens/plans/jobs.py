@@ -50,8 +50,8 @@ def run_silver_to_gold(spark: SparkSession, silver_path: str, gold_dir: str,
         return dict(pool.map(one, names))
 
 
-def land_panel(spark: SparkSession, sf_dir: str, base: str, ingest_date: str) -> str:
-    """Land the derived staffing panel as raw CSV (the upload step)."""
+def land_panel(spark: SparkSession, sf_dir: str, base: str, ingest_date: str) -> int:
+    """Land the derived staffing panel as raw CSV (the upload step); returns records landed."""
     return land_raw(render_raw(facility_days(spark, sf_dir)), base, ingest_date)
 
 
@@ -63,7 +63,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, base: str, ingest_date: str =
     base = base.rstrip("/")
     silver, gold = f"{base}/processed/nursing_staffing", f"{base}/curated"
     stages = [
-        ("land_raw", lambda: (land_panel(spark, sf_dir, base, ingest_date), None)[1]),
+        ("land_raw", lambda: land_panel(spark, sf_dir, base, ingest_date)),
         ("raw_to_silver", lambda: run_raw_to_silver(spark, raw_category_path(base), silver)),
         ("silver_to_gold", lambda: sum(run_silver_to_gold(spark, silver, gold, snapshot_date).values())),
     ]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .sinks import observed
 
 
 class EmptySourceError(ValueError):
@@ -23,13 +24,14 @@ def raw_category_path(base: str, category: str = C.QUARTERED_CATEGORY) -> str:
 
 
 def land_raw(raw: DataFrame, base: str, ingest_date: str,
-             category: str = C.QUARTERED_CATEGORY, file_name: str | None = None) -> str:
+             category: str = C.QUARTERED_CATEGORY, file_name: str | None = None) -> int:
     """Write raw string records as header CSV under the bronze layout.
 
     The quarter folder comes from the records' ``CY_Qtr``; only when that
     column is missing is it taken from ``file_name`` (router rule), else the
     default quarter. Re-landing the same (quarter, ingest date) replaces only
-    that folder (dynamic partition overwrite); other quarters and dates stay."""
+    that folder (dynamic partition overwrite); other quarters and dates stay.
+    Returns the number of records written."""
     qcol = next((c for c in raw.columns if c.lower() == "cy_qtr"), None)
     out = raw
     parts = ["ingest_date"]
@@ -42,11 +44,10 @@ def land_raw(raw: DataFrame, base: str, ingest_date: str,
             quarter = F.lit(C.DEFAULT_QUARTER)
         out = out.select(*[c for c in out.columns if c != qcol], quarter.alias("cy_qtr"))
         parts = ["cy_qtr", "ingest_date"]
-    out = out.withColumn("ingest_date", F.lit(ingest_date))
-    path = raw_category_path(base, category)
+    out, obs = observed(out.withColumn("ingest_date", F.lit(ingest_date)), f"land:{base}")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("header", True).partitionBy(*parts).csv(path))
-    return path
+     .option("header", True).partitionBy(*parts).csv(raw_category_path(base, category)))
+    return int(obs.get.get("rows", 0))
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
@@ -23,7 +23,7 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = Non
                 dynamic: bool = True) -> int:
     """Overwrite a Parquet table; with partition columns only the partitions
     present in ``df`` are replaced. Returns the number of rows written."""
-    out, obs = _observed(df, f"write:{path}")
+    out, obs = observed(df, f"write:{path}")
     w = out.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
