@@ -86,6 +86,18 @@ def test_invariants(gold_wh):
     assert gold_wh.fact.count() == gold_wh.silver.count()
 
 
+def test_employed_plus_contract_equals_total_per_role(gold_wh):
+    from pyspark.sql import functions as F
+    f = gold_wh.fact
+    bad = f.where(
+        (F.abs(F.col("hrs_lpn_emp") + F.col("hrs_lpn_ctr") - F.col("hrs_lpn")) > 1e-9)
+        | (F.abs(F.col("hrs_cna_emp") + F.col("hrs_cna_ctr") - F.col("hrs_cna")) > 1e-9)
+        | (F.col("hrs_rn").isNotNull() & (F.abs(F.col("hrs_rn_emp") + F.col("hrs_rn_ctr") - F.col("hrs_rn")) > 1e-9))
+        | (F.abs(F.col("total_employed_hours") + F.col("total_contract_hours")
+                 - F.col("hrs_rn_emp") - F.col("hrs_rn_ctr") - F.col("hrs_lpn") - F.col("hrs_cna")) > 1e-6))
+    assert bad.count() == 0
+
+
 def test_to_serving_turns_decimals_into_doubles(spark):
     df = spark.sql("select cast(1.25 as decimal(10,2)) a, 'x' b")
     assert [f.dataType.simpleString() for f in to_serving(df).schema.fields] == ["double", "string"]
