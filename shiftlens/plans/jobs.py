@@ -21,7 +21,7 @@ from ..sources.panel import facility_days, render_raw
 from ..sources.sinks import read_layer, write_silver, write_table
 from .warehouse import GOLD_TABLES, build_gold_table
 
-GOLD_PARTITIONS = {"facts": ["state"], "agg_provider_monthly": ["state"]}
+GOLD_PARTITIONS = {"facts": ["state"], "agg_provider_monthly": ["state"], "provider_monthly_summary": ["state"]}
 
 
 def run_raw_to_silver(spark: SparkSession, raw_path: str, silver_path: str) -> int:

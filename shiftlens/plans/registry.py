@@ -19,7 +19,7 @@ from ..streaming.incremental import run_incremental_silver
 
 
 def _pm(wh: Warehouse) -> DataFrame:
-    return M.v_provider_monthly(wh.daily())
+    return wh.provider_monthly()
 
 
 def _silver_cols(*cols: str):
@@ -40,7 +40,7 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v_daily_metrics": lambda wh: wh.daily(),
     "v_kpi_summary": lambda wh: M.v_kpi_summary(wh.daily()),
     "v_provider_monthly": _pm,
-    "v_state_monthly": lambda wh: M.v_state_monthly(wh.daily()),
+    "v_state_monthly": lambda wh: wh.state_monthly(),
     "v_provider_rankings": lambda wh: M.v_provider_rankings(_pm(wh)),
     "v_staffing_alerts": lambda wh: M.v_staffing_alerts(_pm(wh)),
     "v_day_of_week_analysis": lambda wh: M.v_day_of_week_analysis(wh.daily()),

@@ -24,11 +24,11 @@ MEAN_PLACES = 6
 
 
 def _pm(wh: Warehouse) -> DataFrame:
-    return M.v_provider_monthly(wh.daily())
+    return wh.provider_monthly()
 
 
 def _sm(wh: Warehouse) -> DataFrame:
-    return M.v_state_monthly(wh.daily())
+    return wh.state_monthly()
 
 
 def _alerts(wh: Warehouse) -> DataFrame:

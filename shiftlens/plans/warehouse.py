@@ -27,6 +27,9 @@ GOLD_TABLES = {
     "agg_state_monthly": "aggregates/agg_state_monthly",
     "agg_state_monthly_etl": "aggregates/agg_state_monthly_etl",
     "agg_overall_metrics": "aggregates/agg_overall_metrics",
+    # the two summaries most dashboard queries start from, stored once per load
+    "provider_monthly_summary": "serving/provider_monthly_summary",
+    "state_monthly_summary": "serving/state_monthly_summary",
 }
 
 DEFAULT_SNAPSHOT_DATE = C.DEFAULT_SNAPSHOT_DATE
@@ -72,6 +75,16 @@ class Warehouse:
         from .metrics import v_daily_metrics
         return v_daily_metrics(self.fact)
 
+    def provider_monthly(self) -> DataFrame:
+        """``v_provider_monthly``: the stored summary when reading gold, else computed.
+        (Stored partitioned by state; the view's column order is restored.)"""
+        df = self.table("provider_monthly_summary")
+        return df.select("provider_id", "state", *[c for c in df.columns if c not in ("provider_id", "state")])
+
+    def state_monthly(self) -> DataFrame:
+        """``v_state_monthly``: the stored summary when reading gold, else computed."""
+        return self.table("state_monthly_summary")
+
 
 def build_gold_table(name: str, silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT_DATE) -> DataFrame:
     if name == "facts":
@@ -93,4 +106,8 @@ def build_gold_table(name: str, silver: DataFrame, snapshot_date: str = DEFAULT_
         return gold.build_agg_state_monthly_etl(silver)
     if name == "agg_overall_metrics":
         return gold.build_agg_overall_metrics(silver, snapshot_date)
+    if name in ("provider_monthly_summary", "state_monthly_summary"):
+        from .metrics import v_daily_metrics, v_provider_monthly, v_state_monthly
+        daily = v_daily_metrics(gold.build_fact(silver))
+        return v_provider_monthly(daily) if name == "provider_monthly_summary" else v_state_monthly(daily)
     raise KeyError(name)
