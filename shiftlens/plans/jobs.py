@@ -33,7 +33,7 @@ def run_raw_to_silver(spark: SparkSession, raw_path: str, silver_path: str) -> i
 
 def run_silver_to_gold(spark: SparkSession, silver_path: str, gold_dir: str,
                        snapshot_date: str = C.DEFAULT_SNAPSHOT_DATE,
-                       tables: list[str] | None = None, concurrent_writes: int = 4) -> dict[str, int]:
+                       tables: list[str] | None = None, concurrent_writes: int = 6) -> dict[str, int]:
     """Build and write every gold table. The tables are independent, so their
     write jobs are submitted together (Spark runs concurrent jobs of one
     application side by side); each still reads only its own silver columns."""
