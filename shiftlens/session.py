@@ -23,6 +23,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
                   extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("SHIFTLENS_DRIVER_MEMORY", "16g"))
          # rank tables are checkpointed; drop their files once no plan references them
