@@ -20,9 +20,18 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None,
-                dynamic: bool = True) -> int:
+                dynamic: bool = True, rebalance: bool = True) -> int:
     """Overwrite a Parquet table; with partition columns only the partitions
-    present in ``df`` are replaced. Returns the number of rows written."""
+    present in ``df`` are replaced. Returns the number of rows written.
+
+    A partitioned write is preceded by a REBALANCE on the partition columns:
+    without it every task writes one file per partition value it holds
+    (tasks x states small files at scale); a plain repartition by state would
+    put a hot state into one task. REBALANCE lets AQE cut each partition
+    value into advisory-size pieces, so files are few, even-sized, and a state
+    holding a third of the rows is spread over many writers."""
+    if partition_cols and rebalance:
+        df = df.hint("rebalance", *partition_cols)
     out, obs = observed(df, f"write:{path}")
     w = out.write.mode("overwrite")
     if partition_cols:
