@@ -44,12 +44,18 @@ def apply_library_conf(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set one only when unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server owns the setting
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="shiftlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
