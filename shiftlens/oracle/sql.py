@@ -646,6 +646,11 @@ UNION ALL SELECT 'agg_state_monthly', count(*) FROM agg_state_monthly""",
                           "mdscensus, " + ", ".join(C.hour_columns()) + " FROM silver",
     "raw_scan_counts": "SELECT cy_qtr, state, count(*) AS record_count FROM panel GROUP BY cy_qtr, state",
     "kpi_from_gold": "SELECT * FROM v_kpi_summary",
+    "sql_over_views": """SELECT s.state, CAST(SUM(s.provider_count) AS BIGINT) AS provider_months,
+       CAST(SUM(s.total_patient_days) AS BIGINT) AS patient_days, MAX(a.alerts) AS alerts
+FROM v_state_monthly s
+LEFT JOIN (SELECT state, count(*) AS alerts FROM v_staffing_alerts GROUP BY state) a ON a.state = s.state
+GROUP BY s.state""",
     "catalog_sql_counts": """SELECT f.state, count(*) AS record_count, max(s.provider_count) AS provider_count
 FROM facts f JOIN dim_state s ON f.state = s.state GROUP BY f.state""",
     "mv_staffing_summary_stored": "SELECT * FROM mv_staffing_summary",

@@ -11,6 +11,7 @@ from .. import config as C
 from . import metrics as M
 from . import serving as Q
 from . import jobs as J
+from .catalog import register_views
 from .warehouse import GOLD_TABLES, Warehouse
 from ..session import scratch_dir
 from ..sources.bronze import raw_inventory
@@ -155,6 +156,21 @@ def _catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CATALOG_SQL)
 
 
+SQL_OVER_VIEWS = """
+SELECT s.state, SUM(s.provider_count) AS provider_months, SUM(s.total_patient_days) AS patient_days,
+       MAX(a.alerts) AS alerts
+FROM v_state_monthly s
+LEFT JOIN (SELECT state, COUNT(*) AS alerts FROM v_staffing_alerts GROUP BY state) a ON a.state = s.state
+GROUP BY s.state
+"""
+
+
+def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warehouse-style SQL text over the registered metric views."""
+    register_views(Warehouse.derived(spark, sf_dir), ["v_state_monthly", "v_staffing_alerts"])
+    return spark.sql(SQL_OVER_VIEWS)
+
+
 def _mv_stored(definition):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         wh = Warehouse.derived(spark, sf_dir)
@@ -179,6 +195,7 @@ JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_roundtrip": _gold_roundtrip,
     "kpi_from_gold": _kpi_from_gold,
     "catalog_sql_counts": _catalog_sql,
+    "sql_over_views": _sql_over_views,
     "mv_staffing_summary_stored": _mv_stored(Q.mv_staffing_summary),
     "mv_provider_rankings_stored": _mv_stored(Q.mv_provider_rankings),
     # rows-only checks (no SQL equivalent: file sizes, run status, lineage, hash keys)

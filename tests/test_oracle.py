@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "supplier", "lineitem"]
-JOB_KEYS = {"pipeline_run_log", "catalog_sql_counts", "silver_roundtrip", "incremental_silver", "raw_scan_counts", "gold_roundtrip", "kpi_from_gold",
+JOB_KEYS = {"sql_over_views", "pipeline_run_log", "catalog_sql_counts", "silver_roundtrip", "incremental_silver", "raw_scan_counts", "gold_roundtrip", "kpi_from_gold",
             "mv_staffing_summary_stored", "mv_provider_rankings_stored"}
 KEYS = [k for k in E.oracle_sql() if k not in JOB_KEYS]
 

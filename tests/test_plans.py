@@ -101,3 +101,21 @@ def test_employed_plus_contract_equals_total_per_role(gold_wh):
 def test_to_serving_turns_decimals_into_doubles(spark):
     df = spark.sql("select cast(1.25 as decimal(10,2)) a, 'x' b")
     assert [f.dataType.simpleString() for f in to_serving(df).schema.fields] == ["double", "string"]
+
+
+def test_dashboard_sql_runs_over_registered_views(spark, gold_wh):
+    """SQL written against the warehouse view names runs unchanged via spark.sql."""
+    from shiftlens.plans.catalog import register_views
+    register_views(gold_wh)
+    got = {r.state: r for r in spark.sql("""
+        SELECT state, SUM(provider_count) AS provider_count, ROUND(AVG(avg_hppd), 2) AS avg_hppd,
+               SUM(total_nursing_hours) AS total_nursing_hours
+        FROM v_state_monthly GROUP BY state ORDER BY avg_hppd DESC""").collect()}
+    exp = {r.state: r for r in Q.state_summary(gold_wh).collect()}
+    assert got.keys() == exp.keys()
+    for st, r in exp.items():
+        assert got[st].provider_count == r.provider_count
+        assert abs(got[st].avg_hppd - r.avg_hppd) <= 0.01
+        assert abs(got[st].total_nursing_hours - r.total_nursing_hours) < 1e-6
+    k = spark.sql("SELECT total_records, overall_avg_hppd FROM v_kpi_summary").first()
+    assert k.total_records == M.v_kpi_summary(gold_wh.daily()).first().total_records
