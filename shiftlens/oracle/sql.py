@@ -629,7 +629,9 @@ UNION ALL SELECT 'silver_to_gold', 'SUCCEEDED',
      + (SELECT count(*) FROM facts) + (SELECT count(*) FROM agg_provider_monthly)
      + (SELECT count(*) FROM agg_state_monthly) + (SELECT count(*) FROM agg_state_monthly_etl)
      + (SELECT count(*) FROM agg_overall_metrics) + (SELECT count(*) FROM v_provider_monthly)
-     + (SELECT count(*) FROM v_state_monthly)""",
+     + (SELECT count(*) FROM v_state_monthly)
+UNION ALL SELECT 'refresh_views', 'SUCCEEDED',
+       (SELECT count(*) FROM mv_staffing_summary) + (SELECT count(*) FROM mv_provider_rankings)""",
     "gold_roundtrip": """SELECT 'fact_daily_staffing' AS table_name, count(*) AS row_count FROM facts
 UNION ALL SELECT 'dim_provider', count(*) FROM dim_provider
 UNION ALL SELECT 'dim_date', count(*) FROM dim_date

@@ -50,6 +50,24 @@ def run_silver_to_gold(spark: SparkSession, silver_path: str, gold_dir: str,
         return dict(pool.map(one, names))
 
 
+MATERIALIZED_VIEWS = ["mv_staffing_summary", "mv_provider_rankings"]
+
+
+def refresh_materialized_views(spark: SparkSession, gold_dir: str, silver_path: str | None = None) -> int:
+    """Recompute both materialized views from the freshly written gold tables
+    (a new version folder each; readers switch once it is complete)."""
+    from . import serving as Q
+    from ..sources.sinks import MaterializedView
+    from .warehouse import Warehouse
+    wh = Warehouse.from_gold(spark, gold_dir, silver_path)
+    defs = {"mv_staffing_summary": Q.mv_staffing_summary, "mv_provider_rankings": Q.mv_provider_rankings}
+    total = 0
+    for name in MATERIALIZED_VIEWS:
+        mv = MaterializedView(spark, f"{gold_dir.rstrip('/')}/serving/{name}", lambda f=defs[name]: f(wh))
+        total += mv.refresh()
+    return total
+
+
 def land_panel(spark: SparkSession, sf_dir: str, base: str, ingest_date: str) -> int:
     """Land the derived staffing panel as raw CSV (the upload step); returns records landed."""
     return land_raw(render_raw(facility_days(spark, sf_dir)), base, ingest_date)
@@ -57,7 +75,7 @@ def land_panel(spark: SparkSession, sf_dir: str, base: str, ingest_date: str) ->
 
 def run_pipeline(spark: SparkSession, sf_dir: str, base: str, ingest_date: str = "2024-07-01",
                  snapshot_date: str = C.DEFAULT_SNAPSHOT_DATE) -> DataFrame:
-    """Land -> silver -> gold in order; stop at the first failure.
+    """Land -> silver -> gold -> refresh materialized views, in order; stop at the first failure.
 
     Returns a run log with one row per stage (stage, status, rows, seconds, detail)."""
     base = base.rstrip("/")
@@ -66,6 +84,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, base: str, ingest_date: str =
         ("land_raw", lambda: land_panel(spark, sf_dir, base, ingest_date)),
         ("raw_to_silver", lambda: run_raw_to_silver(spark, raw_category_path(base), silver)),
         ("silver_to_gold", lambda: sum(run_silver_to_gold(spark, silver, gold, snapshot_date).values())),
+        ("refresh_views", lambda: refresh_materialized_views(spark, gold, silver)),
     ]
     log = []
     failed = False

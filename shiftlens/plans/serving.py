@@ -135,7 +135,7 @@ def state_comparison(wh: Warehouse) -> DataFrame:
 
 
 def monthly_trend(wh: Warehouse, summary: DataFrame | None = None) -> DataFrame:
-    mv = summary if summary is not None else mv_staffing_summary(wh)
+    mv = summary if summary is not None else wh.materialized("mv_staffing_summary")
     return (mv.groupBy("year_month").agg(
         exact_sum("total_nursing_hours").alias("total_hours"),
         stable_round(F.avg("avg_nursing_hppd"), MEAN_PLACES).alias("avg_hppd"),

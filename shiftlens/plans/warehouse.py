@@ -75,6 +75,19 @@ class Warehouse:
         from .metrics import v_daily_metrics
         return v_daily_metrics(self.fact)
 
+    def materialized(self, name: str) -> DataFrame:
+        """A materialized view: its newest complete version when reading gold
+        (if the pipeline refreshed it), else its definition."""
+        from . import serving as Q
+        if self.gold_dir is not None:
+            from ..sources.sinks import MaterializedView
+            mv = MaterializedView(self.spark, f"{self.gold_dir}/serving/{name}", None)
+            versions = mv.versions()
+            if versions:
+                return self.spark.read.parquet(f"{mv.path}/version={versions[-1]}")
+        return {"mv_staffing_summary": Q.mv_staffing_summary,
+                "mv_provider_rankings": Q.mv_provider_rankings}[name](self)
+
     def provider_monthly(self) -> DataFrame:
         """``v_provider_monthly``: the stored summary when reading gold, else computed.
         (Stored partitioned by state; the view's column order is restored.)"""

@@ -78,11 +78,17 @@ def test_pipeline_counts_and_run_log(spark):
     assert log["raw_to_silver"].rows == silver.count() == fact.count() == 910
     inv = raw_inventory(spark, p["raw"]).first()
     assert inv.file_count >= 1 and inv.total_bytes > 0
+    # the refreshed materialized view is what the gold-mode warehouse serves
+    from shiftlens.plans.warehouse import Warehouse
+    wh = Warehouse.from_gold(spark, p["gold"], p["silver"])
+    stored = wh.materialized("mv_staffing_summary")
+    assert "version=" in stored.inputFiles()[0] and stored.count() == log["refresh_views"].rows - \
+        wh.materialized("mv_provider_rankings").count()
 
 
 def test_pipeline_stops_at_first_failure(spark):
     log = J.run_pipeline(spark, "/nonexistent/sf", scratch_dir(spark, "failing")).collect()
-    assert [r.status for r in log] == ["FAILED", "SKIPPED", "SKIPPED"]
+    assert [r.status for r in log] == ["FAILED", "SKIPPED", "SKIPPED", "SKIPPED"]
 
 
 def test_incremental_ingest_processes_new_files_once(spark):
