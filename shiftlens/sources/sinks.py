@@ -78,8 +78,9 @@ class MaterializedView:
     (readers keep the previous complete version while a refresh runs); the
     newest complete version is the one read."""
 
-    def __init__(self, spark: SparkSession, path: str, definition):
+    def __init__(self, spark: SparkSession, path: str, definition, keep_versions: int = 2):
         self.spark, self.path, self.definition = spark, path.rstrip("/"), definition
+        self.keep_versions = keep_versions
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -99,7 +100,19 @@ class MaterializedView:
 
     def refresh(self) -> int:
         version = f"{int(time.time() * 1000):015d}"
-        return write_table(self.definition(), f"{self.path}/version={version}")
+        rows = write_table(self.definition(), f"{self.path}/version={version}")
+        self.prune()
+        return rows
+
+    def prune(self) -> list[str]:
+        """Drop complete versions older than the newest ``keep_versions`` (the
+        previous one stays for readers that started before the refresh)."""
+        old = self.versions()[:-self.keep_versions] if self.keep_versions > 0 else []
+        fs, _ = self._fs()
+        jvm = self.spark.sparkContext._jvm
+        for v in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/version={v}"), True)
+        return old
 
     def read(self) -> DataFrame:
         vs = self.versions()

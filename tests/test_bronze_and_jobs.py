@@ -109,6 +109,9 @@ def test_materialized_view_refresh_versions(spark):
     counter["n"] = 5
     mv.refresh()
     assert mv.read().count() == 5 and len(mv.versions()) == 2
+    counter["n"] = 7
+    mv.refresh()
+    assert mv.read().count() == 7 and len(mv.versions()) == 2  # oldest version pruned
 
 
 def test_uploaded_file_keeps_its_own_quarter(spark, tmp_path):
