@@ -12,9 +12,13 @@ partition sort strictly before its value, so:
    of distinct values in a bucket: at most 100 for 2-place metrics at width 1)
 3. join the per-value ranks back to the rows on (partition, value).
 
-The windows therefore only ever sort small, bounded tables; the big side is
-touched by one aggregation and one equi-join (AQE broadcasts the rank table
-when it is small and splits skewed keys when it is not).
+The windows therefore only ever sort small, bounded tables. Several rankings
+of one input are stacked into a single (spec, partition, value) table, so the
+input is aggregated once for all of them; the resulting rank table (one row
+per spec, partition and distinct value) is checkpointed once to the shared
+checkpoint folder and equi-joined back per ranking. The big side is touched
+by one aggregation and a chain of equi-joins: AQE broadcasts the rank table
+after checking its runtime size, and splits skewed keys when it does not.
 
 Null values sort last in both directions (stated explicitly; engines differ).
 Ranks are bigint; percent ranks double, 0 when the partition has one row.
