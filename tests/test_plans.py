@@ -119,3 +119,32 @@ def test_dashboard_sql_runs_over_registered_views(spark, gold_wh):
         assert abs(got[st].total_nursing_hours - r.total_nursing_hours) < 1e-6
     k = spark.sql("SELECT total_records, overall_avg_hppd FROM v_kpi_summary").first()
     assert k.total_records == M.v_kpi_summary(gold_wh.daily()).first().total_records
+
+
+def test_hot_state_is_split_across_writers(spark):
+    """A state holding a third of all rows is cut into several files by the rebalanced write
+    (AQE splits the skewed partition by ranges of map tasks); nothing is dropped. Coalescing is
+    off here so the upstream keeps its 8 tasks, as a large input would (at sf0.01 AQE would
+    otherwise merge the upstream into one task, leaving nothing to split)."""
+    import glob
+    from pyspark.sql import functions as F
+    from shiftlens.operators import gold
+    from shiftlens.sources.sinks import write_table
+    from conftest import SF_CHECK
+    fact = gold.build_fact(Warehouse.derived(spark, SF_CHECK).silver)
+    fact = fact.withColumn("state", F.when(F.col("provider_id").cast("int") % 3 == 0, F.lit("HOT"))
+                           .otherwise(F.col("state")))
+    path = scratch_dir(spark, "hot") + "/facts"
+    keys = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "64k")
+        spark.conf.set(keys[1], "false")
+        rows = write_table(fact, path, ["state"])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    back = spark.read.parquet(path)
+    hot = back.where(F.col("state") == "HOT").count()
+    assert rows == back.count() == fact.count() and hot * 4 > rows  # about a third is HOT
+    assert len(glob.glob(path.replace("file:", "") + "/state=HOT/*.parquet")) > 1
