@@ -156,3 +156,16 @@ def test_gold_job_twice_gives_same_data(spark):
             snap[t] = sorted(map(tuple, df.collect()), key=str)
         snaps.append(snap)
     assert snaps[0] == snaps[1]
+
+
+def test_cli_pipeline_and_jobs(spark, capsys):
+    import json
+    from shiftlens.__main__ import main
+    base = scratch_dir(spark, "cli")
+    assert main(["pipeline", "--sf-dir", SF_SMALL, "--base", base]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["raw_to_silver"] == {"status": "SUCCEEDED", "rows": 910}
+    p = J.pipeline_paths(base)
+    assert main(["silver-to-gold", "--silver", p["silver"], "--gold", base + "/gold2"]) == 0
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts["facts"] == 910 and counts["dim_date"] == 91
