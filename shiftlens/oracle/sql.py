@@ -579,7 +579,7 @@ FROM (SELECT f.state, d.year_month, {XSUM("f.total_employed_hours")} AS employed
     "kpi_cards": f"""SELECT total_providers, total_states, total_records, overall_avg_hppd,
        {R("overall_avg_hppd - " + D(C.HPPD_BENCHMARK), 2)} AS hppd_vs_benchmark,
        {R("(" + D(C.HPPD_BENCHMARK) + " - overall_avg_hppd) / " + D(C.HPPD_BENCHMARK) + " * " + D(100), 1)} AS benchmark_gap_pct,
-       overall_rn_mix_pct, pct_meeting_benchmark
+       overall_rn_mix_pct, pct_meeting_benchmark, pct_critical_understaffing
 FROM v_kpi_summary""",
     "state_monthly_ordered": "SELECT * FROM v_state_monthly ORDER BY state, year_month",
     "state_summary": f"""SELECT state, {ISUM("provider_count")} AS provider_count,

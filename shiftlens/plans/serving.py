@@ -178,7 +178,7 @@ def kpi_cards(wh: Warehouse) -> DataFrame:
                     stable_round(avg - F.lit(C.HPPD_BENCHMARK), 2).alias("hppd_vs_benchmark"),
                     stable_round((F.lit(C.HPPD_BENCHMARK) - avg) / F.lit(C.HPPD_BENCHMARK) * F.lit(100.0), 1)
                     .alias("benchmark_gap_pct"),
-                    "overall_rn_mix_pct", "pct_meeting_benchmark")
+                    "overall_rn_mix_pct", "pct_meeting_benchmark", "pct_critical_understaffing")
 
 
 def state_monthly_ordered(wh: Warehouse) -> DataFrame:
