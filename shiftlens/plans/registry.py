@@ -123,13 +123,17 @@ def _incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*SILVER_TYPED)
 
 
-def _gold_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    base = scratch_dir(spark, "gold")
+def _run_pipeline_checked(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
+    base = scratch_dir(spark, name)
     log = J.run_pipeline(spark, sf_dir, base)
     failed = log.where(F.col("status") != "SUCCEEDED").collect()  # at most one row per stage
     if failed:
         raise RuntimeError(f"pipeline failed: {failed}")
-    p = J.pipeline_paths(base)
+    return J.pipeline_paths(base)
+
+
+def _gold_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    p = _run_pipeline_checked(spark, sf_dir, "gold")
     return Warehouse.from_gold(spark, p["gold"], p["silver"])
 
 
@@ -150,9 +154,8 @@ GROUP BY f.state
 
 def _catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold folders registered as tables, queried with SQL text."""
-    base = scratch_dir(spark, "catalog")
-    J.run_pipeline(spark, sf_dir, base)
-    register_tables(spark, J.pipeline_paths(base)["gold"], GOLD_TABLES)
+    p = _run_pipeline_checked(spark, sf_dir, "catalog")
+    register_tables(spark, p["gold"], GOLD_TABLES)
     return spark.sql(CATALOG_SQL)
 
 
@@ -198,11 +201,12 @@ JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_over_views": _sql_over_views,
     "mv_staffing_summary_stored": _mv_stored(Q.mv_staffing_summary),
     "mv_provider_rankings_stored": _mv_stored(Q.mv_provider_rankings),
-    # rows-only checks (no SQL equivalent: file sizes, run status, lineage, hash keys)
-    "raw_inventory": _raw_inventory,
     "pipeline_run_log": _pipeline_run_log,
+    # rows-only (no SQL equivalent: file sizes on disk)
+    "raw_inventory": _raw_inventory,
 }
 
+# rows-only (no SQL equivalent: processing timestamps, 64-bit hash keys)
 ROWS_ONLY: dict[str, Callable[[Warehouse], DataFrame]] = {
     "silver_lineage": lambda wh: wh.silver.select("provnum", "work_date", "processed_at", "source_file")
     .where(F.col("processed_at").isNotNull() & F.col("source_file").isNotNull()),
