@@ -8,7 +8,8 @@
 
 The session comes from the launcher (``getOrCreate``): master, executors and
 ``spark.checkpoint.dir`` are the cluster's; only the library's SQL settings
-(AQE, UTC, dynamic partition overwrite) are applied on top. Each command
+(AQE, UTC, dynamic partition overwrite) are applied on top, and the shuffle
+partition count is sized to the job's input (about 256 MB per partition). Each command
 prints one JSON line with what it wrote.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import SparkSession
 
 from . import config as C
 from .plans import jobs as J
-from .session import apply_library_conf, ensure_checkpoint_dir
+from .session import apply_library_conf, ensure_checkpoint_dir, size_shuffle_partitions
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,6 +52,10 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"shiftlens-{args.cmd}").getOrCreate()
     apply_library_conf(spark)
     ensure_checkpoint_dir(spark)
+    # shuffle partitions sized to this job's input (metadata only), AQE coalesces the rest
+    source = {"raw-to-silver": "raw", "silver-to-gold": "silver", "refresh-views": "gold"}.get(args.cmd)
+    inputs = [getattr(args, source)] if source else [f"{args.sf_dir}/lineitem.parquet"]
+    size_shuffle_partitions(spark, inputs)
     if args.cmd == "raw-to-silver":
         out = {"silver_rows": J.run_raw_to_silver(spark, args.raw, args.silver)}
     elif args.cmd == "silver-to-gold":

@@ -63,3 +63,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (visible to every executor)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/shiftlens-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths``, from file-system metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = TARGET_PARTITION_BYTES, minimum: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about input size / ``target_bytes``
+    (at least the cluster's default parallelism), so a shuffle of the whole
+    input still gives partitions that fit in task memory; AQE coalesces the
+    partitions a smaller intermediate does not need."""
+    floor = minimum if minimum is not None else spark.sparkContext.defaultParallelism
+    n = max(floor, -(-input_bytes(spark, paths) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 256 * 1024 * 1024)))
+    return n

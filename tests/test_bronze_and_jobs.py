@@ -162,6 +162,17 @@ def test_cli_pipeline_and_jobs(spark, capsys):
     import json
     from shiftlens.__main__ import main
     base = scratch_dir(spark, "cli")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        _cli_checks(spark, capsys, main, base)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _cli_checks(spark, capsys, main, base):
+    import json
     assert main(["pipeline", "--sf-dir", SF_SMALL, "--base", base]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["raw_to_silver"] == {"status": "SUCCEEDED", "rows": 910}
@@ -169,3 +180,15 @@ def test_cli_pipeline_and_jobs(spark, capsys):
     assert main(["silver-to-gold", "--silver", p["silver"], "--gold", base + "/gold2"]) == 0
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert counts["facts"] == 910 and counts["dim_date"] == 91
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from shiftlens.session import input_bytes, size_shuffle_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size = input_bytes(spark, [f"{SF_SMALL}/lineitem.parquet"])
+        assert size > 0
+        n = size_shuffle_partitions(spark, [f"{SF_SMALL}/lineitem.parquet"], target_bytes=max(1, size // 10), minimum=1)
+        assert 10 <= n <= 11 and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
