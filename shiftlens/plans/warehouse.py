@@ -34,6 +34,15 @@ GOLD_TABLES = {
 
 DEFAULT_SNAPSHOT_DATE = C.DEFAULT_SNAPSHOT_DATE
 
+# serving summaries that can always be recomputed from the stored fact
+FACT_DERIVED = {"provider_monthly_summary", "state_monthly_summary"}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
 
 @dataclass
 class Warehouse:
@@ -61,7 +70,14 @@ class Warehouse:
         if name in self._cache:
             return self._cache[name]
         if self.gold_dir is not None:
-            df = self.spark.read.parquet(f"{self.gold_dir}/{GOLD_TABLES[name]}")
+            path = f"{self.gold_dir}/{GOLD_TABLES[name]}"
+            if name in FACT_DERIVED and not _exists(self.spark, path):
+                # gold written before the serving summaries existed: derive from the stored fact
+                from .metrics import v_daily_metrics, v_provider_monthly, v_state_monthly
+                daily = v_daily_metrics(self.fact)
+                df = v_provider_monthly(daily) if name == "provider_monthly_summary" else v_state_monthly(daily)
+            else:
+                df = self.spark.read.parquet(path)
         else:
             df = build_gold_table(name, self.silver, self.snapshot_date)
         self._cache[name] = df

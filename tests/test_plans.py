@@ -148,3 +148,14 @@ def test_hot_state_is_split_across_writers(spark):
     hot = back.where(F.col("state") == "HOT").count()
     assert rows == back.count() == fact.count() and hot * 4 > rows  # about a third is HOT
     assert len(glob.glob(path.replace("file:", "") + "/state=HOT/*.parquet")) > 1
+
+
+def test_gold_without_serving_summaries_falls_back_to_fact(spark):
+    from shiftlens.plans.jobs import pipeline_paths as paths
+    base = scratch_dir(spark, "nosummary")
+    p = paths(base)
+    land_panel(spark, SF_SMALL, base, "2024-07-01")
+    run_raw_to_silver(spark, p["raw"], p["silver"])
+    run_silver_to_gold(spark, p["silver"], p["gold"], tables=["facts", "dim_date"])
+    wh = Warehouse.from_gold(spark, p["gold"], p["silver"])
+    assert wh.provider_monthly().count() == 30 and wh.state_monthly().count() == 30
