@@ -312,17 +312,22 @@ def table_row_counts(wh: Warehouse) -> DataFrame:
 
 
 def fk_violations(wh: Warehouse) -> DataFrame:
-    """Fact rows whose foreign key has no dimension row (expected: 0 each)."""
-    f = wh.fact
-    checks = [
-        ("fact.date_key -> dim_date", "date_key", _dim_date(wh).select("date_key")),
-        ("fact.provider_id -> dim_provider", "provider_id", wh.table("dim_provider").select("provider_id")),
-        # one row per state: bounded, broadcast so a hot state never meets a shuffle
-        ("fact.state -> dim_state", "state", F.broadcast(wh.table("dim_state").select("state"))),
-    ]
-    out = None
-    for name, key, dim in checks:
-        c = (f.select(key).join(dim, key, "left_anti").agg(F.count(F.lit(1)).alias("violations"))
-             .select(F.lit(name).alias("check_name"), "violations"))
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Fact rows whose foreign key has no dimension row (expected: 0 each).
+
+    One pass over the fact's three key columns: left joins against the date
+    and state dimensions (one row per day / per state: bounded, broadcast)
+    and against the distinct provider ids (grows with the data: planner/AQE
+    decide), then one global count of unmatched rows per key."""
+    f = wh.fact.select("date_key", "provider_id", "state")
+    dates = _dim_date(wh).select("date_key", F.lit(True).alias("_d"))
+    states = F.broadcast(wh.table("dim_state").select("state", F.lit(True).alias("_s")))
+    providers = wh.table("dim_provider").select("provider_id").distinct().withColumn("_p", F.lit(True))
+    j = (f.join(dates, "date_key", "left").join(states, "state", "left")
+         .join(providers, "provider_id", "left"))
+    counts = j.agg(F.count_if(F.col("_d").isNull()).alias("d"),
+                   F.count_if(F.col("_p").isNull()).alias("p"),
+                   F.count_if(F.col("_s").isNull()).alias("s"))
+    return counts.select(F.inline(F.array(
+        F.struct(F.lit("fact.date_key -> dim_date").alias("check_name"), F.col("d").alias("violations")),
+        F.struct(F.lit("fact.provider_id -> dim_provider").alias("check_name"), F.col("p").alias("violations")),
+        F.struct(F.lit("fact.state -> dim_state").alias("check_name"), F.col("s").alias("violations")))))

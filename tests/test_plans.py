@@ -159,3 +159,16 @@ def test_gold_without_serving_summaries_falls_back_to_fact(spark):
     run_silver_to_gold(spark, p["silver"], p["gold"], tables=["facts", "dim_date"])
     wh = Warehouse.from_gold(spark, p["gold"], p["silver"])
     assert wh.provider_monthly().count() == 30 and wh.state_monthly().count() == 30
+
+
+def test_fk_violations_counts_orphans(spark):
+    from shiftlens.operators.silver import to_silver
+    from helpers import raw_frame
+    silver = to_silver(raw_frame(spark, [{"PROVNUM": "000001"}, {"PROVNUM": "000002", "WorkDate": "20240402"},
+                                         {"PROVNUM": "000002", "WorkDate": "20240403"}]))
+    wh = Warehouse(spark, silver=silver)
+    wh._cache["dim_provider"] = wh.table("dim_provider").where("provider_id = '000001'")
+    wh._cache["dim_date"] = wh.table("dim_date").where("date_key <> 20240403")
+    got = {r.check_name: r.violations for r in Q.fk_violations(wh).collect()}
+    assert got == {"fact.date_key -> dim_date": 1, "fact.provider_id -> dim_provider": 2,
+                   "fact.state -> dim_state": 0}
