@@ -57,7 +57,7 @@ def main():
         "v_provider_rankings (scalable ranks)": M.v_provider_rankings(M.v_provider_monthly(wh.daily())),
         "mv_staffing_summary (fact x dim_date)": Q.mv_staffing_summary(wh),
         "provider_details state filter (partition pruning)": Q.provider_details(wh, state="NATION_9", limit=200),
-        "fk_violations (anti-joins)": Q.fk_violations(wh),
+        "fk_violations (one pass, left joins)": Q.fk_violations(wh),
         "panel derivation from lineitem": Warehouse.derived(spark, sf).silver,
     }
     print("# PLANS\n")
