@@ -43,20 +43,21 @@ def apply_library_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only when unset (tests)."""
+    """The shared folder for checkpoints and scratch tables.
+
+    ``spark.checkpoint.dir`` from the session when the cluster names one;
+    otherwise (tests, ad-hoc sessions) a folder is given to the SparkContext
+    (``spark.checkpoint.dir`` itself cannot be changed once the context runs)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext; the server owns the setting
         sc = None
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="shiftlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
+    if sc is None:
+        return d or tempfile.mkdtemp(prefix="shiftlens-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d or tempfile.mkdtemp(prefix="shiftlens-ckpt-"))
+    return d or sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -192,3 +192,25 @@ def test_shuffle_partitions_sized_from_input(spark):
         assert 10 <= n <= 11 and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_session_without_checkpoint_dir_setting(tmp_path):
+    """A cluster session that names no spark.checkpoint.dir: the library must not try to set
+    that (immutable) conf, and checkpointing queries still run. Separate process, empty
+    Spark defaults."""
+    import os
+    import subprocess
+    import sys
+    conf_dir = tmp_path / "conf"
+    conf_dir.mkdir()
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "import __spark_entry__ as E\n"
+        "print('RESULT', E.queries()['v_provider_rankings'](spark, %r).count())\n"
+    ) % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), SF_SMALL)
+    env = dict(os.environ, SPARK_CONF_DIR=str(conf_dir))
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=600)
+    assert "RESULT 9" in out.stdout, out.stderr[-2000:]
