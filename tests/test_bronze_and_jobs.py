@@ -234,3 +234,18 @@ def test_incremental_ingest_resumes_after_a_stopped_run_without_duplicates(spark
     done = run_incremental_silver(spark, p["raw"], out, ckpt)
     ids = sorted(r.provnum for r in done.select("provnum").collect())
     assert ids == ["000001", "000002", "000003", "000004", "000005", "000006"]
+
+
+def test_failed_refresh_keeps_previous_version_readable(spark):
+    state = {"fail": False}
+
+    def definition():
+        df = spark.range(3)
+        return df.select(F.when(F.lit(state["fail"]), F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
+
+    mv = MaterializedView(spark, scratch_dir(spark, "mvfail"), definition)
+    mv.refresh()
+    state["fail"] = True
+    with pytest.raises(Exception):
+        mv.refresh()
+    assert sorted(r.id for r in mv.read().collect()) == [0, 1, 2] and len(mv.versions()) == 1
