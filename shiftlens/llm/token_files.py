@@ -60,7 +60,7 @@ def publish(fs, path: str, write) -> None:
     import uuid
 
     temp = f"{path}.{uuid.uuid4().hex}.tmp"
-    with fs.open_output_stream(temp) as out:
+    with fs.open_output_stream(temp, compression=None) as out:
         write(out)
     fs.move(temp, path)
 
