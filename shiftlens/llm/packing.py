@@ -13,7 +13,8 @@ sequences s, s+1, ... at offset o", whose size depends on C only.
 Pieces get their rank among those of equal length without any global sort:
 a position within (length, writing task), plus the count of earlier tasks. Runs are
 cut at those task borders, so that a piece finds its run by an equi-join on
-(length, task). Token ids are written once and never shuffled.
+(length, task). Token ids are written once; they are shuffled only if a caller
+selects them while that table of borders is too large to broadcast.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 separate documents; a null id is kept; other columns are ignored; an empty
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pick, stored, table
+from .common import pick, small, stored, table
 from .encode import encoder
 
 CAPACITY, END_ID = 4096, 1
@@ -183,6 +184,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
 
     places = by_task.mapInArrow(cut, "length bigint, task bigint, from_pos bigint, to_pos bigint, shift bigint,"
                                      " sequence bigint, per bigint, base bigint")
+    # a task's pieces of one length seldom span two runs, so the counted rows tell the size; beyond it, a shuffle
+    places = F.broadcast(places) if small(by_task, row_bytes=256) else places.hint("merge")
     i = F.col("pos") + F.col("shift")
     return (own.join(places, ["length", "task"]).where("pos >= from_pos and pos < to_pos")
             .select("doc_id", "piece", "start", "length", "ids_crc32", "ids",
