@@ -152,15 +152,21 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BI
     names = docs.columns
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     doc_id, text = (F.col(f"_c{names.index(c)}") for c in ("doc_id", "text"))
-    held = stored(plain.withColumn("_id", doc_id).withColumn("_fp", fingerprint_of(text, words)), "simhash-docs")
-    fps = held.select(F.col("_id").alias("id"), F.col("_fp").alias("fp"))
-    first = classes(fps, max_bits).where(F.col("first_id").eqNullSafe(F.col("component_id"))).select("fp", "first_id")
-    # keyed by id and fingerprint: a fingerprint that a third of all rows share is no hot key
-    kept = held.join(first, held["_id"].eqNullSafe(first["first_id"]) & (held["_fp"] == first["fp"]), "left_semi")
-    repeated = fps.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    if repeated:
-        kept = kept.dropDuplicates(["_id", "_fp"])
-    return kept.drop("_id", "_fp").toDF(*names)
+    fp = fingerprint_of(text, words)
+    fps = stored(plain.select(doc_id.alias("id"), fp.alias("fp")), "simhash-fps")
+    first = (classes(fps, max_bits).where(F.col("first_id").eqNullSafe(F.col("component_id")))
+             .select(F.col("first_id").alias("_first"), F.col("fp").alias("_first_fp")))
+    once = fps.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() == 0
+    # keyed by id: a fingerprint that a third of all rows share is no hot key. The texts are shuffled
+    # once, at every size alike, rather than meeting a broadcast whose size grows with the corpus
+    if once:
+        kept = plain.join(first.hint("merge"), doc_id.eqNullSafe(F.col("_first")), "left_semi")
+    else:  # ids that repeat: the text decides which of the rows is meant
+        kept = (plain.withColumn("_fp", fp)
+                .join(first.hint("merge"), doc_id.eqNullSafe(F.col("_first")) & (F.col("_fp") == F.col("_first_fp")),
+                      "left_semi")
+                .dropDuplicates([f"_c{names.index('doc_id')}", "_fp"]).drop("_fp"))
+    return kept.toDF(*names)
 
 
 def fingerprint_hex(fp) -> Column:
