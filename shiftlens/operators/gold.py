@@ -61,11 +61,14 @@ def build_dim_date(silver: DataFrame) -> DataFrame:
 def build_dim_provider(silver: DataFrame) -> DataFrame:
     """Distinct provider attribute tuples. A provider whose name/city changed has
     several rows (as upstream). ``provider_sk`` is a hash of the natural columns,
-    so it is stable across runs and recomputations (no monotonically_increasing_id)."""
+    so it is stable across runs and recomputations (no monotonically_increasing_id).
+    64 bits: n tuples hold an equal pair with probability about n * n / 2**65 (1e-9 for 200,000)."""
     cols = ["provnum"] + PROVIDER_ATTRS
     dp = silver.select(*cols).distinct()
+    # the hash skips nulls, so each value goes in with a mark of whether it is there
+    marked = [F.concat(F.lit("="), F.col(c).cast("string")) for c in cols]
     return dp.select(
-        F.xxhash64(*[F.col(c) for c in cols]).alias("provider_sk"),
+        F.xxhash64(*[F.coalesce(m, F.lit("-")) for m in marked]).alias("provider_sk"),
         F.col("provnum").alias("provider_id"),
         F.col("provname").alias("provider_name"),
         "city", "state", "county_name", "county_fips",

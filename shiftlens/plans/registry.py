@@ -97,7 +97,7 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "daily_trends": Q.daily_trends,
     "hppd_distribution": Q.hppd_distribution,
     "staffing_mix": Q.staffing_mix,
-    "state_trend_selected": Q.state_trend_selected,
+    "state_trend_selected": Q.state_trend_preselected,
     "rankings_top10": Q.rankings_top10,
     "global_rank": Q.global_rank,
     "table_row_counts": Q.table_row_counts,
@@ -206,11 +206,14 @@ JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_inventory": _raw_inventory,
 }
 
-# rows-only (no SQL equivalent: processing timestamps, 64-bit hash keys)
-ROWS_ONLY: dict[str, Callable[[Warehouse], DataFrame]] = {
-    "silver_lineage": lambda wh: wh.silver.select("provnum", "work_date", "processed_at", "source_file")
-    .where(F.col("processed_at").isNotNull() & F.col("source_file").isNotNull()),
-    "dim_provider_sk": lambda wh: wh.table("dim_provider").select("provider_sk", "provider_id"),
+# hash keys and processing times have no SQL value; what holds for them does
+DERIVED_FACTS: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "silver_lineage": lambda wh: wh.silver.select(
+        "provnum", "work_date", F.col("processed_at").isNotNull().alias("has_processed_at"),
+        F.col("source_file").isNotNull().alias("has_source_file")),
+    "dim_provider_sk": lambda wh: wh.table("dim_provider").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("provider_sk").alias("distinct_keys"),
+        F.count_if(F.col("provider_sk").isNull()).alias("null_keys")),
 }
 
 
@@ -218,6 +221,6 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Warehouse.derived(spark, sf_dir))
     out = {k: bind(fn) for k, fn in WH_QUERIES.items()}
-    out.update({k: bind(fn) for k, fn in ROWS_ONLY.items()})
+    out.update({k: bind(fn) for k, fn in DERIVED_FACTS.items()})
     out.update(JOB_QUERIES)
     return out

@@ -202,18 +202,22 @@ def state_list(wh: Warehouse) -> DataFrame:
 
 
 def provider_details(wh: Warehouse, state: str | None = None, limit: int = 100) -> DataFrame:
-    pm = _pm(wh)
-    if state is not None:
-        pm = pm.where(F.col("state") == F.lit(state))
+    pm = _provider_rows(wh, state)
     return pm.orderBy(F.col("avg_hppd").desc_nulls_last(), "provider_id", "year_month", "state").limit(limit)
 
 
 PAGE_LIMIT = 200
 
 
-def provider_page_stats(wh: Warehouse, state: str | None = None, limit: int = PAGE_LIMIT) -> DataFrame:
-    """Header figures of the provider page, over the rows the page lists."""
-    rows = provider_details(wh, state, limit)
+def _provider_rows(wh: Warehouse, state: str | None) -> DataFrame:
+    pm = _pm(wh)
+    return pm if state is None else pm.where(F.col("state") == F.lit(state))
+
+
+def provider_page_stats(wh: Warehouse, state: str | None = None) -> DataFrame:
+    """Header figures of the provider page, over all provider-months (of the state),
+    not only those that the page's list shows."""
+    rows = _provider_rows(wh, state)
     return rows.agg(
         F.count(F.lit(1)).alias("providers"),
         stable_round(exact_avg("avg_hppd"), 2).alias("avg_hppd"),
@@ -222,29 +226,32 @@ def provider_page_stats(wh: Warehouse, state: str | None = None, limit: int = PA
     )
 
 
-def provider_scatter(wh: Warehouse, state: str | None = None, limit: int = PAGE_LIMIT) -> DataFrame:
-    return provider_details(wh, state, limit).select(
+def provider_scatter(wh: Warehouse, state: str | None = None) -> DataFrame:
+    return _provider_rows(wh, state).select(
         "provider_id", "state", "year_month", "avg_daily_census", "avg_hppd", "avg_rn_mix_pct",
         "days_reported")
 
 
-def alerts_top(wh: Warehouse, limit: int = 100) -> DataFrame:
+def alerts_top(wh: Warehouse, limit: int = 100, levels: tuple[str, ...] | None = None) -> DataFrame:
+    """The list of the most severe alerts; ``levels`` filters before the limit."""
     a = _alerts(wh)
+    if levels is not None:
+        a = a.where(F.col("alert_severity").isin(*levels))
     return a.orderBy(S.severity_order(F.col("alert_severity")), F.col("avg_hppd").asc_nulls_last(),
                      "provider_id", "year_month", "state").limit(limit)
 
 
 def alert_counts(wh: Warehouse) -> DataFrame:
-    """HIGH / MEDIUM / LOW counts over the listed alerts (zeros included)."""
+    """HIGH / MEDIUM / LOW counts over all alerts (zeros included)."""
     sev = F.col("alert_severity")
-    return alerts_top(wh).agg(
+    return _alerts(wh).agg(
         F.count_if(sev == "HIGH").alias("high_alerts"),
         F.count_if(sev == "MEDIUM").alias("medium_alerts"),
         F.count_if(sev == "LOW").alias("low_alerts"))
 
 
-def alerts_filtered(wh: Warehouse, levels: tuple[str, ...] = ("HIGH", "MEDIUM")) -> DataFrame:
-    return alerts_top(wh).where(F.col("alert_severity").isin(*levels))
+def alerts_filtered(wh: Warehouse, levels: tuple[str, ...] = ("HIGH", "MEDIUM"), limit: int = 100) -> DataFrame:
+    return alerts_top(wh, limit, levels)
 
 
 def daily_trends(wh: Warehouse) -> DataFrame:
@@ -275,12 +282,15 @@ def staffing_mix(wh: Warehouse) -> DataFrame:
     return row.select(*out)
 
 
-def state_trend_selected(wh: Warehouse, states: list[str] | None = None, default_count: int = 5) -> DataFrame:
-    """State-month rows for the selected states; by default the first five in
-    the listing's order (alphabetical), as the page preselects them."""
+def state_trend_selected(wh: Warehouse, states: list[str] | None = None) -> DataFrame:
+    """State-month rows for the selected states; by default all."""
+    sm = _sm(wh)
+    return sm.where(F.col("state").isin(*states)) if states else sm
+
+
+def state_trend_preselected(wh: Warehouse, default_count: int = 5) -> DataFrame:
+    """The page before a choice is made: the first five states of the listing (alphabetical)."""
     sm = _sm(wh)
-    if states:
-        return sm.where(F.col("state").isin(*states))
     # At most ``default_count`` rows: a bounded broadcast for the semi-join.
     first = sm.select("state").distinct().orderBy("state").limit(default_count)
     return sm.join(F.broadcast(first), "state", "left_semi")

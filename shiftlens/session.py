@@ -42,19 +42,29 @@ def apply_library_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def is_local(master: str) -> bool:
+    """One JVM that holds driver and executor (``local-cluster`` starts executors of their own)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     ``spark.checkpoint.dir`` from the session when the cluster names one;
-    otherwise (tests, ad-hoc sessions) a folder is given to the SparkContext
-    (``spark.checkpoint.dir`` itself cannot be changed once the context runs)."""
+    otherwise a local session (tests, ad-hoc use) gives its SparkContext a folder
+    (``spark.checkpoint.dir`` itself cannot be changed once the context runs).
+    On a cluster a folder of the driver's machine would lose data, so there the
+    setting is required."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext; the server owns the setting
         sc = None
+    known = d or (sc.getCheckpointDir() if sc is not None else None)
+    if known is None and (sc is None or not is_local(sc.master)):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if sc is None:
-        return d or tempfile.mkdtemp(prefix="shiftlens-ckpt-")
+        return known
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d or tempfile.mkdtemp(prefix="shiftlens-ckpt-"))
     return d or sc.getCheckpointDir()

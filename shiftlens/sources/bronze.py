@@ -8,6 +8,7 @@ string.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,18 +63,29 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     try:
         df = (spark.read.option("header", True).option("inferSchema", False)
               .option("enforceSchema", False).option("recursiveFileLookup", True).csv(path))
-    except Exception as e:  # missing folder, no files
+    except AnalysisException as e:
+        if e.getCondition() not in NO_FILES:  # permissions and storage faults are not an empty source
+            raise
         raise EmptySourceError(f"No records found in {path}: {e}") from e
+    df = normalise_raw(df)
+    if df.isEmpty():
+        raise EmptySourceError(f"No records found in {path}")
+    return df
+
+
+#: Error conditions of a missing folder, and of one without any file.
+NO_FILES = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def normalise_raw(df: DataFrame) -> DataFrame:
+    """Quarter, ingest date and file name for a CSV scan (batch or stream): see :func:`read_raw`."""
     fp = F.col("_metadata.file_path")
     path_quarter = F.nullif(F.regexp_extract(fp, r"cy_qtr=([^/]+)", 1), F.lit(""))
     ingest = F.nullif(F.regexp_extract(fp, r"ingest_date=([^/]+)", 1), F.lit(""))
     qcol = next((c for c in df.columns if c.lower() == "cy_qtr"), None)
     quarter = (F.coalesce(F.nullif(F.trim(F.col(qcol)), F.lit("")), path_quarter) if qcol else path_quarter)
     keep = [c for c in df.columns if c != qcol and c.lower() not in ("ingest_date", "source_file")]
-    df = df.select(*keep, quarter.alias("cy_qtr"), ingest.alias("ingest_date"), fp.alias("source_file"))
-    if df.isEmpty():
-        raise EmptySourceError(f"No records found in {path}")
-    return df
+    return df.select(*keep, quarter.alias("cy_qtr"), ingest.alias("ingest_date"), fp.alias("source_file"))
 
 
 def _quarter_from_name(name: Column) -> Column:

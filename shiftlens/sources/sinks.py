@@ -20,9 +20,13 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None,
-                dynamic: bool = True, rebalance: bool = True) -> int:
-    """Overwrite a Parquet table; with partition columns only the partitions
-    present in ``df`` are replaced. Returns the number of rows written.
+                replace: str | None = None, rebalance: bool = True) -> int:
+    """Overwrite a Parquet table. Returns the number of rows written.
+
+    The whole table is replaced, or with ``replace`` (the first partition
+    column) all of its partitions whose value occurs in ``df``, e.g. a whole
+    quarter: written partitions are swapped in, then those of the same
+    quarters that this load no longer holds are dropped.
 
     A partitioned write is preceded by a REBALANCE on the partition columns:
     without it every task writes one file per partition value it holds
@@ -32,18 +36,48 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = Non
     holding a third of the rows is spread over many writers."""
     if partition_cols and rebalance:
         df = df.hint("rebalance", *partition_cols)
-    out, obs = observed(df, f"write:{path}")
-    w = out.write.mode("overwrite")
+    obs = Observation(f"write:{path}")
+    seen = F.collect_set(F.struct(*[F.col(c).cast("string") for c in partition_cols or []])) if replace else F.lit(None)
+    # one entry per partition written (quarters x states): bounded by the folder count
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *([seen.alias("seen")] if replace else []))
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if replace else "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
-    return int(obs.get.get("rows", 0))
+    got = obs.get
+    if replace:
+        _drop_stale(df.sparkSession, path, partition_cols, [tuple(r) for r in got.get("seen") or []])
+    return int(got.get("rows", 0))
+
+
+def _drop_stale(spark: SparkSession, path: str, cols: list[str], written: list[tuple]) -> None:
+    """Delete partition folders that share their first value with a written one but were not written."""
+    if len(cols) < 2:
+        return
+    jvm = spark.sparkContext._jvm
+    default = "__HIVE_DEFAULT_PARTITION__"
+    name = lambda v: default if v in (None, "") else str(v)
+    keep = {tuple(name(v) for v in t[:2]) for t in written}
+    firsts = {t[0] for t in keep}
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+
+    def folders(at, col: str):
+        for st in fs.listStatus(at):
+            folder = st.getPath().getName()
+            if st.isDirectory() and folder.startswith(f"{col}="):
+                yield st.getPath(), unescape(folder.split("=", 1)[1])
+
+    for at, first in folders(root, cols[0]):
+        if first in firsts:
+            for sub, second in folders(at, cols[1]):
+                if (first, second) not in keep:
+                    fs.delete(sub, True)
 
 
 def write_silver(df: DataFrame, path: str) -> int:
-    return write_table(df, path, ["cy_qtr", "state"])
+    return write_table(df, path, ["cy_qtr", "state"], replace="cy_qtr")
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:

@@ -11,29 +11,35 @@ which makes the silver output exactly-once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import config as C
 from ..operators.silver import to_silver
+from ..sources.bronze import NO_FILES, normalise_raw
 
 
-def raw_stream_schema() -> StructType:
-    """Landed raw files: every column a string; the quarter lives in the folder name."""
-    cols = [c for c in C.raw_columns() if c.lower() != "cy_qtr"]
-    fields = [StructField(c, StringType()) for c in cols]
-    fields += [StructField("cy_qtr", StringType()), StructField("ingest_date", StringType())]
-    return StructType(fields)
+def raw_stream_schema(spark: SparkSession, raw_path: str) -> StructType:
+    """The header of the files that are there, every column a string; without any file, the landed layout."""
+    try:
+        return (spark.read.option("header", True).option("inferSchema", False)
+                .option("recursiveFileLookup", True).csv(raw_path).schema)
+    except AnalysisException as e:
+        if e.getCondition() not in NO_FILES:
+            raise
+    return StructType([StructField(c, StringType()) for c in C.raw_columns() if c.lower() != "cy_qtr"])
 
 
 def start_incremental_silver(spark: SparkSession, raw_path: str, silver_path: str,
                              checkpoint: str, max_files_per_trigger: int | None = None):
-    reader = (spark.readStream.schema(raw_stream_schema()).option("header", True))
+    """Columns are told by the files' header: a file whose header differs fails the run instead
+    of being read by position. Quarter, ingest date and file name are those of the batch reader."""
+    reader = (spark.readStream.schema(raw_stream_schema(spark, raw_path)).option("header", True)
+              .option("enforceSchema", False).option("recursiveFileLookup", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(raw_path).withColumn("source_file", F.col("_metadata.file_path"))
-    silver = to_silver(raw).drop("ingest_date")
+    silver = to_silver(normalise_raw(reader.csv(raw_path)))
     return (silver.writeStream.format("parquet")
             .option("checkpointLocation", checkpoint)
             .partitionBy("cy_qtr", "state")
