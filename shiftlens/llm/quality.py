@@ -88,7 +88,7 @@ def ngram_buckets(texts: list[str | None]):
     return buckets, np.concatenate([own[inside], text[1:][same]])
 
 
-def _blocks(column, chars: int = 2_000_000) -> Iterator[list[str | None]]:
+def _blocks(column, chars: int = 500_000) -> Iterator[list[str | None]]:
     """The texts of an Arrow column, in lists of about ``chars`` characters at most (or one text)."""
     held, size = [], 0
     for t in column:
