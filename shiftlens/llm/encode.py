@@ -16,7 +16,7 @@ import re
 from functools import lru_cache
 
 #: Pre-tokens that a worker remembers; once full, further ones are encoded each time.
-KNOWN = 400_000
+KNOWN = 250_000
 
 # The pre-tokenizer patterns of the two public tokenizer files.
 WORDS_WITH_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
