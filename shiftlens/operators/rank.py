@@ -17,8 +17,8 @@ of one input are stacked into a single (spec, partition, value) table, so the
 input is aggregated once for all of them; the resulting rank table (one row
 per spec, partition and distinct value) is checkpointed once to the shared
 checkpoint folder and equi-joined back per ranking. The big side is touched
-by one aggregation and a chain of equi-joins: AQE broadcasts the rank table
-after checking its runtime size, and splits skewed keys when it does not.
+by one aggregation and a chain of equi-joins: the rank table is broadcast if its
+counted size is small; otherwise AQE splits skewed keys.
 
 Null values sort last in both directions (stated explicitly; engines differ).
 Ranks are bigint; percent ranks double, 0 when the partition has one row.
@@ -33,6 +33,10 @@ from pyspark.sql.window import Window
 from ..session import ensure_checkpoint_dir
 
 
+#: The rank table is broadcast up to this size.
+BROADCAST_BYTES, RANK_ROW_BYTES = 64 * 1024 * 1024, 128
+
+
 def rank_table(df: DataFrame, value: str, partition_by: list[str] | tuple = (),
                bucket_width: float = 1.0) -> DataFrame:
     """(partition..., value, rank_desc, rank_asc, partition_rows) per distinct value."""
@@ -102,6 +106,14 @@ def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0,
     input is aggregated once for every ranking together, and one rank table
     serves all of them; the joins back form a single chain over ``df``.
 
+    The ranked rows are joined to the rank table: broadcast if its counted rows
+    fit ``BROADCAST_BYTES``; beyond that by an equi-join whose hot values (many rows
+    of one value) Spark's skew join splits.
+
+    Without ``materialize`` nothing runs until the result is queried, and the
+    ranks always belong to the rows read then (registered views). With it
+    the result is meant to be read once, over an input that stands still.
+
     With ``materialize`` the rank table (one row per spec, partition and
     distinct value: small) is computed once and checkpointed to the shared
     ``spark.checkpoint.dir``; every join back then reads those few files
@@ -119,15 +131,20 @@ def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0,
             for i, sp in enumerate(specs)]
     stacked = df.select(F.explode(F.array(*rows)).alias("_s")).select("_s.*")
     rt = rank_table(stacked, "_v", ["_spec", *slots], bucket_width)
+    fits = False
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
         rt = rt.checkpoint(eager=True)
+        # counted rows, not an estimate: then no ranked row is shuffled, whatever value is hot
+        fits = rt.count() * RANK_ROW_BYTES <= BROADCAST_BYTES
 
     out = df
     for i, sp in enumerate(specs):
         parts = list(sp.get("partition_by", ()))
         mine = slots[:len(parts)]
         sub = rt.where(F.col("_spec") == i).select(*mine, "_v", *_rank_outputs(sp))
+        if fits:
+            sub = F.broadcast(sub)
         cond = [F.col(p).cast("string").eqNullSafe(sub[mine[j]]) for j, p in enumerate(parts)]
         cond.append(F.col(sp["value"]).cast("double").eqNullSafe(sub["_v"]))
         out = out.join(sub, cond, "inner").drop(*mine, "_v")

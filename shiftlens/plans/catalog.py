@@ -37,7 +37,8 @@ VIEW_BUILDERS = {
     "v_provider_monthly": lambda wh: wh.provider_monthly(),
     "v_state_monthly": lambda wh: wh.state_monthly(),
     "v_kpi_summary": lambda wh: M.v_kpi_summary(wh.daily()),
-    "v_provider_rankings": lambda wh: M.v_provider_rankings(wh.provider_monthly()),
+    # a view outlives the rows it is defined over: its ranks are planned with it, not taken beforehand
+    "v_provider_rankings": lambda wh: M.v_provider_rankings(wh.provider_monthly(), materialize=False),
     "v_staffing_alerts": lambda wh: M.v_staffing_alerts(wh.provider_monthly()),
     "v_day_of_week_analysis": lambda wh: M.v_day_of_week_analysis(wh.daily()),
     # warehouse access views and materialized-view definitions
@@ -46,17 +47,13 @@ VIEW_BUILDERS = {
     "v_provider_monthly_agg": Q.v_provider_monthly_agg,
     "v_state_monthly_agg": Q.v_state_monthly_agg,
     "mv_staffing_summary": Q.mv_staffing_summary,
-    "mv_provider_rankings": Q.mv_provider_rankings,
+    "mv_provider_rankings": lambda wh: Q.mv_provider_rankings(wh, materialize=False),
 }
 
-# Views whose definition runs jobs when built (the rank table is checkpointed);
-# registered only on request.
-EAGER = {"v_provider_rankings", "mv_provider_rankings"}
 
-
-def register_views(wh: Warehouse, names: list[str] | None = None,
-                   include_eager: bool = False) -> dict[str, DataFrame]:
-    chosen = names or [n for n in VIEW_BUILDERS if include_eager or n not in EAGER]
+def register_views(wh: Warehouse, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """Register the named views (default: all). No job runs until a view is queried."""
+    chosen = names or list(VIEW_BUILDERS)
     out = {}
     for name in chosen:
         df = VIEW_BUILDERS[name](wh)

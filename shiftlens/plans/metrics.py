@@ -138,7 +138,8 @@ RANKING_COLUMNS = ["provider_id", "state", "days_reported", "avg_daily_census",
                    "avg_rn_mix_pct", "avg_contract_pct", "critical_days"]
 
 
-def v_provider_rankings(provider_monthly: DataFrame, min_days: int = C.MIN_DAYS_RANKED) -> DataFrame:
+def v_provider_rankings(provider_monthly: DataFrame, min_days: int = C.MIN_DAYS_RANKED,
+                        materialize: bool = True) -> DataFrame:
     """V5: in-state and national ranks of provider-months with >= ``min_days`` days.
     All months are ranked together, as upstream. Ranks come from the
     scalable rank operator (no single-task window over all rows)."""
@@ -148,7 +149,7 @@ def v_provider_rankings(provider_monthly: DataFrame, min_days: int = C.MIN_DAYS_
         dict(value="avg_rn_mix_pct", partition_by=["state"], rank_desc="state_rank_rn_mix"),
         dict(value="avg_contract_pct", partition_by=["state"], rank_asc="state_rank_stability"),
         dict(value="avg_hppd", rank_desc="national_rank_hppd", percent_rank_asc="_pr"),
-    ])
+    ], materialize=materialize)
     return r.select(*RANKING_COLUMNS, "state_rank_hppd", "state_rank_rn_mix", "state_rank_stability",
                     "national_rank_hppd",
                     stable_round(F.col("_pr") * F.lit(100.0), 1).alias("hppd_percentile"))

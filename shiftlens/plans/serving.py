@@ -101,12 +101,12 @@ MV_RANK_COLUMNS = ["provider_id", "provider_name", "city", "state", "year_month"
                    "avg_daily_census", "total_nursing_hours", "avg_contract_ratio", "days_reported"]
 
 
-def mv_provider_rankings(wh: Warehouse, current: bool = False) -> DataFrame:
+def mv_provider_rankings(wh: Warehouse, current: bool = False, materialize: bool = True) -> DataFrame:
     j = _provider_join(wh, current)
     r = add_ranks(j, [
         dict(value="avg_nursing_hppd", partition_by=["state", "year_month"], rank_desc="state_rank_hppd"),
         dict(value="avg_nursing_hppd", partition_by=["year_month"], rank_desc="national_rank_hppd"),
-    ])
+    ], materialize=materialize)
     return r.select(*MV_RANK_COLUMNS, "state_rank_hppd", "national_rank_hppd")
 
 

@@ -120,3 +120,28 @@ def test_surrogate_keys_tell_where_a_null_stands(spark):
     s = to_silver(raw_frame(spark, [{"COUNTY_NAME": "X", "COUNTY_FIPS": None}, {"COUNTY_NAME": None, "COUNTY_FIPS": "X"}]))
     keys = [r.provider_sk for r in build_dim_provider(s).select("provider_sk").collect()]
     assert len(set(keys)) == 2 and None not in keys
+
+
+def test_registered_rankings_cover_rows_appended_later(spark):
+    from shiftlens.plans.catalog import VIEW_BUILDERS, register_views
+
+    path = scratch_dir(spark, "views") + "/silver"
+
+    def month(n, start):
+        return to_silver(raw_frame(spark, [{"PROVNUM": f"{i:06d}", "WorkDate": f"202404{d:02d}"} | hours(10.0 + i, 5.0, 5.0)
+                                           for i in range(start, start + n) for d in range(1, 31)]))
+
+    month(2, 0).write.parquet(path)
+    schema = spark.read.parquet(path).schema
+
+    wh = Warehouse(spark, silver=spark.read.schema(schema).parquet(path))
+    assert {"v_provider_rankings", "mv_provider_rankings"} <= set(VIEW_BUILDERS)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    register_views(wh, ["v_provider_rankings"])
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs  # defining a view runs nothing
+    assert spark.sql("SELECT * FROM v_provider_rankings").count() == 2
+    month(1, 2).write.mode("append").parquet(path)
+    wh = Warehouse(spark, silver=spark.read.schema(schema).parquet(path))
+    register_views(wh, ["v_provider_rankings"])
+    got = {r.provider_id: r.national_rank_hppd for r in spark.sql("SELECT * FROM v_provider_rankings").collect()}
+    assert got == {"000002": 1, "000001": 2, "000000": 3}
