@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
-from ..functions.rounding import exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
+from ..functions.rounding import SUM_TYPE, exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
 from ..functions import staffing as S
 from ..operators.rank import add_ranks
 
@@ -112,26 +112,52 @@ def v_state_monthly(daily: DataFrame) -> DataFrame:
 
 
 def v_kpi_summary(daily: DataFrame) -> DataFrame:
-    """V4: one-row KPI header."""
-    return _censused(daily).agg(
+    """V4: one-row KPI header.
+
+    The fact is aggregated by (provider, state) first, so that the distinct counts
+    see one row per pair instead of copies of every fact row; days are counted
+    from the dates alone. Both results are one row and meet on a constant."""
+    c = _censused(daily)
+    hours = ["total_nursing_hours", "hrs_rn", "hrs_lpn", "hrs_cna"]
+    rates = ["nursing_hppd", "rn_skill_mix_pct", "contract_staff_pct"]
+    per = c.groupBy("provider_id", "state").agg(
+        F.min("work_date").alias("_first"), F.max("work_date").alias("_last"), F.count(F.lit(1)).alias("_n"),
+        F.sum("patient_census").alias("_census"),
+        *[F.sum(F.col(x).cast(SUM_TYPE)).alias(f"_s_{x}") for x in hours + rates],
+        *[F.count(x).alias(f"_n_{x}") for x in rates],
+        F.count_if(_is(C.CATEGORY_MEETS)).alias("_meets"), F.count_if(_is(C.CATEGORY_CRITICAL)).alias("_critical"))
+
+    def count(col: str):
+        return F.coalesce(F.sum(col), F.lit(0)).cast("bigint")
+
+    def mean(col: str):
+        return F.try_divide(F.sum(f"_s_{col}").cast("double"), count(f"_n_{col}").cast("double"))
+
+    def share(col: str):
+        return F.lit(100.0) * count(col).cast("double") / count("_n").cast("double")
+
+    total = per.agg(
         F.count_distinct("provider_id").alias("total_providers"),
         F.count_distinct("state").alias("total_states"),
-        F.min("work_date").alias("data_start_date"),
-        F.max("work_date").alias("data_end_date"),
-        F.count_distinct("work_date").alias("total_days"),
-        F.count(F.lit(1)).alias("total_records"),
-        F.sum("patient_census").cast("bigint").alias("total_patient_days"),
-        stable_round(int_avg("patient_census"), 1).alias("avg_daily_census"),
-        stable_round(exact_sum("total_nursing_hours"), 0).alias("total_nursing_hours"),
-        stable_round(exact_sum("hrs_rn"), 0).alias("total_rn_hours"),
-        stable_round(exact_sum("hrs_lpn"), 0).alias("total_lpn_hours"),
-        stable_round(exact_sum("hrs_cna"), 0).alias("total_cna_hours"),
-        stable_round(exact_avg("nursing_hppd"), 2).alias("overall_avg_hppd"),
-        stable_round(exact_avg("rn_skill_mix_pct"), 1).alias("overall_rn_mix_pct"),
-        stable_round(exact_avg("contract_staff_pct"), 1).alias("overall_contract_pct"),
-        stable_round(pct_of_rows(_is(C.CATEGORY_MEETS)), 1).alias("pct_meeting_benchmark"),
-        stable_round(pct_of_rows(_is(C.CATEGORY_CRITICAL)), 1).alias("pct_critical_understaffing"),
-    )
+        F.min("_first").alias("data_start_date"), F.max("_last").alias("data_end_date"),
+        count("_n").alias("total_records"),
+        F.sum("_census").cast("bigint").alias("total_patient_days"),
+        stable_round(F.try_divide(F.sum("_census").cast("double"), count("_n").cast("double")), 1)
+        .alias("avg_daily_census"),
+        *[stable_round(F.sum(f"_s_{x}").cast("double"), 0).alias(name) for x, name in zip(
+            hours, ["total_nursing_hours", "total_rn_hours", "total_lpn_hours", "total_cna_hours"], strict=True)],
+        *[stable_round(mean(x), n).alias(name) for x, n, name in zip(
+            rates, [2, 1, 1], ["overall_avg_hppd", "overall_rn_mix_pct", "overall_contract_pct"], strict=True)],
+        stable_round(share("_meets"), 1).alias("pct_meeting_benchmark"),
+        stable_round(share("_critical"), 1).alias("pct_critical_understaffing"))
+    days = c.select("work_date").distinct().agg(F.count("work_date").alias("total_days"))
+    one = F.lit(0).alias("_one")
+    return (total.select("*", one).join(F.broadcast(days.select("*", one)), "_one")  # one row each
+            .select("total_providers", "total_states", "data_start_date", "data_end_date", "total_days",
+                    "total_records", "total_patient_days", "avg_daily_census", "total_nursing_hours",
+                    "total_rn_hours", "total_lpn_hours", "total_cna_hours", "overall_avg_hppd",
+                    "overall_rn_mix_pct", "overall_contract_pct", "pct_meeting_benchmark",
+                    "pct_critical_understaffing"))
 
 
 RANKING_COLUMNS = ["provider_id", "state", "days_reported", "avg_daily_census", "avg_hppd",
