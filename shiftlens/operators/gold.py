@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.rounding import exact_avg, exact_sum, int_avg, stable_round
+from ..functions import partials as P
+from ..functions.rounding import int_avg, stable_round
 
 FACT_HOURS = ["hrs_rn", "hrs_rn_emp", "hrs_rn_ctr", "hrs_lpn", "hrs_lpn_emp", "hrs_lpn_ctr",
               "hrs_cna", "hrs_cna_emp", "hrs_cna_ctr", "hrs_rndon", "hrs_rnadmin",
@@ -77,24 +78,24 @@ def build_dim_provider(silver: DataFrame) -> DataFrame:
 
 def build_dim_provider_current(silver: DataFrame) -> DataFrame:
     """Latest attribute tuple per provider: one row per provider, safe to join on.
-    Two tuples on the same latest date resolve to the greater tuple (attribute order)."""
-    attrs = F.struct(*[F.col(c) for c in PROVIDER_ATTRS])
-    latest = F.max_by(attrs, F.struct(F.col("work_date"), attrs))
-    return (silver.groupBy("provnum").agg(latest.alias("a"))
-            .select(F.col("provnum").alias("provider_id"),
-                    F.col("a.provname").alias("provider_name"),
-                    F.col("a.city").alias("city"), F.col("a.state").alias("state"),
-                    F.col("a.county_name").alias("county_name"),
-                    F.col("a.county_fips").alias("county_fips")))
+    Two tuples on the same latest date resolve to the greater tuple (attribute order).
+    The window sees a provider's distinct tuples, not its days."""
+    seen = silver.groupBy("provnum", *PROVIDER_ATTRS).agg(F.max("work_date").alias("_last"))
+    newest = Window.partitionBy("provnum").orderBy(*[F.col(c).desc_nulls_last() for c in ["_last", *PROVIDER_ATTRS]])
+    return (seen.withColumn("_r", F.row_number().over(newest)).where("_r = 1")
+            .select(F.col("provnum").alias("provider_id"), F.col("provname").alias("provider_name"),
+                    "city", "state", "county_name", "county_fips"))
 
 
 def build_dim_state(silver: DataFrame) -> DataFrame:
-    agg = silver.groupBy("state").agg(
+    per = silver.groupBy("state", "provnum", "county_fips", "city").agg(
+        *P.sums("mdscensus"), *P.sums("nursing_hppd", exact=False))
+    agg = per.groupBy("state").agg(
         F.count_distinct("provnum").alias("provider_count"),
         F.count_distinct("county_fips").alias("county_count"),
         F.count_distinct("city").alias("city_count"),
-        F.sum("mdscensus").cast("bigint").alias("total_patient_days"),
-        stable_round(F.avg("nursing_hppd"), 2).alias("avg_hppd"),
+        P.whole("mdscensus").alias("total_patient_days"),
+        stable_round(P.mean("nursing_hppd"), 2).alias("avg_hppd"),
     )
     # One row per state: this window sorts a table bounded by the number of states.
     w = Window.orderBy("state")
@@ -114,57 +115,64 @@ def build_agg_state_monthly_etl(silver: DataFrame) -> DataFrame:
 
 def build_agg_provider_monthly(silver: DataFrame) -> DataFrame:
     """Provider x month aggregate (19 columns). The facility name is the one
-    in force on the provider's last reported day of the month, taken inside
-    the aggregate (no join against the provider dimension)."""
-    g = silver.groupBy("provnum", "state", F.year("work_date").alias("year"),
-                       F.month("work_date").alias("month"))
-    out = g.agg(
-        F.max_by("provname", F.struct("work_date", "provname")).alias("provider_name"),
-        stable_round(int_avg("mdscensus"), 1).alias("avg_daily_census"),
-        F.sum("mdscensus").cast("bigint").alias("total_patient_days"),
-        exact_sum(F.coalesce("hrs_rn", F.lit(0.0))).alias("total_rn_hours"),
-        exact_sum(F.coalesce("hrs_lpn", F.lit(0.0))).alias("total_lpn_hours"),
-        exact_sum(F.coalesce("hrs_cna", F.lit(0.0))).alias("total_cna_hours"),
-        exact_sum("total_nursing_hours").alias("total_nursing_hours"),
-        exact_sum("total_employed_hours").alias("total_employed_hours"),
-        exact_sum("total_contract_hours").alias("total_contract_hours"),
-        stable_round(F.avg("nursing_hppd"), 2).alias("avg_nursing_hppd"),
-        stable_round(F.min("nursing_hppd"), 2).alias("min_nursing_hppd"),
-        stable_round(F.max("nursing_hppd"), 2).alias("max_nursing_hppd"),
-        stable_round(F.avg("contract_ratio"), 4).alias("avg_contract_ratio"),
-        F.count(F.lit(1)).alias("days_reported"),
-    )
+    in force on the provider's last reported day of the month (no join against the
+    provider dimension): days are aggregated per name by hash, then the windows add up the
+    few names of a provider's month and pick the newest."""
+    hours = ["hrs_rn", "hrs_lpn", "hrs_cna"]
+    totals = ["total_nursing_hours", "total_employed_hours", "total_contract_hours"]
+    keys = ["provnum", "state", "year", "month"]
+    days = silver.select("*", F.year("work_date").alias("year"), F.month("work_date").alias("month"))
+    per = days.fillna(0.0, hours).groupBy(*keys, "provname").agg(
+        F.max("work_date").alias("_last"), F.count(F.lit(1)).alias("_n"),
+        *P.sums("mdscensus", *hours, *totals), *P.sums("nursing_hppd", "contract_ratio", exact=False),
+        F.min("nursing_hppd").alias("_min"), F.max("nursing_hppd").alias("_max"))
+    month = Window.partitionBy(*keys)
+    newest = month.orderBy(F.col("_last").desc_nulls_last(), F.col("provname").desc_nulls_last())
+    added = [c for c in per.columns if c.startswith(("_s_", "_n"))]
+    out = per.select(*keys, "provname", F.row_number().over(newest).alias("_r"),
+                     *[F.sum(c).over(month).alias(c) for c in added],
+                     F.min("_min").over(month).alias("_min"), F.max("_max").over(month).alias("_max")).where("_r = 1")
+
+    def mean(c: str) -> Column:
+        return F.try_divide(F.col(f"_s_{c}").cast("double"), F.col(f"_n_{c}").cast("double"))
+
     return out.select(
-        F.col("provnum").alias("provider_id"), "provider_name", "state", "year", "month",
+        F.col("provnum").alias("provider_id"), F.col("provname").alias("provider_name"), "state", "year", "month",
         F.format_string("%04d-%02d", "year", "month").alias("year_month"),
-        "avg_daily_census", "total_patient_days", "total_rn_hours", "total_lpn_hours",
-        "total_cna_hours", "total_nursing_hours", "total_employed_hours", "total_contract_hours",
-        "avg_nursing_hppd", "min_nursing_hppd", "max_nursing_hppd", "avg_contract_ratio",
-        "days_reported",
+        stable_round(mean("mdscensus"), 1).alias("avg_daily_census"),
+        F.col("_s_mdscensus").cast("bigint").alias("total_patient_days"),
+        *[F.col(f"_s_{h}").cast("double").alias(name) for h, name in zip(
+            hours, ["total_rn_hours", "total_lpn_hours", "total_cna_hours"], strict=True)],
+        *[F.col(f"_s_{t}").cast("double").alias(t) for t in totals],
+        stable_round(mean("nursing_hppd"), 2).alias("avg_nursing_hppd"),
+        stable_round("_min", 2).alias("min_nursing_hppd"),
+        stable_round("_max", 2).alias("max_nursing_hppd"),
+        stable_round(mean("contract_ratio"), 4).alias("avg_contract_ratio"),
+        F.col("_n").alias("days_reported"),
     )
 
 
 def build_agg_state_monthly(daily: DataFrame) -> DataFrame:
     """Wide state-month aggregate (18 columns) over the daily metric rows
     (``v_daily_metrics`` shape plus ``contract_ratio``, all days). Percentiles are exact and run over
-    the 2-place daily HPPD, so each group's buffer holds at most one entry per
-    distinct 2-place value, however many rows the group has."""
-    g = daily.groupBy("state", F.year("work_date").alias("year"), F.month("work_date").alias("month"))
-    out = g.agg(
-        F.count_distinct("provider_id").alias("provider_count"),
-        F.sum("patient_census").cast("bigint").alias("total_patient_days"),
-        stable_round(int_avg("patient_census"), 1).alias("avg_daily_census"),
-        exact_sum("total_nursing_hours").alias("total_nursing_hours"),
-        exact_sum("hrs_rn").alias("total_rn_hours"),
-        exact_sum("hrs_lpn").alias("total_lpn_hours"),
-        exact_sum("hrs_cna").alias("total_cna_hours"),
-        stable_round(exact_avg("nursing_hppd"), 2).alias("avg_nursing_hppd"),
-        F.percentile("nursing_hppd", F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))).alias("q"),
-        stable_round(exact_avg("rn_skill_mix_pct"), 2).alias("avg_rn_mix_pct"),
-        stable_round(exact_avg("contract_staff_pct"), 2).alias("avg_contract_pct"),
-        stable_round(F.avg("contract_ratio"), 4).alias("avg_contract_ratio"),
-        F.count(F.lit(1)).alias("total_records"),
-    )
+    counts per distinct 2-place daily HPPD; sums and providers come from a provider-month aggregate."""
+    keys = ["state", "year", "month"]
+    hours, rates = ["total_nursing_hours", "hrs_rn", "hrs_lpn", "hrs_cna"], ["nursing_hppd", "rn_skill_mix_pct", "contract_staff_pct"]
+    rows = daily.select("*", F.year("work_date").alias("year"), F.month("work_date").alias("month"))
+    per = rows.groupBy(*keys, "provider_id").agg(
+        *P.sums("patient_census", *hours, *rates), *P.sums("contract_ratio", exact=False), F.count(F.lit(1)).alias("_n"))
+    out = P.with_quartiles(per.groupBy(*keys).agg(
+        F.count("provider_id").alias("provider_count"),
+        P.whole("patient_census").alias("total_patient_days"),
+        stable_round(P.mean("patient_census"), 1).alias("avg_daily_census"),
+        *[P.total(h).alias(name) for h, name in zip(
+            hours, ["total_nursing_hours", "total_rn_hours", "total_lpn_hours", "total_cna_hours"], strict=True)],
+        stable_round(P.mean("nursing_hppd"), 2).alias("avg_nursing_hppd"),
+        stable_round(P.mean("rn_skill_mix_pct"), 2).alias("avg_rn_mix_pct"),
+        stable_round(P.mean("contract_staff_pct"), 2).alias("avg_contract_pct"),
+        stable_round(P.mean("contract_ratio"), 4).alias("avg_contract_ratio"),
+        P.count("_n").alias("total_records"),
+    ), rows, keys, "nursing_hppd").withColumnRenamed("_q", "q")
     return out.select(
         "state", "year", "month",
         F.format_string("%04d-%02d", "year", "month").alias("year_month"),
@@ -179,22 +187,25 @@ def build_agg_state_monthly(daily: DataFrame) -> DataFrame:
 
 def build_agg_overall_metrics(silver: DataFrame, snapshot_date: str) -> DataFrame:
     """One row of coverage and volume figures; ``snapshot_date`` is the as-of date."""
-    row = silver.agg(
+    per = silver.groupBy("provnum", "state").agg(
+        *P.sums("mdscensus", "total_nursing_hours", "total_contract_hours"), *P.sums("nursing_hppd", exact=False),
+        F.min("work_date").alias("_first"), F.max("work_date").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    row = per.agg(
         F.count_distinct("provnum").alias("total_providers"),
         F.count_distinct("state").alias("total_states"),
-        F.sum("mdscensus").cast("bigint").alias("total_patient_days"),
-        F.sum(F.col("total_nursing_hours").cast("decimal(20,6)")).alias("_hours"),
-        stable_round(F.avg("nursing_hppd"), 2).alias("overall_avg_hppd"),
-        F.sum(F.col("total_contract_hours").cast("decimal(20,6)")).alias("_ctr"),
-        F.min("work_date").alias("data_start_date"),
-        F.max("work_date").alias("data_end_date"),
-        F.count(F.lit(1)).alias("total_records"),
+        P.whole("mdscensus").alias("total_patient_days"),
+        P.total("total_nursing_hours").alias("_hours"),
+        stable_round(P.mean("nursing_hppd"), 2).alias("overall_avg_hppd"),
+        P.total("total_contract_hours").alias("_ctr"),
+        F.min("_first").alias("data_start_date"),
+        F.max("_last").alias("data_end_date"),
+        P.count("_n").alias("total_records"),
     )
     return row.select(
         "total_providers", "total_states", "total_patient_days",
-        F.col("_hours").cast("double").alias("total_nursing_hours"),
+        F.col("_hours").alias("total_nursing_hours"),
         "overall_avg_hppd",
-        stable_round(F.try_divide(F.col("_ctr").cast("double"), F.col("_hours").cast("double")), 4)
+        stable_round(F.try_divide(F.col("_ctr"), F.col("_hours")), 4)
         .alias("overall_contract_ratio"),
         "data_start_date", "data_end_date",
         (F.datediff("data_end_date", "data_start_date") + 1).cast("bigint").alias("total_days"),

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
-from ..functions.rounding import SUM_TYPE, exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
+from ..functions import partials as P
+from ..functions.rounding import exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
 from ..functions import staffing as S
 from ..operators.rank import add_ranks
 
@@ -79,24 +80,26 @@ def v_provider_monthly(daily: DataFrame) -> DataFrame:
 
 
 def v_state_monthly(daily: DataFrame) -> DataFrame:
-    """V3: state x month summary with exact interpolated quartiles of daily HPPD.
-    The percentile buffer per group holds one entry per distinct 2-place HPPD."""
-    month = F.trunc("work_date", "month")
-    agg = _censused(daily).groupBy("state", month.alias("_month")).agg(
-        F.count_distinct("provider_id").alias("provider_count"),
-        F.sum("patient_census").cast("bigint").alias("total_patient_days"),
-        stable_round(int_avg("patient_census"), 1).alias("avg_daily_census"),
-        exact_sum("total_nursing_hours").alias("total_nursing_hours"),
-        exact_sum("hrs_rn").alias("total_rn_hours"),
-        exact_sum("hrs_lpn").alias("total_lpn_hours"),
-        exact_sum("hrs_cna").alias("total_cna_hours"),
-        stable_round(exact_avg("nursing_hppd"), 2).alias("avg_hppd"),
-        F.percentile("nursing_hppd", F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))).alias("_q"),
-        stable_round(exact_avg("rn_skill_mix_pct"), 2).alias("avg_rn_mix_pct"),
-        stable_round(exact_avg("contract_staff_pct"), 2).alias("avg_contract_pct"),
-        stable_round(pct_of_rows(_is(C.CATEGORY_MEETS)), 1).alias("pct_meeting_benchmark"),
-        stable_round(pct_of_rows(_is(C.CATEGORY_CRITICAL)), 1).alias("pct_critical"),
-    )
+    """V3: state x month summary with exact interpolated quartiles of daily HPPD, from counts per
+    distinct 2-place HPPD; sums and providers come from a provider-month aggregate."""
+    keys = ["state", "_month"]
+    hours, rates = ["total_nursing_hours", "hrs_rn", "hrs_lpn", "hrs_cna"], ["nursing_hppd", "rn_skill_mix_pct", "contract_staff_pct"]
+    rows = _censused(daily).withColumn("_month", F.trunc("work_date", "month"))
+    per = rows.groupBy(*keys, "provider_id").agg(
+        *P.sums("patient_census", *hours, *rates), F.count(F.lit(1)).alias("_n"),
+        F.count_if(_is(C.CATEGORY_MEETS)).alias("_meets"), F.count_if(_is(C.CATEGORY_CRITICAL)).alias("_critical"))
+    agg = P.with_quartiles(per.groupBy(*keys).agg(
+        F.count("provider_id").alias("provider_count"),
+        P.whole("patient_census").alias("total_patient_days"),
+        stable_round(P.mean("patient_census"), 1).alias("avg_daily_census"),
+        *[P.total(h).alias(name) for h, name in zip(
+            hours, ["total_nursing_hours", "total_rn_hours", "total_lpn_hours", "total_cna_hours"], strict=True)],
+        stable_round(P.mean("nursing_hppd"), 2).alias("avg_hppd"),
+        stable_round(P.mean("rn_skill_mix_pct"), 2).alias("avg_rn_mix_pct"),
+        stable_round(P.mean("contract_staff_pct"), 2).alias("avg_contract_pct"),
+        stable_round(P.share_pct("_meets", "_n"), 1).alias("pct_meeting_benchmark"),
+        stable_round(P.share_pct("_critical", "_n"), 1).alias("pct_critical"),
+    ), rows, keys, "nursing_hppd")
     q = F.col("_q")
     return agg.select(
         "state",
@@ -122,34 +125,21 @@ def v_kpi_summary(daily: DataFrame) -> DataFrame:
     rates = ["nursing_hppd", "rn_skill_mix_pct", "contract_staff_pct"]
     per = c.groupBy("provider_id", "state").agg(
         F.min("work_date").alias("_first"), F.max("work_date").alias("_last"), F.count(F.lit(1)).alias("_n"),
-        F.sum("patient_census").alias("_census"),
-        *[F.sum(F.col(x).cast(SUM_TYPE)).alias(f"_s_{x}") for x in hours + rates],
-        *[F.count(x).alias(f"_n_{x}") for x in rates],
+        *P.sums("patient_census", *hours, *rates),
         F.count_if(_is(C.CATEGORY_MEETS)).alias("_meets"), F.count_if(_is(C.CATEGORY_CRITICAL)).alias("_critical"))
-
-    def count(col: str):
-        return F.coalesce(F.sum(col), F.lit(0)).cast("bigint")
-
-    def mean(col: str):
-        return F.try_divide(F.sum(f"_s_{col}").cast("double"), count(f"_n_{col}").cast("double"))
-
-    def share(col: str):
-        return F.lit(100.0) * count(col).cast("double") / count("_n").cast("double")
-
     total = per.agg(
         F.count_distinct("provider_id").alias("total_providers"),
         F.count_distinct("state").alias("total_states"),
         F.min("_first").alias("data_start_date"), F.max("_last").alias("data_end_date"),
-        count("_n").alias("total_records"),
-        F.sum("_census").cast("bigint").alias("total_patient_days"),
-        stable_round(F.try_divide(F.sum("_census").cast("double"), count("_n").cast("double")), 1)
-        .alias("avg_daily_census"),
-        *[stable_round(F.sum(f"_s_{x}").cast("double"), 0).alias(name) for x, name in zip(
+        P.count("_n").alias("total_records"),
+        P.whole("patient_census").alias("total_patient_days"),
+        stable_round(P.mean("patient_census"), 1).alias("avg_daily_census"),
+        *[stable_round(P.total(x), 0).alias(name) for x, name in zip(
             hours, ["total_nursing_hours", "total_rn_hours", "total_lpn_hours", "total_cna_hours"], strict=True)],
-        *[stable_round(mean(x), n).alias(name) for x, n, name in zip(
+        *[stable_round(P.mean(x), n).alias(name) for x, n, name in zip(
             rates, [2, 1, 1], ["overall_avg_hppd", "overall_rn_mix_pct", "overall_contract_pct"], strict=True)],
-        stable_round(share("_meets"), 1).alias("pct_meeting_benchmark"),
-        stable_round(share("_critical"), 1).alias("pct_critical_understaffing"))
+        stable_round(P.share_pct("_meets", "_n"), 1).alias("pct_meeting_benchmark"),
+        stable_round(P.share_pct("_critical", "_n"), 1).alias("pct_critical_understaffing"))
     days = c.select("work_date").distinct().agg(F.count("work_date").alias("total_days"))
     one = F.lit(0).alias("_one")
     return (total.select("*", one).join(F.broadcast(days.select("*", one)), "_one")  # one row each

@@ -57,6 +57,24 @@ def test_no_python_udfs_anywhere(spark, gold_wh):
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
 
 
+def test_fact_rows_meet_plain_hash_aggregates_only(gold_wh):
+    """No sort aggregate at all; copies for distinct counts and percentile buffers come after a first
+    hash aggregate of the fact (nearest to the scan, the last one in the printed plan)."""
+    from shiftlens.plans.warehouse import build_gold_table
+    frames = {"v_kpi_summary": M.v_kpi_summary(gold_wh.daily()), "v_state_monthly": M.v_state_monthly(gold_wh.daily())}
+    for name in ("dim_provider_current", "dim_state", "agg_provider_monthly", "agg_state_monthly",
+                 "agg_state_monthly_etl", "agg_overall_metrics"):
+        frames[name] = build_gold_table(name, gold_wh.silver)
+    for name, df in frames.items():
+        plan = _physical(df)
+        assert "SortAggregate" not in plan, name
+        for branch in plan.split("FileScan")[:-1]:
+            nodes = [w for line in branch.splitlines() for w in ("ObjectHashAggregate", "HashAggregate", "Expand") if w in line]
+            last = [w for line in branch.splitlines() for w in ("Expand", "ObjectHashAggregate", "HashAggregate")
+                    if line.lstrip(" :+-*(0123456789)").startswith(w)]
+            assert nodes and last and last[-1] == "HashAggregate", name
+
+
 def test_national_rank_has_no_row_level_single_partition_window(gold_wh):
     plan = _physical(M.v_provider_rankings(M.v_provider_monthly(gold_wh.daily())))
     assert "rank(" not in plan.lower()  # built-in RANK is not used at all
