@@ -3,9 +3,11 @@
 Corpora repeat their words. For the two usual byte-level pre-tokenizers a text
 of Latin-1 characters is cut into pre-tokens by an equivalent regular
 expression, and each distinct pre-token goes through the tokenizer's model
-once per worker. Texts with any other character, and every text under any
-other tokenizer file, go through the tokenizer whole. Both ways give the ids
-of ``Tokenizer.encode(text, add_special_tokens=False)``.
+once per worker. Texts with any other character or with the string of an added
+token (such as <|endoftext|>), and every text under any other tokenizer file, go
+through the tokenizer whole. Both ways give the ids of
+``Tokenizer.encode(text, add_special_tokens=False)``, which writes an added
+token's string in a text as that token's id.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ def latin_cutter(spec: dict):
     pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
     if (spec.get("model") or {}).get("type") != "BPE" or spec["model"].get("dropout"):
         return None
+    if norm is not None and any(t.get("normalized") for t in spec.get("added_tokens") or []):
+        return None  # such tokens are found in the normalised text only
     if (pre.get("type") == "ByteLevel" and norm is None and not pre.get("add_prefix_space", True)
             and pre.get("use_regex", True)):
         return LATIN_WITH_SPACE.findall
@@ -55,8 +59,8 @@ def latin_cutter(spec: dict):
 
 
 class Encoder:
-    """``ids(texts)``: little-endian unsigned 32-bit ids of each text, without special tokens.
-    Strings of special tokens in a text are ordinary text. None and "" give no ids."""
+    """``ids(texts)``: little-endian unsigned 32-bit ids of each text; none are added around it.
+    None and "" give no ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,9 +68,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            self._cut = latin_cutter(json.load(f))
+            spec = json.load(f)
+        self._cut = latin_cutter(spec)
+        self._added = [t["content"] for t in spec.get("added_tokens") or []]
         self._whole = lambda t: np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
         shown, tokenize = byte_characters(), tok.model.tokenize
 
@@ -81,8 +86,8 @@ class Encoder:
         self._known = Known()
 
     def ids(self, texts) -> list[bytes]:
-        cut, look = self._cut, self._known.__getitem__
-        return [b"" if not t else self._whole(t) if cut is None or OTHER.search(t)
+        cut, look, added = self._cut, self._known.__getitem__, self._added
+        return [b"" if not t else self._whole(t) if cut is None or OTHER.search(t) or any(a in t for a in added)
                 else b"".join(map(look, cut(t))) for t in texts]
 
 

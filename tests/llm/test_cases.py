@@ -143,6 +143,18 @@ def test_encoder_equals_the_library(path):
             tok.encode(t, add_special_tokens=False).ids for t in [*texts, ""]]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_encoder_writes_added_tokens_as_the_library(path):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    texts = ["page one<|endoftext|>page two", "a <|startoftext|> b", "<|endoftext|>", "x<|ENDOFTEXT|> <|end", "中<|endoftext|> é",
+             "<|startoftext|><|endoftext|>\n<|endoftext|> z", prose(1) + " <|endoftext|> " + prose(2)]
+    assert [list(np.frombuffer(b, "<u4")) for b in Encoder(path).ids(texts)] == [
+        tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert tok.token_to_id("<|endoftext|>") in np.frombuffer(Encoder(path).ids(texts[:1])[0], "<u4")
+
+
 def test_token_files(spark, docs, none):
     path = scratch_dir(spark, "tokens")
     manifest = token_files.write_documents(docs, path, BYTE, 0, shards=3)
