@@ -19,7 +19,8 @@ counts at most ``max_labelled`` labelled documents (the smallest hashes of
 their ids), each bucket shrunk towards the raw model by PRIOR expected counts,
 so that a few labels do not rule out what they happen not to hold. In both
 models the n-grams of a document weigh TEMPERED_COUNT together at most, so that a few
-huge documents do not set the shares of languages. What
+huge documents do not set the shares of languages; a document of any length weighs
+that much, as weights are kept in parts of 1 / _UNIT. What
 reaches the driver is 2 * (TRIGRAMS + PAIRS) counts, whatever the corpus.
 
 The noise is a hash of the id: repeated runs draw the same sample. The k-th
@@ -46,7 +47,8 @@ TRIGRAMS, PAIRS, PRIOR = 1 << 12, 1 << 10, 5.0
 BUCKETS = TRIGRAMS + PAIRS
 MAX_LABELLED, SEED = 20_000, 5
 TEMPERED, LEAST, TEMPERED_COUNT = 100, -7.0, 500
-_UNIT = 1024  # counts are kept as integers of this many parts: sums do not depend on their order
+_UNIT = 1 << 32  # counts are kept as integers of this many parts: sums do not depend on their order
+_FLUSH = 1 << 20  # documents whose counts a task adds up in 64 bits: each adds TEMPERED_COUNT * _UNIT < 2**41 at most
 _ODD = 0x9E3779B97F4A7C15  # an odd multiplier for hashing modulo 2**64
 _REPEAT = 0x51ED270B
 
@@ -117,26 +119,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         import numpy as np
         import pyarrow as pa
 
-        n = np.zeros((2, BUCKETS), dtype=np.int64)
+        def counts() -> pa.RecordBatch:
+            model, bucket = np.nonzero(n)
+            return pa.RecordBatch.from_arrays([pa.array(model, pa.int64()), pa.array(bucket, pa.int64()),
+                                               pa.array(n[model, bucket])], ["model", "bucket", "n"])
+
+        n, held = np.zeros((2, BUCKETS), dtype=np.int64), 0
         for b in batches:
+            if held and held + b.num_rows > _FLUSH:
+                yield counts()
+                n[:], held = 0, 0
+            held += b.num_rows
             flags, done = b.column(0).to_pylist(), 0
             for texts in _blocks(b.column(1)):
                 buckets, text = ngram_buckets(texts)
                 size = np.bincount(text, minlength=len(texts))
-                share = (_UNIT * np.minimum(1, TEMPERED_COUNT / np.maximum(size, 1))).astype(np.int64)[text]
+                # from 1000 parts for a text of 2**31 bytes up; the sums of a block stay exact in a double
+                share = np.rint(_UNIT * np.minimum(1, TEMPERED_COUNT / np.maximum(size, 1)))[text]
                 n[0] += np.bincount(buckets, share, BUCKETS).astype(np.int64)
                 target = np.array([bool(x) for x in flags[done:done + len(texts)]])
                 done += len(texts)
                 n[1] += np.bincount(buckets, share * target[text], BUCKETS).astype(np.int64)
-        model, bucket = np.nonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(model, pa.int64()), pa.array(bucket, pa.int64()),
-                                          pa.array(n[model, bucket])], ["model", "bucket", "n"])
+        yield counts()
 
     rows = (src.mapInArrow(count, "model bigint, bucket bigint, n bigint")
-            .groupBy("model", "bucket").agg(F.sum("n").alias("n")).collect())  # at most 2 * BUCKETS rows
+            .groupBy("model", "bucket").agg(F.sum(F.col("n").cast("decimal(20,0)")).alias("n")).collect())  # at most 2 * BUCKETS rows
     n = np.zeros((2, BUCKETS))
     for r in rows:
-        n[r["model"], r["bucket"]] = r["n"] / _UNIT
+        n[r["model"], r["bucket"]] = float(r["n"]) / _UNIT
     out = np.zeros(BUCKETS)
     for kind in (slice(0, TRIGRAMS), slice(TRIGRAMS, BUCKETS)):
         raw, target = n[0, kind], n[1, kind]

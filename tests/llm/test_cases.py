@@ -210,6 +210,18 @@ def test_quality(spark, docs, none):
     quality.keep(docs, labels.limit(0)).count()
 
 
+def test_quality_counts_very_long_documents(spark):
+    rows = [(i, prose(1000 + i, 80_000) if i % 2 == 0 else f"{i} | x" * 140_000) for i in range(8)]
+    assert all(len(t) + t.count(" ") > 512_000 for _, t in rows)
+    many = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(4)], "doc_id long, quality int")
+    ratios = quality.fit(many, labels)
+    assert any(ratios)
+    assert sorted(r.doc_id for r in quality.keep(many, labels).collect()) == [0, 2, 4, 6]
+    n = np.bincount(quality.ngram_buckets([rows[0][1]])[0], minlength=quality.BUCKETS)
+    assert np.dot(n, ratios) > 0  # the target's own texts are likelier in the target model
+
+
 def test_kth_largest(spark):
     r = random.Random(2)
     values = [round(r.gauss(0, 3), 2) for _ in range(3000)] + [1.5] * 500 + [1e9, -1e9]
