@@ -10,7 +10,12 @@
 
 Text is what the container holds without menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, told by tag, role, visibility,
-class and id words. Character references are decoded, white space
+class and id words, and without what browsers do not show (closed dialogs, the replacement
+text of canvas and object, annotations of formulas). A class or id that names a state or a
+subject (category-social, comments-open) says nothing. A container that a class or id calls
+boilerplate is kept, with a lower score, if another one calls it content, or if it holds
+most of the page's text outside links; only reader comments and consent notices go whatever
+their length. Character references are decoded, white space
 inside a block becomes one space, blocks are joined by one line break. Markup
 need not be well formed: open paragraphs, missing end tags and cut-off pages are
 read as browsers do in these respects.
@@ -50,8 +55,8 @@ RAW = _set("script style textarea title noscript iframe xmp noembed noframes")
 CONTAINERS = _set("html body article main section div td li dd blockquote center table tbody tr ul ol dl")
 BLOCKS = CONTAINERS | _set("p h1 h2 h3 h4 h5 h6 pre address figure figcaption details summary dt th thead tfoot"
                            " caption hr fieldset legend header footer nav aside form hgroup")
-DROPPED = _set("head script style noscript iframe template svg math canvas object nav header footer aside form"
-               " button select textarea input label dialog menu title")
+DROPPED = _set("head script style noscript iframe template svg annotation annotation-xml canvas object nav header footer aside form"
+               " button select textarea input label menu title")
 ROLES = _set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar"
              " toolbar tablist status")
 BOILERPLATE = _set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie"
@@ -59,9 +64,16 @@ BOILERPLATE = _set("ad ads adv advert adverts advertisement advertising sponsor
                    " sharing social related recommended recommendations sidebar sidenav menu nav navbar navigation"
                    " breadcrumb breadcrumbs masthead header footer comment comments disqus replies respond widget"
                    " widgets popup modal overlay pagination pager toolbar skip copyright")
+#: Boilerplate that may be longer than the article.
+REMARKS = _set("comment comments disqus replies respond cookie cookies consent gdpr")
 LAYOUT = _set("has with no without main page layout wrapper wrap container")
 #: Content words in a container's tag, class or id raise its score, general page parts lower it.
 CONTENT = _set("article content entry post story text body main")
+#: Class names of a state or a subject: their words do not tell what the element holds.
+_STATE = re.compile(r"(?:category|categories|cat|tag|tax|taxonomy|term|topic|format|type|status|is|supports?)[-_].+"
+                    r"|.+[-_](?:open|opened|closed|enabled|disabled|allowed|active|inactive|on|off|true|false)", re.I)
+#: Factor on the score of a container that is called boilerplate but kept.
+DOUBTFUL = 0.5
 WEIGHT = {"article": 2.0, "main": 1.5, "html": 0.4, "body": 0.5}
 #: Start tags that end an open element of the listed kinds (their end tags may be left out).
 CLOSES = {"li": _set("li"), "dt": _set("dt dd"), "dd": _set("dt dd"), "tr": _set("tr td th"), "td": _set("td th"),
@@ -81,20 +93,32 @@ def words(value: str) -> set[str]:
 
 
 def is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in DROPPED:
+    """Whether an element goes whatever it holds."""
+    if tag in DROPPED or tag == "dialog" and "open" not in attrs:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
     if ("hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES
             or re.search(r"display:none|visibility:hidden", attrs.get("style", "").replace(" ", "").lower())):
         return True
-    for name in [*attrs.get("class", "").split(), attrs.get("id", "")]:
-        own = words(name)
-        if own & BOILERPLATE and not own & LAYOUT:
-            return True
     return False
 
 
+def called(tag: str, attrs: dict[str, str]) -> tuple[bool, bool, bool]:
+    """Whether classes or id call an element boilerplate, whether of REMARKS, and whether another one calls it content."""
+    boilerplate = remarks = content = False
+    if tag not in ("html", "body", "article", "main"):
+        for name in [*attrs.get("class", "").split(), attrs.get("id", "")]:
+            if _STATE.fullmatch(name):
+                continue
+            own = words(name)
+            if own & BOILERPLATE and not own & LAYOUT:
+                boilerplate, remarks = True, remarks or bool(own & REMARKS)
+            elif own & CONTENT:
+                content = True
+    return boilerplate, remarks, content
+
+
 class Container:
     __slots__ = ("path", "weight", "parent", "direct", "deeper", "first", "last")
 
@@ -103,16 +127,32 @@ class Container:
         self.direct = self.deeper = 0.0
 
 
+DROP, DOUBT = 1, 2
+
+
 class Page:
     """The blocks of text of a page outside boilerplate, and its containers as ranges of blocks."""
 
     def __init__(self, source: str):
+        self._parse(source, frozenset())
+        if self._doubtful:
+            whole = self._unlinked
+            if most := frozenset(n for n, held in self._doubtful if 2 * held > whole):
+                self._parse(source, most)
+
+    def _parse(self, source: str, kept: frozenset[int]) -> None:
+        """Read the page; ``kept``: the numbers of the start tags that are kept though called boilerplate."""
+        self._kept, self._number = kept, 0
+        #: elements called boilerplate: (number of the start tag, characters outside links)
+        self._doubtful: list[tuple[int, int]] = []
+        #: characters outside links and certain boilerplate so far; open elements of the latter
+        self._unlinked, self._certain = 0, 0
         self.blocks: list[str] = []
         self.containers: list[Container] = []
         self._held: list[str] = []
         self._linked = 0
-        #: open elements: (tag, container or None, whether it is boilerplate)
-        self._open: list[tuple[str, Container | None, bool]] = []
+        #: open elements: (tag, container or None, whether it is boilerplate: DROP, DOUBT or 0, start tag's number, characters before)
+        self._open: list[tuple[str, Container | None, int, int, int]] = []
         self._root = Container("", 0.1, None, 0)
         self._inside, self._dropped, self._links = self._root, 0, 0
         self.containers.append(self._root)
@@ -147,6 +187,8 @@ class Page:
         self._root.last = len(self.blocks)
 
     def _text(self, raw: str) -> None:
+        if not self._certain and not self._links:
+            self._unlinked += len(raw) if not raw.isspace() else 0
         if not self._dropped:
             text = html.unescape(raw) if "&" in raw else raw
             self._held.append(text)
@@ -178,29 +220,38 @@ class Page:
             self._close_open({"p"}, _set("table button") | {"article", "section", "div", "body"})
         if tag in CLOSES:
             self._close_open(CLOSES[tag], SCOPE - CLOSES[tag])
-        if tag in VOID or tag in ("html", "body") and any(t == tag for t, _, _ in self._open):
+        if tag in VOID or tag in ("html", "body") and any(x[0] == tag for x in self._open):
             return
         attrs = attributes(raw) if raw.strip() else {}
-        drop = is_boilerplate(tag, attrs)
-        own = None
+        self._number += 1
+        boilerplate, remarks, content = called(tag, attrs) if attrs else (False, False, False)
+        own, drop = None, 0
+        if is_boilerplate(tag, attrs) or remarks and not content:
+            drop = DROP
+        elif boilerplate and not content and self._number not in self._kept:
+            drop = DOUBT
         if drop:
-            self._flush()
+            if not tag.startswith("annotation"):  # stands inside a line
+                self._flush()
             self._dropped += 1
+            self._certain += drop == DROP
         elif tag in CONTAINERS and not self._dropped:
             classes = sorted(_DIGITS.sub("#", c) for c in attrs.get("class", "").split())
             weight = WEIGHT.get(tag, 1.0)
             if weight == 1.0 and words(f"{attrs.get('class', '')} {attrs.get('id', '')}") & CONTENT:
                 weight = 1.6
+            if boilerplate:
+                weight *= DOUBTFUL
             own = Container("/".join(filter(None, [self._inside.path, ".".join([tag, *classes])])), weight,
                             self._inside, len(self.blocks))
             self.containers.append(own)
             self._inside = own
         if tag == "a":
             self._links += 1
-        self._open.append((tag, own, drop))
+        self._open.append((tag, own, drop, self._number, self._unlinked))
 
     def _pop(self) -> None:
-        tag, own, drop = self._open.pop()
+        tag, own, drop, number, before = self._open.pop()
         if own is not None or tag in BLOCKS:
             self._flush()
         if own is not None:
@@ -208,6 +259,9 @@ class Page:
             self._inside = own.parent
         if drop:
             self._dropped -= 1
+            self._certain -= drop == DROP
+        if drop == DOUBT and not self._certain:
+            self._doubtful.append((number, self._unlinked - before))
         if tag == "a":
             self._links -= 1
 

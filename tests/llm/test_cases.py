@@ -342,6 +342,23 @@ def test_html(spark):
     assert html_extraction.extract(df.limit(0)).count() == 0
 
 
+def test_html_keeps_containers_that_a_class_word_calls_boilerplate():
+    article, side = prose(1, 80), '<div class="sidebar">More</div><div class="cookie-notice">We use cookies</div>'
+    for names in ('class="post category-social"', 'class="entry comments-open"', 'class="post tag-cookies"',
+                  'class="post-7 format-widget tag-social"', 'class="post social"', 'class="elementor-widget"', 'id="promo"',
+                  'class="widget"', 'class="sharing related"', 'class="content sidebar-left"'):
+        page = html_extraction.Page(f"<body>{side}<div {names}><p>{article}</p></div>{side}")
+        assert page.text([]) == article, names
+    for names in ('class="comments"', 'id="respond"', 'class="cookie-consent"', 'role=banner', "hidden", 'class="comment-content"'):
+        page = html_extraction.Page(f"<body><div class=x><p>short text</p></div><div {names}><p>{article}</p></div>")
+        assert page.text([]) == "short text", names
+    many = "".join(f'<div class="post category-promo"><p>{prose(k, 9)}</p></div>' for k in range(9))
+    assert html_extraction.Page(f"<body>{side}{many}").text([]) == "\n".join(prose(k, 9) for k in range(9))
+    page = html_extraction.Page("<article><p>If <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation></math> then"
+                                "<dialog>closed</dialog><dialog open>shown</dialog></article>")
+    assert page.text([]) == "If a=2 then\nshown"
+
+
 def test_warc(spark):
     r = random.Random(5)
     rows = [(i, f"http://h{i % 7}.org/p {i}\r\nX: y", f"<p>{prose(i % 40)}</p>") for i in range(120)]
