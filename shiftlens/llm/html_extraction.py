@@ -3,10 +3,12 @@
 1. Each page's containers (article, main, section, div, td, ...) are scored by the
    text they hold outside boilerplate and links; a container's path is the tags
    and classes from the root down, with runs of digits generalised to "#".
-2. Each page votes for its containers' paths with their share of the page's best
-   score; Spark sums the votes per host and path.
-3. Each page is extracted again: the first of its host's paths, by votes, that
-   occurs on the page with text; else the page's own best container.
+2. Each page votes for the path of its best container; Spark counts the votes per
+   host and path. A host's paths are those with at least two votes and LEAST_SHARE
+   of its pages, so a host may have as many layouts as it has.
+3. Each page is extracted again: of its host's paths the one with the highest score
+   on the page, if that is at least COMPARABLE of the page's best; else (a layout
+   of few pages) the page's own best container.
 
 Text is what the container holds without menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, told by tag, role, visibility,
@@ -21,8 +23,8 @@ need not be well formed: open paragraphs, missing end tags and cut-off pages are
 read as browsers do in these respects.
 
 Votes are combined map-side before they meet by (host, path), so a host with a
-third of all pages is no hot task. The winning paths are broadcast if their
-counted size is small, else joined by host, where Spark splits skewed partitions.
+third of all pages is no hot task. The hosts' paths are broadcast if their
+measured size is small, else joined by host, where Spark splits skewed partitions.
 
 Defined results: null or empty html gives an empty text; a page without any
 container gives the text of its body; a null url counts as one host;
@@ -36,13 +38,16 @@ import html
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, small, stored, table
+from .common import BROADCAST_BYTES, pick, stored, table
 
-#: Paths that a host keeps, by votes; pages that hold none of them use their own best container.
-HOST_PATHS = 5
+#: Share of a host's votes that makes a path one of the host's. It bounds the list that travels with a page
+#: (1 / LEAST_SHARE paths); pages of rarer layouts use their own best container.
+LEAST_SHARE = 0.02
+#: Share of a page's best score from which one of its host's paths is preferred to the page's own best.
+COMPARABLE = 0.25
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -290,14 +295,20 @@ class Page:
                 found[c.path] = found.get(c.path, 0.0) + score
         return found
 
+    def best(self) -> str | None:
+        """The path with the highest score, or None if no container has any."""
+        own = self.scores()
+        return max(own, key=lambda p: (own[p], p)) if own else None
+
     def text(self, paths: list[str]) -> str:
-        """The blocks of all outermost containers with the first of ``paths`` that holds any; else of the best own path."""
-        for path in paths:
-            text = self._of(path)
-            if text:
-                return text
+        """The blocks of all outermost containers with the best-scored of ``paths``, if it is comparable to the page's
+        best path; else of that. On a page without any score (links only), of the first of ``paths`` that holds text."""
         own = self.scores()
-        return self._of(max(own, key=lambda p: (own[p], p))) if own else ""
+        if not own:
+            return next(filter(None, map(self._of, paths)), "")
+        best = max(own, key=lambda p: (own[p], p))
+        listed = max((p for p in paths if own.get(p, 0) >= COMPARABLE * own[best]), key=own.__getitem__, default=best)
+        return self._of(listed)
 
     def _of(self, path: str) -> str:
         taken, done = [], 0
@@ -313,7 +324,7 @@ def host(url):
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes) summed over all pages of (host, html)."""
+    """(host, path, votes): the pages of (host, html) whose best container has the path."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -322,10 +333,9 @@ def votes(pages: DataFrame) -> DataFrame:
             for at in range(0, b.num_rows, 256):
                 part, out = b.slice(at, 256), {}
                 for name, source in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    scores = Page(source or "").scores()
-                    top = max(scores.values(), default=0)
-                    for path, s in scores.items():
-                        out[name, path] = out.get((name, path), 0) + round(1_000_000 * s / top)
+                    path = Page(source or "").best()
+                    if path is not None:
+                        out[name, path] = out.get((name, path), 0) + 1
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.string()),
                                                   pa.array([k[1] for k in out], pa.string()),
                                                   pa.array(out.values(), pa.int64())], ["host", "path", "votes"])
@@ -334,20 +344,24 @@ def votes(pages: DataFrame) -> DataFrame:
             .groupBy("host", "path").agg(F.sum("votes").alias("votes")))
 
 
-def host_paths(pages: DataFrame, keep: int = HOST_PATHS) -> DataFrame:
-    """(host, paths): the paths of each host with the most votes, best first; ties by path."""
-    best = Window.partitionBy("host").orderBy(F.col("votes").desc(), "path")  # rows: the paths of one host
-    ranked = votes(pages).withColumn("r", F.row_number().over(best)).where(F.col("r") <= keep)
-    return (ranked.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("r", "path"))).alias("p"))  # <= keep each
+def host_paths(pages: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
+    """(host, paths): the paths of each host with at least two votes and ``least_share`` of all, most votes first;
+    ties by path. A single vote is that of a page whose own best container it is anyway."""
+    counted = stored(votes(pages), "host-votes")
+    total = counted.groupBy("host").agg(F.sum("votes").alias("total"))
+    listed = counted.where("votes >= 2").join(total, "host").where(F.col("votes") >= F.col("total") * F.lit(least_share))
+    # at most 1 / least_share paths of each host
+    return (listed.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path"))).alias("p"))
             .select("host", F.col("p.path").alias("paths")))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            keep: int = HOST_PATHS) -> DataFrame:
+            least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, url, text): the main text of every page."""
     src = pick(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host(F.col("url")))
-    paths = stored(host_paths(src, keep), "host-paths")
-    kept = F.broadcast(paths) if small(paths, row_bytes=512) else paths
+    paths = stored(host_paths(src, least_share), "host-paths")
+    held = paths.agg(F.sum(F.octet_length(F.concat_ws("", "paths")) + 64 * F.size("paths") + 256)).first()[0] or 0
+    kept = F.broadcast(paths) if held <= BROADCAST_BYTES else paths
     kind = src.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:

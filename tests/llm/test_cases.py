@@ -359,6 +359,27 @@ def test_html_keeps_containers_that_a_class_word_calls_boilerplate():
     assert page.text([]) == "If a=2 then\nshown"
 
 
+def test_html_hosts_with_many_layouts(spark):
+    def page(k, layout):
+        return layout % f"<p>{prose(2 * k, 60)}</p><p>{prose(2 * k + 1, 60)}</p>"
+
+    teaser = f"<div class=teaser><p>{prose(7, 25)}</p></div><div class=author><p>{prose(8, 25)}</p></div>"
+    hosts = {"many": [f"<body>{teaser}<article class=kind{chr(97 + n)}>%s</article>" for n in range(12)],
+             "main": [f"<body>{teaser}<main><section class=x>{prose(9, 12)}</section><article class=k{chr(97 + n)}>%s</article></main>"
+                      for n in range(4)],
+             "plain": [f"<body><div><div class=t>{prose(9, 25)}</div><div class=x{chr(97 + n)}>%s</div></div>" for n in range(3)]}
+    rows = [(name, k, layout) for name, own in hosts.items() for k, layout in enumerate(own * 6)]
+    # two layouts of one page each, and a page whose article is shorter than a teaser
+    rows += [("many", 90 + n, f"<body>{teaser}<article class=rare{chr(97 + n)}>%s</article>") for n in range(2)]
+    short = f"<body><div class=teaser><p>{prose(7, 40)}</p></div><article class=kinda><p>{prose(3, 10)}</p></article>"
+    df = spark.createDataFrame([(i, f"http://{h}.org/{k}", page(k, x)) for i, (h, k, x) in enumerate(rows)]
+                               + [(-1, "http://many.org/s", short)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extraction.extract(df).collect()}
+    for i, (_, k, _) in enumerate(rows):
+        assert got[i] == prose(2 * k, 60) + "\n" + prose(2 * k + 1, 60)
+    assert got[-1] == prose(3, 10)
+
+
 def test_warc(spark):
     r = random.Random(5)
     rows = [(i, f"http://h{i % 7}.org/p {i}\r\nX: y", f"<p>{prose(i % 40)}</p>") for i in range(120)]
