@@ -127,15 +127,15 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, m: int | None = None) -> Dat
 
 
 def classes(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, first_id, component_id) for each distinct fingerprint of a stored frame (id, fp):
-    its own smallest id, and the smallest id that its links reach."""
+    """(fp, first_id, root, component_id) for each distinct fingerprint of a stored frame (id, fp):
+    its own smallest id, its component, and the smallest id that its links reach."""
     # equal fingerprints meet in a map-side combined aggregate, however many there are
     nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-nodes")
     linked = components(links(nodes.select("fp"), max_bits), "simhash")
     roots = nodes.join(linked, nodes["fp"] == linked["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return roots.join(smallest, "root").select("fp", "first_id", "component_id")
+    return roots.join(smallest, "root").select("fp", "first_id", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -143,19 +143,21 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(id, fp, component_id): one row per document; component_id is the smallest id reachable by links."""
     src = pick(docs, id=id_col, text=text_col)
     fps = stored(src.select("id", fingerprint_of(F.col("text"), words).alias("fp")), "simhash-fps")
-    return fps.join(classes(fps, max_bits).drop("first_id"), "fp").select("id", "fp", "component_id")
+    return fps.join(classes(fps, max_bits).drop("first_id", "root"), "fp").select("id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stand for their group: those whose
-    doc_id is the group's smallest. Of repeated rows one stays."""
+    doc_id is the group's smallest. Of repeated rows, and of several rows with that id, one stays."""
     names = docs.columns
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     doc_id, text = (F.col(f"_c{names.index(c)}") for c in ("doc_id", "text"))
     fp = fingerprint_of(text, words)
     fps = stored(plain.select(doc_id.alias("id"), fp.alias("fp")), "simhash-fps")
+    # several fingerprints of a component have its smallest id if that repeats, or if all its ids are null
     first = (classes(fps, max_bits).where(F.col("first_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("first_id").alias("_first"), F.col("fp").alias("_first_fp")))
+             .groupBy("root", "component_id").agg(F.min("fp").alias("_first_fp"))
+             .select(F.col("component_id").alias("_first"), "_first_fp"))
     once = fps.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() == 0
     # keyed by id: a fingerprint that a third of all rows share is no hot key. The texts are shuffled
     # once, at every size alike, rather than meeting a broadcast whose size grows with the corpus

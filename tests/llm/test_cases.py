@@ -77,6 +77,20 @@ def test_simhash_links_are_all_found(spark):
         assert {frozenset((a % (1 << 64), b % (1 << 64))) for a, b in got} == set(map(frozenset, want))
 
 
+def test_simhash_keeps_one_row_of_a_group_whose_id_repeats(spark):
+    def near(seed):
+        text = prose(seed, 300)
+        own = simhash_dedup.fingerprint(text)
+        return [text, next(t for t in (f"{text} {w}" for w in range(1000))
+                           if 0 < (simhash_dedup.fingerprint(t) ^ own).bit_count() <= 4)]
+
+    rows = [(i, t, "x") for i, seed in ((5, 1), (None, 2), (5, 3), (None, 4)) for t in near(seed)] + [(9, near(1)[1], "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    kept = simhash_dedup.keep_one(df).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["5", "5", "None", "None"]
+    assert len({t for r in kept for t in [r.text[:40]]}) == 4
+
+
 def edited(text, n, seed):
     r, s = random.Random(seed), list(text)
     for _ in range(n):
