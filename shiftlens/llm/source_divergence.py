@@ -36,7 +36,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import pick, stored, table
+from .common import pick, small, stored, table
 
 LEAST_DOCS, TOP, SMOOTH, SCALE = 30, 50, 5, 1_000_000_000
 BLOCK_TERMS, SET_BYTES, TILE_CELLS, TILE_TERMS = 1 << 17, 32 << 20, 1 << 20, 4096
@@ -353,10 +353,11 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     groups = stored(src.select("lang", "source").distinct().join(
         counts.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
         .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total")), "divergence-groups")
-    langs = (groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
+    langs = stored(groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
              .join(made.groupBy("lang").agg(F.sum("n_terms").alias("v")), "lang", "left")
              .select("lang", F.coalesce("v", F.lit(0)).alias("v"),
-                     F.expr(f"greatest(1, least({TILE_TERMS}, {TILE_CELLS} div sources))").alias("width")))
+                     F.expr(f"greatest(1, least({TILE_TERMS}, {TILE_CELLS} div sources))").alias("width")), "divergence-langs")
+    langs = F.broadcast(langs) if small(langs, 256) else langs  # a join by language alone would gather its counts
     cells = counts.join(langs, "lang").select(
         "lang", F.expr("ordinal div width").alias("tile"), "source", "ordinal", "n", "v", "width")
     heads = groups.join(langs, "lang").select(

@@ -44,7 +44,7 @@ def test_sql(spark, con, name):
 
 
 def test_every_operator_has_one_query_and_the_pipeline_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "simhash_near_dedup",
                                                       "benchmark_decontamination", "best_fit_packing"]
@@ -186,3 +186,32 @@ def test_base32_is_the_digest_of_the_payload(spark, con):
     got = {r["page_id"]: r["payload_digest"] for r in rows(spark, "op9_warc_archive")}
     for page_id, source in con.execute("SELECT page_id, html FROM pages").fetchall():
         assert got[page_id] == base64.b32encode(hashlib.sha1(source.encode()).digest()).decode()
+
+
+def test_op12_whitens_the_whole_table(spark, con):
+    got = rows(spark, "op12_embedding_whitening")
+    table = con.execute("SELECT vec_id, embedding FROM embeddings ORDER BY vec_id").fetchall()
+    x = np.floor(64 * np.array([v for _, v in table], np.float64)).astype(np.int64) + 1_000_000
+    n, total = len(x), x.sum(axis=0)
+    apart = (n * x - total) ** 2
+    assert {(r["vec_id"], r["deviation"]) for r in got} == {(i, int(d)) for (i, _), d in zip(table, apart.sum(axis=1))}
+    centred = x - total / n
+    value, axis = np.linalg.eigh(centred.T @ centred / n)
+    white = np.zeros((n, 32))
+    at = {i: k for k, (i, _) in enumerate(table)}
+    for r in got:
+        white[at[r["vec_id"]], r["component"] - 1] = r["whitened"]
+        assert r["n"] == n and r["identity_error"] <= 1e-4
+        assert abs(r["explained"] - value[-r["component"]] / value.sum()) <= 1e-9
+    assert np.abs(white.T @ white / n - np.eye(32)).max() < 1e-9
+    want = centred @ axis[:, ::-1][:, :32] / np.sqrt(value[::-1][:32])
+    assert np.abs(np.abs(white) - np.abs(want)).max() < 1e-6
+
+
+def test_op13_is_right_on_the_rows_it_never_saw(spark, con):
+    got = {r["doc_id"]: r for r in rows(spark, "op13_language_id")}
+    table = con.execute("SELECT doc_id, lang FROM documents").fetchall()
+    assert {i: r["held_out"] for i, r in got.items()} == {i: zlib.crc32(str(i).encode()) % 3 == 1 for i, _ in table}
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    right = [got[i]["lang_pred"] == lang for i, lang in table if got[i]["held_out"] and lang]
+    assert sum(right) >= 0.98 * len(right)
