@@ -35,6 +35,8 @@ from ..session import ensure_checkpoint_dir
 
 #: The rank table is broadcast up to this size.
 BROADCAST_BYTES, RANK_ROW_BYTES = 64 * 1024 * 1024, 128
+#: Distinct values in one range of ``rank_table_by_ranges``, about.
+RANGE_ROWS = 1 << 20
 
 
 def rank_table(df: DataFrame, value: str, partition_by: list[str] | tuple = (),
@@ -70,6 +72,38 @@ def rank_table(df: DataFrame, value: str, partition_by: list[str] | tuple = (),
     )
 
 
+def rank_table_by_ranges(df: DataFrame, value: str, partition_by: list[str] | tuple = (),
+                         range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``rank_table`` for values without a common grid, where a bucket of fixed width may hold any number of values.
+
+    The distinct (partition, value) rows with their counts are range-partitioned on exactly these columns, by splits that Spark
+    samples from them, into ranges of about ``range_rows`` rows, and stored. A window counts within one range
+    of one partition; the ranges' totals (a row per partition and range) give what lies before each."""
+    parts = list(partition_by)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    counts = df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    ranges = max(1, -(-counts.count() // range_rows))
+    order = [F.col(p).asc_nulls_first() for p in parts] + [F.col(value).desc_nulls_last()]
+    placed = (counts.repartitionByRange(ranges, *order).withColumn("_b", F.spark_partition_id())
+              .checkpoint(eager=True))  # a second sampling could draw other splits
+    before = Window.unboundedPreceding, -1
+    mine = Window.partitionBy(*parts)
+    nb, full = F.col("_nb"), F.col("_full")
+    totals = placed.groupBy(*parts, "_b").agg(
+        F.sum("_n").alias("_nb"), F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col("_n"))), F.lit(0)).alias("_full")).select(
+        *parts, "_b", F.coalesce(F.sum(nb).over(mine.orderBy("_b").rowsBetween(*before)), F.lit(0)).alias("_gt_range"),
+        F.sum(nb).over(mine).alias("_rows"), F.sum(full).over(mine).alias("_nonnull"))
+    inside = Window.partitionBy(*parts, "_b").orderBy(F.col(value).desc_nulls_last()).rowsBetween(*before)
+    ranked = _join_null_safe(placed.withColumn("_gt_in_range", F.coalesce(F.sum("_n").over(inside), F.lit(0))),
+                             totals, parts + ["_b"])
+    gt, nn = F.col("_gt_range") + F.col("_gt_in_range"), F.col("_nonnull")
+    return ranked.select(
+        *parts, value, (gt + 1).cast("bigint").alias("rank_desc"),
+        F.when(F.col(value).isNull(), nn + 1).otherwise(nn - gt - F.col("_n") + 1).cast("bigint").alias("rank_asc"),
+        F.col("_rows").cast("bigint").alias("partition_rows"))
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     if not keys:
         # ``right`` is a global aggregate: exactly one row, so broadcasting it is bounded.
@@ -96,7 +130,7 @@ def _rank_outputs(spec: dict) -> list:
     return outs
 
 
-def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0,
+def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float | None = 1.0,
               materialize: bool = True) -> DataFrame:
     """Add several rankings at once. Each spec: ``value``, optional ``partition_by``
     and the output names ``rank_desc`` / ``rank_asc`` / ``percent_rank_asc`` /
@@ -114,6 +148,8 @@ def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0,
     ranks always belong to the rows read then (registered views). With it
     the result is meant to be read once, over an input that stands still.
 
+    ``bucket_width`` None: values need no common grid (``rank_table_by_ranges``, which materializes always).
+
     With ``materialize`` the rank table (one row per spec, partition and
     distinct value: small) is computed once and checkpointed to the shared
     ``spark.checkpoint.dir``; every join back then reads those few files
@@ -130,7 +166,10 @@ def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0,
                      F.col(sp["value"]).cast("double").alias("_v"))
             for i, sp in enumerate(specs)]
     stacked = df.select(F.explode(F.array(*rows)).alias("_s")).select("_s.*")
-    rt = rank_table(stacked, "_v", ["_spec", *slots], bucket_width)
+    if bucket_width is None:
+        rt = rank_table_by_ranges(stacked, "_v", ["_spec", *slots])
+    else:
+        rt = rank_table(stacked, "_v", ["_spec", *slots], bucket_width)
     fits = False
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
@@ -154,7 +193,7 @@ def add_ranks(df: DataFrame, specs: list[dict], bucket_width: float = 1.0,
 def with_ranks(df: DataFrame, value: str, partition_by: list[str] | tuple = (), *,
                rank_desc: str | None = None, rank_asc: str | None = None,
                percent_rank_asc: str | None = None, percent_rank_desc: str | None = None,
-               bucket_width: float = 1.0) -> DataFrame:
+               bucket_width: float | None = 1.0) -> DataFrame:
     """Add the requested rank columns of ``value`` within ``partition_by``."""
     return add_ranks(df, [dict(value=value, partition_by=partition_by, rank_desc=rank_desc,
                                rank_asc=rank_asc, percent_rank_asc=percent_rank_asc,

@@ -363,6 +363,29 @@ FROM (SELECT provnum AS provider_id, provname AS provider_name, city, state, cou
 WHERE rn = 1
 """
 
+CTES["provider_day"] = """
+SELECT provnum, work_date, provname, city, state, county_name, county_fips,
+       lag({'n': provname, 'c': city, 's': state, 'y': county_name, 'f': county_fips}) OVER (PARTITION BY provnum ORDER BY work_date) AS before
+FROM (SELECT DISTINCT ON (provnum, work_date) * FROM silver
+      ORDER BY provnum, work_date, provname DESC, city DESC, state DESC, county_name DESC, county_fips DESC) x
+"""
+
+CTES["dim_provider_history"] = """
+SELECT provnum AS provider_id, provname AS provider_name, city, state, county_name, county_fips, work_date AS valid_from,
+       CAST(next - 1 AS DATE) AS valid_to, next IS NULL AS is_current, last_reported
+FROM (SELECT *, lead(work_date) OVER (PARTITION BY provnum ORDER BY work_date) AS next
+      FROM provider_day
+      WHERE before IS NULL OR before <> {'n': provname, 'c': city, 's': state, 'y': county_name, 'f': county_fips}) c
+JOIN (SELECT provnum, max(work_date) AS last_reported FROM silver GROUP BY provnum) l USING (provnum)
+"""
+
+CTES["provider_asof_monthly"] = """
+SELECT pm.provider_id, h.provider_name, h.city, h.state, pm.year_month, pm.state AS reported_state, pm.avg_nursing_hppd,
+       pm.avg_daily_census, pm.total_nursing_hours, pm.avg_contract_ratio, pm.days_reported
+FROM agg_provider_monthly pm LEFT JOIN dim_provider_history h ON h.provider_id = pm.provider_id
+  AND last_day(make_date(pm.year, pm.month, 1)) BETWEEN h.valid_from AND coalesce(h.valid_to, DATE '9999-12-31')
+"""
+
 CTES["dim_state"] = f"""
 SELECT ROW_NUMBER() OVER (ORDER BY state) AS state_sk, *
 FROM (SELECT state, count(DISTINCT provnum) AS provider_count, count(DISTINCT county_fips) AS county_count,
@@ -626,11 +649,21 @@ ORDER BY national_rank_hppd, provider_id, state, days_reported, avg_daily_census
        CAST(RANK() OVER (ORDER BY avg_hppd DESC NULLS LAST) AS BIGINT) AS national_rank,
        PERCENT_RANK() OVER (ORDER BY avg_hppd ASC NULLS LAST) AS percent_rank
 FROM v_provider_monthly""",
+    "dim_provider_history": "SELECT * FROM dim_provider_history",
+    "provider_asof_monthly": "SELECT * FROM provider_asof_monthly",
+    "fact_asof_provider": """SELECT provnum AS provider_id, work_date, provname AS provider_name, city, state, county_name,
+       county_fips, mdscensus AS patient_census, total_nursing_hours FROM silver""",
+    "daily_ratio_rank": """SELECT provider_id, state, work_date, nursing_hppd AS ratio,
+       CAST(RANK() OVER (ORDER BY nursing_hppd DESC NULLS LAST) AS BIGINT) AS national_rank,
+       PERCENT_RANK() OVER (ORDER BY nursing_hppd ASC NULLS LAST) AS percent_rank,
+       CAST(RANK() OVER (PARTITION BY state ORDER BY nursing_hppd DESC NULLS LAST) AS BIGINT) AS state_rank
+FROM facts WHERE patient_census > 0""",
     "pipeline_run_log": """SELECT 'land_raw' AS stage, 'SUCCEEDED' AS status, count(*) AS rows FROM panel
 UNION ALL SELECT 'raw_to_silver', 'SUCCEEDED', count(*) FROM silver
 UNION ALL SELECT 'silver_to_gold', 'SUCCEEDED',
        (SELECT count(*) FROM dim_date) + (SELECT count(*) FROM dim_provider)
-     + (SELECT count(*) FROM dim_provider_current) + (SELECT count(*) FROM dim_state)
+     + (SELECT count(*) FROM dim_provider_current) + (SELECT count(*) FROM dim_provider_history)
+     + (SELECT count(*) FROM dim_state)
      + (SELECT count(*) FROM facts) + (SELECT count(*) FROM agg_provider_monthly)
      + (SELECT count(*) FROM agg_state_monthly) + (SELECT count(*) FROM agg_state_monthly_etl)
      + (SELECT count(*) FROM agg_overall_metrics) + (SELECT count(*) FROM v_provider_monthly)
@@ -676,6 +709,35 @@ def _deps(sql: str) -> list[str]:
     return [n for n in CTES if n in words]
 
 
+# The same queries over two quarters: the panel and, after it, the panel a quarter later without some facilities.
+QUARTER_QUERIES: dict[str, str] = {
+    "quarters_provider_monthly": "SELECT * FROM v_provider_monthly",
+    "quarters_state_monthly": "SELECT * FROM v_state_monthly",
+    "quarters_kpi_summary": "SELECT * FROM v_kpi_summary",
+    **{f"quarters_{t}": f"SELECT * FROM {t}" for t in (
+        "mv_staffing_summary", "provider_asof_monthly", "dim_date", "dim_provider_current", "dim_provider_history", "dim_state",
+        "agg_provider_monthly", "agg_state_monthly", "agg_state_monthly_etl", "agg_overall_metrics")},
+    "state_provider_reach": "SELECT state, count(DISTINCT provnum) AS providers FROM silver GROUP BY state",
+    "monthly_provider_reach": """SELECT CAST(year(work_date) AS INTEGER) AS year, CAST(month(work_date) AS INTEGER) AS month,
+       count(DISTINCT provnum) AS providers FROM silver GROUP BY ALL""",
+    "sketch_accuracy": """SELECT DISTINCT state, CAST(q AS DOUBLE) AS quantile, true AS rank_ok, true AS members_ok
+FROM silver, (VALUES (0.25), (0.5), (0.75)) v(q)""",
+}
+
+_TWO_QUARTERS = f"""
+SELECT * FROM first_quarter
+UNION ALL
+SELECT * REPLACE (CAST(work_date + {P.DAYS_IN_QUARTER} AS DATE) AS work_date, '{P.NEXT_QUARTER}' AS cy_qtr)
+FROM first_quarter WHERE CAST(provnum AS BIGINT) % {P.LEAVES_MOD} <> {P.LEAVES_REM}
+"""
+
+
+def quarter_sql(name: str) -> str:
+    one = with_ctes(QUARTER_QUERIES[name])
+    panel = CTES["panel"].strip()
+    return one.replace(f"panel AS ({panel})", f"first_quarter AS ({panel}),\npanel AS ({_TWO_QUARTERS.strip()})")
+
+
 def with_ctes(body: str) -> str:
     order: list[str] = []
 
@@ -700,4 +762,4 @@ def query_sql(name: str) -> str:
 
 
 def all_queries() -> dict[str, str]:
-    return {k: query_sql(k) for k in QUERIES}
+    return {k: query_sql(k) for k in QUERIES} | {k: quarter_sql(k) for k in QUARTER_QUERIES}

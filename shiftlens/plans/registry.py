@@ -11,11 +11,15 @@ from .. import config as C
 from . import metrics as M
 from . import serving as Q
 from . import jobs as J
+from . import quarter_state as T
 from .catalog import register_views
 from .warehouse import GOLD_TABLES, Warehouse
+from ..operators import distinct
+from ..operators.silver import to_silver
 from ..session import scratch_dir
 from ..sources.bronze import raw_inventory
-from ..sources.sinks import materialize, register_tables
+from ..sources.panel import NEXT_QUARTER, PANEL_QUARTER, facility_days, next_quarter, render_raw
+from ..sources.sinks import materialize, register_tables, write_silver
 from ..streaming.incremental import run_incremental_silver
 
 
@@ -61,6 +65,7 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_date": lambda wh: wh.table("dim_date"),
     "dim_provider": lambda wh: wh.table("dim_provider").drop("provider_sk"),
     "dim_provider_current": lambda wh: wh.table("dim_provider_current"),
+    "dim_provider_history": lambda wh: wh.table("dim_provider_history"),
     "dim_state": lambda wh: wh.table("dim_state"),
     "agg_state_monthly_etl": lambda wh: wh.table("agg_state_monthly_etl"),
     "agg_provider_monthly": lambda wh: wh.table("agg_provider_monthly"),
@@ -74,6 +79,8 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "mv_staffing_summary": Q.mv_staffing_summary,
     "mv_provider_rankings": Q.mv_provider_rankings,
     "mv_provider_rankings_current": lambda wh: Q.mv_provider_rankings(wh, current=True),
+    "provider_asof_monthly": Q.provider_asof_monthly,
+    "fact_asof_provider": Q.fact_asof_provider,
     # warehouse queries
     "kpi_overall": Q.kpi_overall,
     "state_comparison": Q.state_comparison,
@@ -100,6 +107,7 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "state_trend_selected": Q.state_trend_preselected,
     "rankings_top10": Q.rankings_top10,
     "global_rank": Q.global_rank,
+    "daily_ratio_rank": Q.daily_ratio_rank,
     "table_row_counts": Q.table_row_counts,
     "fk_violations": Q.fk_violations,
 }
@@ -191,6 +199,54 @@ def _pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.run_pipeline(spark, sf_dir, scratch_dir(spark, "runlog")).select("stage", "status", "rows")
 
 
+def _quarters_gold(spark: SparkSession, sf_dir: str) -> str:
+    """Gold after two quarters were loaded one after the other; built once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _QUARTERS:
+        base = scratch_dir(spark, "quarters")
+        first = facility_days(spark, sf_dir)
+        for panel, quarter in ((first, PANEL_QUARTER), (next_quarter(first), NEXT_QUARTER)):
+            write_silver(to_silver(render_raw(panel), source_file=f"{sf_dir}/lineitem.parquet"), f"{base}/silver")
+            T.load_quarter(spark, f"{base}/silver", f"{base}/gold", quarter)
+        _QUARTERS[key] = f"{base}/gold"
+    return _QUARTERS[key]
+
+
+_QUARTERS: dict[tuple[str, str], str] = {}
+
+
+def _after_quarters(query: Callable[[Warehouse], DataFrame]):
+    return lambda spark, sf_dir: query(Warehouse.from_gold(spark, _quarters_gold(spark, sf_dir)))
+
+
+def _reach(*keys: str):
+    """Distinct providers over all months of a group, from the stored bitmaps."""
+    return lambda spark, sf_dir: distinct.count_united(T.provider_sets(spark, _quarters_gold(spark, sf_dir)), list(keys))
+
+
+def _sketch_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all months of a state combined, held against the exact figures."""
+    gold = _quarters_gold(spark, sf_dir)
+    exact = distinct.count_united(T.provider_sets(spark, gold), ["state"])
+    return distinct.check(T.read_state(spark, gold, "sketches"), T.read_state(spark, gold, "hppd_counts"), exact, "state",
+                          "nursing_hppd")
+
+
+QUARTER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "quarters_provider_monthly": _after_quarters(lambda wh: wh.provider_monthly()),
+    "quarters_state_monthly": _after_quarters(lambda wh: wh.state_monthly()),
+    "quarters_kpi_summary": _after_quarters(lambda wh: M.v_kpi_summary(wh.daily())),
+    "quarters_mv_staffing_summary": _after_quarters(lambda wh: wh.materialized("mv_staffing_summary")),
+    "quarters_provider_asof_monthly": _after_quarters(Q.provider_asof_monthly),
+    **{f"quarters_{t}": _after_quarters(lambda wh, t=t: wh.table(t)) for t in (
+        "dim_date", "dim_provider_current", "dim_provider_history", "dim_state", "agg_provider_monthly", "agg_state_monthly",
+        "agg_state_monthly_etl", "agg_overall_metrics")},
+    "state_provider_reach": _reach("state"),
+    "monthly_provider_reach": _reach("year", "month"),
+    "sketch_accuracy": _sketch_check,
+}
+
+
 JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_roundtrip": _silver_roundtrip,
     "incremental_silver": _incremental_silver,
@@ -223,4 +279,5 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: bind(fn) for k, fn in WH_QUERIES.items()}
     out.update({k: bind(fn) for k, fn in DERIVED_FACTS.items()})
     out.update(JOB_QUERIES)
+    out.update(QUARTER_QUERIES)
     return out

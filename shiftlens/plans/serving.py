@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import staffing as S
 from ..functions.rounding import exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
+from ..operators.history import as_of
 from ..operators.rank import add_ranks, with_ranks
 from . import metrics as M
 from .warehouse import Warehouse
@@ -97,6 +98,29 @@ def _provider_join(wh: Warehouse, current: bool = False) -> DataFrame:
     return p.join(pm, "provider_id")
 
 
+ASOF_COLUMNS = ["provider_name", "city", "state", "county_name", "county_fips"]
+
+
+def provider_asof_monthly(wh: Warehouse) -> DataFrame:
+    """``agg_provider_monthly`` with the provider attributes in force at the month's end: one row per
+    provider-month, whatever changed since (unlike both forms of ``_provider_join``)."""
+    pm = wh.table("agg_provider_monthly").select(
+        "provider_id", "year_month", F.col("state").alias("reported_state"), "avg_nursing_hppd", "avg_daily_census",
+        "total_nursing_hours", "avg_contract_ratio", "days_reported",
+        F.last_day(F.make_date("year", "month", F.lit(1))).alias("_end"))
+    j = as_of(pm, wh.table("dim_provider_history"), "provider_id", "_end", ASOF_COLUMNS)
+    return j.select("provider_id", "as_of.provider_name", "as_of.city", "as_of.state", "year_month", "reported_state",
+                    "avg_nursing_hppd", "avg_daily_census", "total_nursing_hours", "avg_contract_ratio", "days_reported")
+
+
+def fact_asof_provider(wh: Warehouse) -> DataFrame:
+    """Every facility-day with the provider attributes in force on that day."""
+    rows = wh.fact.select("provider_id", "work_date", "patient_census", "total_nursing_hours")
+    j = as_of(rows, wh.table("dim_provider_history"), "provider_id", "work_date", ASOF_COLUMNS)
+    return j.select("provider_id", "work_date", "as_of.provider_name", "as_of.city", "as_of.state", "as_of.county_name",
+                    "as_of.county_fips", "patient_census", "total_nursing_hours")
+
+
 MV_RANK_COLUMNS = ["provider_id", "provider_name", "city", "state", "year_month", "avg_nursing_hppd",
                    "avg_daily_census", "total_nursing_hours", "avg_contract_ratio", "days_reported"]
 
@@ -296,10 +320,40 @@ def state_trend_preselected(wh: Warehouse, default_count: int = 5) -> DataFrame:
     return sm.join(F.broadcast(first), "state", "left_semi")
 
 
-def rankings_top10(wh: Warehouse) -> DataFrame:
-    r = M.v_provider_rankings(_pm(wh))
-    return r.orderBy("national_rank_hppd", "provider_id", "state", "days_reported", "avg_daily_census",
-                     "avg_rn_mix_pct", "avg_contract_pct", "critical_days").limit(10)
+RANKING_ORDER = ["provider_id", "state", "days_reported", "avg_daily_census", "avg_rn_mix_pct", "avg_contract_pct",
+                 "critical_days"]
+
+
+def rankings_top10(wh: Warehouse, limit: int = 10) -> DataFrame:
+    """The first rows of ``v_provider_rankings`` without ranking the others: the national rank falls with ``avg_hppd``,
+    so the rows are a top-k of it; their ranks are counts of the rows above them, all in one further aggregate."""
+    spark = wh.spark
+    base = _pm(wh).where(F.col("days_reported") >= C.MIN_DAYS_RANKED).select(*M.RANKING_COLUMNS)
+    top = base.orderBy(F.col("avg_hppd").desc_nulls_last(), *RANKING_ORDER).limit(limit).collect()  # ``limit`` rows
+
+    def above(value: str, v, falling: bool, state: str | None = None):
+        """Rows that rank before ``v``; nulls come last."""
+        c = F.col(value)
+        hit = c.isNotNull() if v is None else (c > F.lit(v) if falling else c < F.lit(v))
+        return F.count_if(hit & F.col("state").eqNullSafe(F.lit(state)) if state is not None else hit)
+
+    counts = [F.count(F.lit(1)).alias("n")]
+    for i, r in enumerate(top):
+        counts += [above("avg_hppd", r["avg_hppd"], True, r["state"]).alias(f"a{i}"),
+                   above("avg_rn_mix_pct", r["avg_rn_mix_pct"], True, r["state"]).alias(f"b{i}"),
+                   above("avg_contract_pct", r["avg_contract_pct"], False, r["state"]).alias(f"c{i}"),
+                   above("avg_hppd", r["avg_hppd"], True).alias(f"d{i}"),
+                   above("avg_hppd", r["avg_hppd"], False).alias(f"e{i}")]
+    found = base.agg(*counts)
+    lines = [F.struct(*[F.lit(r[c]).cast(base.schema[c].dataType).alias(c) for c in M.RANKING_COLUMNS],
+                      (F.col(f"a{i}") + 1).alias("state_rank_hppd"), (F.col(f"b{i}") + 1).alias("state_rank_rn_mix"),
+                      (F.col(f"c{i}") + 1).alias("state_rank_stability"), (F.col(f"d{i}") + 1).alias("national_rank_hppd"),
+                      F.when(F.col("n") > 1, stable_round(
+                          F.col(f"e{i}").cast("double") / (F.col("n") - 1).cast("double") * F.lit(100.0), 1))
+                      .otherwise(F.lit(0.0)).alias("hppd_percentile")) for i, r in enumerate(top)]
+    if not lines:
+        return M.v_provider_rankings(base, materialize=False)  # an empty table of the same columns
+    return found.select(F.inline(F.array(*lines)))
 
 
 def global_rank(wh: Warehouse) -> DataFrame:
@@ -308,6 +362,13 @@ def global_rank(wh: Warehouse) -> DataFrame:
     return with_ranks(pm, "avg_hppd", [], rank_desc="national_rank", percent_rank_asc="percent_rank")
 
 
+def daily_ratio_rank(wh: Warehouse) -> DataFrame:
+    """Every facility-day ranked nationally and in its state by the unrounded HPPD: values without a common grid."""
+    rows = wh.fact.where(F.col("patient_census") > 0).select("provider_id", "state", "work_date", F.col("nursing_hppd").alias("ratio"))
+    return add_ranks(rows, [dict(value="ratio", rank_desc="national_rank", percent_rank_asc="percent_rank"),
+                            dict(value="ratio", partition_by=["state"], rank_desc="state_rank")], bucket_width=None)
+
+
 COUNTED_TABLES = ["fact_daily_staffing", "dim_provider", "dim_date", "agg_provider_monthly",
                   "agg_state_monthly"]
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators import gold
+from ..operators.history import provider_history
 from ..operators.silver import to_silver
 from ..sources.panel import facility_days, render_raw
 
@@ -21,6 +22,7 @@ GOLD_TABLES = {
     "dim_date": "dimensions/dim_date",
     "dim_provider": "dimensions/dim_provider",
     "dim_provider_current": "dimensions/dim_provider_current",
+    "dim_provider_history": "dimensions/dim_provider_history",
     "dim_state": "dimensions/dim_state",
     "facts": "facts",
     "agg_provider_monthly": "aggregates/agg_provider_monthly",
@@ -124,6 +126,8 @@ def build_gold_table(name: str, silver: DataFrame, snapshot_date: str = DEFAULT_
         return gold.build_dim_provider(silver)
     if name == "dim_provider_current":
         return gold.build_dim_provider_current(silver)
+    if name == "dim_provider_history":
+        return provider_history(silver)
     if name == "dim_state":
         return gold.build_dim_state(silver)
     if name == "agg_provider_monthly":

@@ -29,6 +29,7 @@ SMALL_FACILITY_MOD, SMALL_FACILITY_REM = 11, 4
 SMALL_DIVISOR, LARGE_DIVISOR = 100000, 10000
 CENSUS_NULL_MOD, CENSUS_ZERO_MOD, RN_NULL_MOD = 53, 37, 41
 NAME_CHANGE_MOD, NAME_CHANGE_DAY, NAME_SUFFIX = 10, 45, " LLC"
+NEXT_QUARTER, LEAVES_MOD, LEAVES_REM = "2024Q3", 4, 1  # facilities that no longer report in the next quarter
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -119,6 +120,14 @@ def facility_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*cols)
 
 
+def next_quarter(panel: DataFrame) -> DataFrame:
+    """The panel a quarter later: the same facility-days 91 days on, names as at the start of the first quarter again, without
+    the facilities that have left."""
+    stays = F.col("provnum").cast("bigint") % LEAVES_MOD != LEAVES_REM
+    return (panel.where(stays).withColumn("work_date", F.date_add("work_date", DAYS_IN_QUARTER))
+            .withColumn("cy_qtr", F.lit(NEXT_QUARTER)))
+
+
 def render_raw(panel: DataFrame) -> DataFrame:
     """The panel as the raw file would carry it: original headers, every value a string,
     dates as yyyyMMdd, the state lower-cased and padded with spaces."""

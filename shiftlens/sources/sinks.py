@@ -7,8 +7,9 @@ is evaluated once (not once for the write and again for a ``count()``).
 
 from __future__ import annotations
 
-import time
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -105,48 +106,103 @@ def to_serving(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+class RefreshConflict(RuntimeError):
+    """Another refresh of the same view was committed in the meantime."""
+
+
 class MaterializedView:
-    """A stored query result that a refresh recomputes in full.
+    """A stored query result with versions.
 
-    Each refresh writes a new version folder and only then becomes visible
-    (readers keep the previous complete version while a refresh runs); the
-    newest complete version is the one read."""
+    A refresh writes ``version=<number>-<id>`` and then commits it: a file named by the number, holding the folder's
+    name, is renamed into ``_log``. The rename fails if that number is taken, so of two refreshes that start from the
+    same version one wins and the other raises ``RefreshConflict``; a refresh that is killed leaves a folder that nobody
+    reads. Numbers, not clocks, order the versions. Readers take the newest committed one."""
 
     def __init__(self, spark: SparkSession, path: str, definition, keep_versions: int = 2):
         self.spark, self.path, self.definition = spark, path.rstrip("/"), definition
         self.keep_versions = keep_versions
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def versions(self) -> list[str]:
-        fs, p = self._fs()
+    def _log(self) -> list[tuple[int, str]]:
+        """(number, folder name after ``version=``) of all committed versions, oldest first."""
+        fs, p = _file_system(self.spark, f"{self.path}/_log")
         if not fs.exists(p):
             return []
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("version=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(name.split("=", 1)[1])
+            if name.isdigit():
+                stream = fs.open(st.getPath())
+                try:
+                    out.append((int(name), self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+                finally:
+                    stream.close()
         return sorted(out)
 
+    def versions(self) -> list[str]:
+        return [v for _, v in self._log()]
+
     def refresh(self) -> int:
-        version = f"{int(time.time() * 1000):015d}"
+        log = self._log()
+        number = log[-1][0] + 1 if log else 1
+        version = f"{number:015d}-{uuid.uuid4().hex[:8]}"
         rows = write_table(self.definition(), f"{self.path}/version={version}")
+        self._commit(number, version)
         self.prune()
         return rows
 
-    def prune(self) -> list[str]:
-        """Drop complete versions older than the newest ``keep_versions`` (the
-        previous one stays for readers that started before the refresh)."""
-        old = self.versions()[:-self.keep_versions] if self.keep_versions > 0 else []
-        fs, _ = self._fs()
+    def _commit(self, number: int, version: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        for v in old:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/version={v}"), True)
-        return old
+        fs, entry = _file_system(self.spark, f"{self.path}/_log/{number:015d}")
+        fs.mkdirs(entry.getParent())
+        draft = jvm.org.apache.hadoop.fs.Path(entry.getParent(), f"draft-{version}")
+        stream = fs.create(draft, True)
+        stream.write(bytearray(version.encode()))
+        stream.close()
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(rename, 1)
+        how[0] = rename.NONE  # do not replace
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.makeQualified(entry).toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            files.rename(fs.makeQualified(draft), fs.makeQualified(entry), how)
+        except Py4JJavaError as e:
+            fs.delete(draft, False)
+            if "FileAlreadyExistsException" not in str(e.java_exception):
+                raise
+            delete_path(self.spark, f"{self.path}/version={version}")
+            raise RefreshConflict(f"version {number} of {self.path} was committed by another refresh") from e
+
+    def prune(self) -> list[str]:
+        """Drop versions older than the newest ``keep_versions`` (the previous one stays for readers that
+        started before the refresh), and what killed refreshes with an older number left behind."""
+        log = self._log()
+        old = log[:-self.keep_versions] if self.keep_versions > 0 else []
+        for number, version in old:
+            delete_path(self.spark, f"{self.path}/_log/{number:015d}")
+            delete_path(self.spark, f"{self.path}/version={version}")
+        kept = {v for _, v in log}
+        fs, p = _file_system(self.spark, self.path)
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("version=") and name[8:] not in kept:
+                if name[8:23].isdigit() and log and int(name[8:23]) <= log[-1][0]:
+                    fs.delete(st.getPath(), True)
+        return [v for _, v in old]
 
     def read(self) -> DataFrame:
         vs = self.versions()

@@ -3,10 +3,12 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shiftlens.operators.rank import add_ranks
+from shiftlens.operators.rank import add_ranks, rank_table_by_ranges
 
 
 def _frame(spark, n, seed, with_nulls):
@@ -46,3 +48,27 @@ def test_rank_has_no_unpartitioned_window_over_rows(spark):
     df = _frame(spark, 200, 7, False)
     plan = add_ranks(df, [dict(value="v", rank_desc="r")])._jdf.queryExecution().optimizedPlan().toString()
     assert "RANK" not in plan.upper().replace("RANK_DESC", "").replace("RANK_ASC", "")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.floats(-1e300, 1e300), st.sampled_from([0.1, 0.2, 1 / 3]))),
+                min_size=1, max_size=60))
+def test_range_ranks_equal_the_built_in_ones_for_any_doubles(spark, rows):
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = rank_table_by_ranges(df, "v", ["g"], range_rows=5)
+    of = {(r.g, r.v): r for r in got.collect()}
+    w = Window.partitionBy("g")
+    want = df.select("g", "v", F.rank().over(w.orderBy(F.col("v").desc_nulls_last())).alias("d"),
+                     F.rank().over(w.orderBy(F.col("v").asc_nulls_last())).alias("a"), F.count(F.lit(1)).over(w).alias("n")).collect()
+    for r in want:
+        found = of[r.g, r.v]
+        assert (found.rank_desc, found.rank_asc, found.partition_rows) == (r.d, r.a, r.n)
+
+
+def test_range_ranks_deal_one_bucket_of_values_to_many_tasks(spark):
+    df = spark.range(20_000).select((F.rand(5) / 1000).alias("v"))  # a bucket of any fixed width would hold all
+    placed = rank_table_by_ranges(df, "v", [], range_rows=1000)
+    assert placed.count() == 20_000
+    assert [r.rank_desc for r in placed.orderBy(F.col("v").desc()).limit(3).collect()] == [1, 2, 3]
+    parts = df.repartitionByRange(20, F.col("v").desc()).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 20 and max(r["count"] for r in parts) < 2500
