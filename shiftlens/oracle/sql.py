@@ -709,6 +709,54 @@ def _deps(sql: str) -> list[str]:
     return [n for n in CTES if n in words]
 
 
+_KINDS = [k for k, _ in C.FILE_CATEGORIES] + ["readme"]
+_FOLDERS = [c for _, c in C.FILE_CATEGORIES] + [C.OTHER_CATEGORY]
+_PART = lambda i: "CAST(provnum AS BIGINT) % 3 = " + str(i)
+_DAY = "day(work_date)"
+_SPOILT = f"""SELECT *, CAST(provnum AS BIGINT) % 50 = 3 AND {_DAY} = 11 AS no_provider,
+  CAST(provnum AS BIGINT) % 7 = 1 AND {_DAY} = 5 AS bad_date, CAST(provnum AS BIGINT) % 7 = 2 AND {_DAY} = 6 AS no_date,
+  CAST(provnum AS BIGINT) % 5 = 0 AND {_DAY} = 7 AS bad_hours, CAST(provnum AS BIGINT) % 5 = 1 AND {_DAY} = 8 AS bad_census
+FROM silver"""
+_COUNT = lambda fact, cond: f"SELECT '{fact}' AS fact, count(*) FILTER ({cond}) AS rows FROM s"
+
+_FIELDS = ["provnum", "provname", "city", "lower(state)", "county_name", "county_fips", "strftime(work_date, '%Y%m%d')", "mdscensus",
+           *[c.lower() for c in C.raw_hour_columns()]]
+
+QUERIES |= {
+    "raw_inventory_bytes": f"""SELECT 'nursing_staffing/cy_qtr=' || cy_qtr || '/ingest_date=2024-07-01' AS folder,
+       CAST(sum({" + ".join(f"length(coalesce(CAST({f} AS VARCHAR), ''))" for f in _FIELDS)} + {len(_FIELDS)}) AS BIGINT) AS record_bytes
+FROM panel GROUP BY cy_qtr""",
+    "state_hours": f"""SELECT state, {", ".join(f"{XSUM(c)} AS {c}" for c in ("total_nursing_hours", "total_employed_hours", "total_contract_hours"))}
+FROM facts GROUP BY state""",
+    "land_raw_roundtrip": f"""SELECT provnum AS PROVNUM, provname AS PROVNAME, lower(state) AS STATE, strftime(work_date, '%Y%m%d') AS WorkDate,
+       CAST(mdscensus AS VARCHAR) AS MDScensus, {", ".join(f"{c.lower()} AS {c}" for c in C.raw_hour_columns())},
+       cy_qtr, '2024-07-01' AS ingest_date FROM panel""",
+    "route_files": f"""SELECT file_name, category, CASE WHEN kind = 1 THEN quarter END AS cy_qtr,
+       'raw/' || category || '/' || CASE WHEN kind = 1 THEN 'cy_qtr=' || quarter || '/' ELSE '' END || 'ingest_date=2024-07-01/' || file_name AS key
+FROM (SELECT DISTINCT CAST(provnum AS BIGINT) % {len(_KINDS)} + 1 AS kind, ({_KINDS})[kind]
+             || CASE WHEN CAST(provnum AS BIGINT) % 2 = 0 THEN '_' || substr(cy_qtr, 5, 2) || '_' || substr(cy_qtr, 1, 4) ELSE '' END
+             || '_' || provnum || '.csv' AS file_name,
+             ({_FOLDERS})[kind] AS category, '{C.DEFAULT_QUARTER}' AS quarter FROM panel) x""",
+    "schema_check": f"""SELECT 'layout_0' AS layout, CAST({len(C.raw_columns())} AS INTEGER) AS columns, '' AS missing, '' AS unknown, true AS same_order, true AS ok
+WHERE EXISTS (FROM panel WHERE {_PART(0)})
+UNION ALL SELECT 'layout_1', {len(C.raw_columns()) + 1}, '', 'note', false, true WHERE EXISTS (FROM panel WHERE {_PART(1)})
+UNION ALL SELECT 'layout_2', {len(C.raw_columns()) - 1}, 'mdscensus', '', true, false WHERE EXISTS (FROM panel WHERE {_PART(2)})""",
+    "mixed_headers": QUERIES["silver_typed"] + f" WHERE NOT {_PART(2)}",
+    "quarantine_counts": "SELECT * FROM (WITH s AS (" + _SPOILT + ") " + " UNION ALL ".join(
+        [_COUNT(f, c) for f, c in (
+            ("write: read", "true"), ("write: rejected", "no_provider OR no_date OR bad_date"),
+            ("write: rescued", "bad_date OR bad_hours OR bad_census"), ("write: no provider", "no_provider"),
+            ("write: no date", "no_date"), ("write: bad date", "bad_date"),
+            ("good", "NOT (no_provider OR no_date OR bad_date)"), ("quarantined", "no_provider OR no_date OR bad_date"))]
+        + [_COUNT(f, c) + f" HAVING count(*) FILTER ({c}) > 0" for f, c in (
+            ("reason: no provider", "no_provider"), ("reason: no date", "no_date"), ("reason: bad date", "bad_date"),
+            ("rescued: workdate", "bad_date"), ("rescued: hrs_rn", "bad_hours"), ("rescued: mdscensus", "bad_census"))]) + ") q",
+    "quarantine_good": f"""SELECT provnum, work_date, CASE WHEN NOT bad_census THEN mdscensus END AS mdscensus, CASE WHEN NOT bad_hours THEN hrs_rn END AS hrs_rn,
+       CASE WHEN bad_hours THEN 'abc' END AS raw_hrs_rn, CASE WHEN bad_census THEN '12x' END AS raw_census
+FROM ({_SPOILT}) s WHERE NOT (no_provider OR no_date OR bad_date)""",
+    "external_tables": QUERIES["catalog_sql_counts"],
+}
+
 # The same queries over two quarters: the panel and, after it, the panel a quarter later without some facilities.
 QUARTER_QUERIES: dict[str, str] = {
     "quarters_provider_monthly": "SELECT * FROM v_provider_monthly",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,13 @@ from . import jobs as J
 from . import quarter_state as T
 from .catalog import register_views
 from .warehouse import GOLD_TABLES, Warehouse
-from ..operators import distinct
+from ..operators import distinct, quarantine as QU
 from ..operators.silver import to_silver
 from ..session import scratch_dir
-from ..sources.bronze import raw_inventory
+from ..sources.bronze import raw_files, raw_inventory, read_raw, route_files
+from ..sources.headers import read_raw_by_name, schema_check
 from ..sources.panel import NEXT_QUARTER, PANEL_QUARTER, facility_days, next_quarter, render_raw
-from ..sources.sinks import materialize, register_tables, write_silver
+from ..sources.sinks import create_external_tables, materialize, register_tables, write_silver
 from ..streaming.incremental import run_incremental_silver
 
 
@@ -108,6 +110,7 @@ WH_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "rankings_top10": Q.rankings_top10,
     "global_rank": Q.global_rank,
     "daily_ratio_rank": Q.daily_ratio_rank,
+    "state_hours": Q.state_hours,
     "table_row_counts": Q.table_row_counts,
     "fk_violations": Q.fk_violations,
 }
@@ -195,6 +198,117 @@ def _raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_inventory(spark, f"{base}/raw")
 
 
+# -- the raw zone: files landed from the panel --
+
+def _landed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    base = scratch_dir(spark, name)
+    J.land_panel(spark, sf_dir, base, "2024-07-01")
+    return base
+
+
+def _land_raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What comes back from the landed layout, column by column, with quarter and ingest date from the folders."""
+    raw = read_raw(spark, J.pipeline_paths(_landed(spark, sf_dir, "roundtrip"))["raw"])
+    return raw.select("PROVNUM", "PROVNAME", F.trim("STATE").alias("STATE"), "WorkDate", "MDScensus",
+                      *[F.col(c).cast("double").alias(c) for c in C.raw_hour_columns()], "cy_qtr", "ingest_date")
+
+
+def _provider_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of files as facilities would upload them: a kind of file per facility, dealt by its number."""
+    kinds = [k for k, _ in C.FILE_CATEGORIES] + ["readme"]
+    number = F.col("provnum").cast("bigint")
+    kind = F.element_at(F.array(*[F.lit(k) for k in kinds]), (number % len(kinds) + 1).cast("int"))
+    quarter = F.when(number % 2 == 0, F.concat(F.lit("_"), F.substring("cy_qtr", 5, 2), F.lit("_"), F.substring("cy_qtr", 1, 4)))
+    files = facility_days(spark, sf_dir).select("provnum", "cy_qtr").distinct()
+    return files.select(F.concat(kind, F.coalesce(quarter, F.lit("")), F.lit("_"), "provnum", F.lit(".csv")).alias("file_name"))
+
+
+def _route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return route_files(_provider_files(spark, sf_dir), ingest_date=F.lit("2024-07-01"))
+
+
+def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """The panel landed by state groups, each with a layout of its own: as published; columns in reverse order with
+    lower-case names and a note; without the census."""
+    base = scratch_dir(spark, "mixed")
+    raw = render_raw(facility_days(spark, sf_dir))
+    number = F.col("PROVNUM").cast("bigint") % 3
+    plain = [c for c in raw.columns]
+    for i, cols in enumerate((plain, [F.col(c).alias(c.lower()) for c in reversed(plain)] + [F.lit("n").alias("note")],
+                              [c for c in plain if c != "MDScensus"])):
+        (raw.where(number == i).select(*cols).write.mode("overwrite").option("header", True)
+         .csv(f"{base}/raw/layout_{i}/ingest_date=2024-07-01"))
+    return f"{base}/raw"
+
+
+def _schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = schema_check(spark, _mixed_files(spark, sf_dir))
+    folder = F.regexp_extract("file", "(layout_[0-9])", 1)
+    return told.groupBy(folder.alias("layout")).agg(
+        F.max("columns").alias("columns"), F.array_join(F.max("missing"), ",").alias("missing"),
+        F.array_join(F.max("unknown"), ",").alias("unknown"), F.bool_and("same_order").alias("same_order"), F.bool_and("ok").alias("ok"))
+
+
+def _mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from files of two column orders; the files without a required column are left out."""
+    raw = read_raw_by_name(spark, _mixed_files(spark, sf_dir), skip_bad=True)
+    return to_silver(raw).select(*SILVER_TYPED)
+
+
+def _spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with bad input: every 7th facility without some dates, every 5th with bad hours or census."""
+    raw = render_raw(facility_days(spark, sf_dir))
+    number, day = F.col("PROVNUM").cast("bigint"), F.substring("WorkDate", 7, 2)
+    return raw.withColumns({
+        "PROVNUM": F.when((number % 50 == 3) & (day == "11"), F.lit(" ")).otherwise(F.col("PROVNUM")),
+        "WorkDate": F.when((number % 7 == 1) & (day == "05"), F.lit("20241301")).when(
+            (number % 7 == 2) & (day == "06"), F.lit("")).otherwise(F.col("WorkDate")),
+        "Hrs_RN": F.when((number % 5 == 0) & (day == "07"), F.lit("abc")).otherwise(F.col("Hrs_RN")),
+        "MDScensus": F.when((number % 5 == 1) & (day == "08"), F.lit("12x")).otherwise(F.col("MDScensus"))})
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the write, and again from what was written."""
+    path = scratch_dir(spark, "checked")
+    told = QU.write_checked(QU.checked_silver(_spoilt(spark, sf_dir), f"{sf_dir}/lineitem.parquet"), path)
+    good, bad = QU.good(spark, path), QU.quarantined(spark, path)
+    n = F.count(F.lit(1)).alias("rows")
+    parts = [spark.createDataFrame([(f"write: {k}", v) for k, v in told.items()], "fact string, rows bigint"),
+             good.agg(n).select(F.lit("good").alias("fact"), "rows"), bad.agg(n).select(F.lit("quarantined").alias("fact"), "rows"),
+             bad.select(F.explode("reject_reasons").alias("r")).groupBy("r").agg(n).select(F.concat(F.lit("reason: "), "r").alias("fact"), "rows"),
+             QU.rescue_counts(good.select("rescued").union(bad.select("rescued"))).select(F.concat(F.lit("rescued: "), "column").alias("fact"), F.col("values").alias("rows"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+def _quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "checked")
+    QU.write_checked(QU.checked_silver(_spoilt(spark, sf_dir), f"{sf_dir}/lineitem.parquet"), path)
+    return QU.good(spark, path).select("provnum", "work_date", "mdscensus", "hrs_rn", F.col("rescued")["hrs_rn"].alias("raw_hrs_rn"),
+                                       F.col("rescued")["mdscensus"].alias("raw_census"))
+
+
+def _external_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over stored catalog tables, from another session than the one that made them."""
+    p = _run_pipeline_checked(spark, sf_dir, "external")
+    database = f"staffing_{uuid.uuid4().hex[:8]}"
+    create_external_tables(spark, database, p["gold"], GOLD_TABLES)
+    other = spark.newSession()
+    return other.sql(CATALOG_SQL.replace("FROM fact_daily_staffing", f"FROM {database}.facts").replace(
+        "JOIN dim_state", f"JOIN {database}.dim_state"))
+
+
+def _raw_inventory_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record bytes per landed folder: file sizes less one header line for each file, however many files Spark wrote."""
+    files = raw_files(spark, f"{_landed(spark, sf_dir, 'inventory')}/raw")
+    header = len(",".join(c for c in C.raw_columns() if c != "CY_Qtr")) + 1
+    folder = F.regexp_extract("path", "raw/(.*)/[^/]*$", 1)
+    return files.groupBy(folder.alias("folder")).agg(
+        (F.sum("length") - F.count(F.lit(1)) * F.lit(header)).cast("bigint").alias("record_bytes"))
+
+
 def _pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.run_pipeline(spark, sf_dir, scratch_dir(spark, "runlog")).select("stage", "status", "rows")
 
@@ -258,8 +372,15 @@ JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mv_staffing_summary_stored": _mv_stored(Q.mv_staffing_summary),
     "mv_provider_rankings_stored": _mv_stored(Q.mv_provider_rankings),
     "pipeline_run_log": _pipeline_run_log,
-    # rows-only (no SQL equivalent: file sizes on disk)
     "raw_inventory": _raw_inventory,
+    "raw_inventory_bytes": _raw_inventory_bytes,
+    "land_raw_roundtrip": _land_raw_roundtrip,
+    "route_files": _route_files,
+    "schema_check": _schema_check,
+    "mixed_headers": _mixed_headers,
+    "quarantine_counts": _quarantine,
+    "quarantine_good": _quarantine_good,
+    "external_tables": _external_tables,
 }
 
 # hash keys and processing times have no SQL value; what holds for them does

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import staffing as S
-from ..functions.rounding import exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
+from ..functions.rounding import SUM_TYPE, exact_avg, exact_sum, int_avg, pct_of_rows, stable_round
 from ..operators.history import as_of
 from ..operators.rank import add_ranks, with_ranks
+from ..sources.sinks import to_serving
 from . import metrics as M
 from .warehouse import Warehouse
 
@@ -331,19 +332,18 @@ def rankings_top10(wh: Warehouse, limit: int = 10) -> DataFrame:
     base = _pm(wh).where(F.col("days_reported") >= C.MIN_DAYS_RANKED).select(*M.RANKING_COLUMNS)
     top = base.orderBy(F.col("avg_hppd").desc_nulls_last(), *RANKING_ORDER).limit(limit).collect()  # ``limit`` rows
 
-    def above(value: str, v, falling: bool, state: str | None = None):
-        """Rows that rank before ``v``; nulls come last."""
-        c = F.col(value)
+    def above(value: str, r, falling: bool, in_state: bool = True):
+        """Rows that rank before row ``r``, in its state or in all; nulls come last."""
+        c, v = F.col(value), r[value]
         hit = c.isNotNull() if v is None else (c > F.lit(v) if falling else c < F.lit(v))
-        return F.count_if(hit & F.col("state").eqNullSafe(F.lit(state)) if state is not None else hit)
+        return F.count_if(hit & F.col("state").eqNullSafe(F.lit(r["state"])) if in_state else hit)
 
     counts = [F.count(F.lit(1)).alias("n")]
     for i, r in enumerate(top):
-        counts += [above("avg_hppd", r["avg_hppd"], True, r["state"]).alias(f"a{i}"),
-                   above("avg_rn_mix_pct", r["avg_rn_mix_pct"], True, r["state"]).alias(f"b{i}"),
-                   above("avg_contract_pct", r["avg_contract_pct"], False, r["state"]).alias(f"c{i}"),
-                   above("avg_hppd", r["avg_hppd"], True).alias(f"d{i}"),
-                   above("avg_hppd", r["avg_hppd"], False).alias(f"e{i}")]
+        counts += [above("avg_hppd", r, True).alias(f"a{i}"), above("avg_rn_mix_pct", r, True).alias(f"b{i}"),
+                   above("avg_contract_pct", r, False).alias(f"c{i}"),
+                   above("avg_hppd", r, True, in_state=False).alias(f"d{i}"),
+                   above("avg_hppd", r, False, in_state=False).alias(f"e{i}")]
     found = base.agg(*counts)
     lines = [F.struct(*[F.lit(r[c]).cast(base.schema[c].dataType).alias(c) for c in M.RANKING_COLUMNS],
                       (F.col(f"a{i}") + 1).alias("state_rank_hppd"), (F.col(f"b{i}") + 1).alias("state_rank_rn_mix"),
@@ -385,20 +385,20 @@ def table_row_counts(wh: Warehouse) -> DataFrame:
 def fk_violations(wh: Warehouse) -> DataFrame:
     """Fact rows whose foreign key has no dimension row (expected: 0 each).
 
-    One pass over the fact's three key columns: left joins against the date
-    and state dimensions (one row per day / per state: bounded, broadcast)
-    and against the distinct provider ids (grows with the data: planner/AQE
-    decide), then one global count of unmatched rows per key."""
-    f = wh.fact.select("date_key", "provider_id", "state")
-    dates = _dim_date(wh).select("date_key", F.lit(True).alias("_d"))
-    states = F.broadcast(wh.table("dim_state").select("state", F.lit(True).alias("_s")))
-    providers = wh.table("dim_provider").select("provider_id").distinct().withColumn("_p", F.lit(True))
-    j = (f.join(dates, "date_key", "left").join(states, "state", "left")
-         .join(providers, "provider_id", "left"))
-    counts = j.agg(F.count_if(F.col("_d").isNull()).alias("d"),
-                   F.count_if(F.col("_p").isNull()).alias("p"),
-                   F.count_if(F.col("_s").isNull()).alias("s"))
-    return counts.select(F.inline(F.array(
-        F.struct(F.lit("fact.date_key -> dim_date").alias("check_name"), F.col("d").alias("violations")),
-        F.struct(F.lit("fact.provider_id -> dim_provider").alias("check_name"), F.col("p").alias("violations")),
-        F.struct(F.lit("fact.state -> dim_state").alias("check_name"), F.col("s").alias("violations")))))
+    Rows are counted per key value first (map-side combine, one column read per check), so what is
+    shuffled and anti-joined is one row per distinct key, never the fact; a hot key is one row, too."""
+    checks = [("date_key", "dim_date"), ("provider_id", "dim_provider"), ("state", "dim_state")]
+    out = None
+    for key, dim in checks:
+        per_key = wh.fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = per_key.join(wh.table(dim).select(key).distinct(), key, "left_anti")
+        one = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")).select(
+            F.lit(f"fact.{key} -> {dim}").alias("check_name"), "violations")
+        out = one if out is None else out.union(one)
+    return out
+
+
+def state_hours(wh: Warehouse) -> DataFrame:
+    """Exact hour totals per state (decimals in the engine), fetched as the dashboard takes them: as doubles."""
+    hours = ["total_nursing_hours", "total_employed_hours", "total_contract_hours"]
+    return to_serving(wh.fact.groupBy("state").agg(*[F.sum(F.col(c).cast(SUM_TYPE)).alias(c) for c in hours]))

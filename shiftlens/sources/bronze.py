@@ -124,12 +124,16 @@ def route_files(files: DataFrame, name_col: str = "file_name", ingest_date: Colu
                         F.when(quartered, quarter).alias("cy_qtr"), key.alias("key"))
 
 
-def raw_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Non-empty files under ``path`` with their sizes, plus totals.
+def raw_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the non-empty files under ``path``.
 
     Reads only file metadata: selecting ``path``/``length`` prunes the
     ``content`` column of the binaryFile source."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-             .select("path", "length").where(F.col("length") > 0))
-    return files.agg(F.count(F.lit(1)).alias("file_count"),
-                     F.sum("length").cast("bigint").alias("total_bytes"))
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            .select("path", "length").where(F.col("length") > 0))
+
+
+def raw_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """Number and total size of the non-empty files under ``path``."""
+    return raw_files(spark, path).agg(F.count(F.lit(1)).alias("file_count"),
+                                      F.sum("length").cast("bigint").alias("total_bytes"))

@@ -100,6 +100,48 @@ def register_tables(spark: SparkSession, gold_dir: str, tables: dict[str, str])
     return names
 
 
+def create_external_tables(spark: SparkSession, database: str, base: str, tables: dict[str, str]) -> list[str]:
+    """Catalog tables over stored Parquet folders: any session of the same catalog reads them by name.
+
+    The schema comes from the files and the partition columns from the folders' names; partitions are listed in the
+    catalog, so a filter on them is answered there. ``recover_partitions`` adds the folders of later loads."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    for name, rel in tables.items():
+        path = f"{base.rstrip('/')}/{rel}"
+        if not path_exists(spark, path):
+            continue
+        parts = partition_columns(spark, path)
+        fields = {f.name: f for f in spark.read.parquet(path).schema.fields}
+        order = [f for n, f in fields.items() if n not in parts] + [fields[p] for p in parts]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order)
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")  # the table only: the files are external
+        where = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet "
+                  + (f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) " if parts else "") + f"LOCATION '{where}'")
+        if parts:
+            recover_partitions(spark, f"`{database}`.`{name}`")
+        names.append(f"{database}.{name}")
+    return names
+
+
+def recover_partitions(spark: SparkSession, table: str) -> None:
+    """List the partition folders that the catalog does not know yet, and forget those that are gone."""
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The ``column=value`` levels of a stored table, from the first folder of each level."""
+    fs, at = _file_system(spark, path)
+    out = []
+    while True:
+        below = [st.getPath() for st in fs.listStatus(at) if st.isDirectory() and "=" in st.getPath().getName()]
+        if not below:
+            return out
+        out.append(below[0].getName().split("=", 1)[0])
+        at = below[0]
+
+
 def to_serving(df: DataFrame) -> DataFrame:
     """Decimals as doubles for the consumer."""
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
