@@ -10,8 +10,10 @@ gives every turn again. The loss mask is a list of runs (chars, loss) that
 covers the formatted string: the texts of assistant turns bear loss, marks and
 all other texts do not.
 
-Escaping. Control strings are the marks above and those of other common
-templates: <s>, </s>, [INST], [/INST]. Inside a text each gets a backslash after its
+Escaping. Control strings are all that begin with "<|" (the marks above, the added tokens of
+tokenizer files, other templates' marks) and those of other common
+templates: <s>, </s>, [INST], [/INST], <<SYS>>, <</SYS>>, <unk>, <pad>, <bos>, <eos>, <mask>, <start_of_turn>,
+<end_of_turn>. Inside a text each gets a backslash after its
 first character; one that already has backslashes there gets one more. So no
 control string remains, and removing one backslash restores the text.
 
@@ -36,7 +38,7 @@ from .common import pick, table
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 LOSS_ROLE = "assistant"
 # What stands after the first character of a control string.
-_REST = r"(\|im_(?:start|sep|end)\|>|/?s>|/?INST\])"
+_REST = r"(\||/?s>|/?INST\]|</?SYS>>|unk>|pad>|bos>|eos>|mask>|(?:start|end)_of_turn>)"
 
 
 def escape(text: Column) -> Column:
@@ -131,13 +133,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # escape: one backslash after the first character of each control string; formatted_chars counts the marks.
-OP10_SQL = """
+OP10_SQL = f"""
 WITH c AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), e AS (
-  SELECT *, regexp_replace(text, '([<\\[])(\\\\*)(\\|im_(?:start|sep|end)\\|>|/?s>|/?INST\\])', '\\1\\\\\\2\\3', 'g') AS body,
+  SELECT *, regexp_replace(text, '([<\\[])(\\\\*){_REST}', '\\1\\\\\\2\\3', 'g') AS body,
     coalesce(lag(role) OVER w = role, false) AS same
   FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
 )

@@ -36,6 +36,21 @@ def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batch, column: str, most_bytes: int = 8 << 20, most_rows: int = 256):
+    """``batch`` in parts of at most ``most_rows`` rows and about ``most_bytes`` of ``column`` (one row at least)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    upto = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    at = 0
+    while at < batch.num_rows:
+        fits = int(np.searchsorted(upto, upto[at] + most_bytes, side="right")) - 1
+        end = min(max(fits, at + 1), at + most_rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
     """True when the counted rows of ``df`` fit in ``limit`` bytes at ``row_bytes`` each."""
     return df.count() * row_bytes <= limit
