@@ -38,6 +38,6 @@ def test_no_added_token_comes_from_a_text(made, name):
     added = set(tokenizer.get_added_tokens_decoder())
     for r in made[1].collect():
         assert not added & set(tokenizer.encode(r.formatted, add_special_tokens=False).ids)
-        inner = r.formatted.replace(START, "").replace(SEP, "").replace(END, "")
+        inner = r.formatted.replace(START, "\0").replace(SEP, "\0").replace(END, "\0")
         for mark in ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<unk>", "<start_of_turn>", "<bos>"):
             assert mark not in inner
