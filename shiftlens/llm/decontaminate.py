@@ -14,12 +14,14 @@ at least 1; the lemma never loses a match.
 
 Texts and items are compared in lower case with white space runs as one space;
 spans refer to the original text. Items are the stated query set: they are
-taken in blocks of at most ``block_chars`` characters, each broadcast in turn to
-one pass over all documents, so a benchmark of any size keeps bounded memory.
+taken in blocks of at most ``block_chars`` characters, whose texts are broadcast, each to
+one pass over all documents; executors build a block's index and hold one at a time, the driver
+holds the texts only. A text is searched whole, which takes about 32 times its size in memory.
 Nothing is shuffled.
 
 Defined results: null or empty texts and items match nothing; items with fewer
-than q characters have no q-gram and match nothing; repeated documents and
+than q characters have no q-gram: they match where they occur exactly between characters other
+than letters and digits; repeated documents and
 items match independently; null ids are returned as null; equal error counts
 resolve to the leftmost passage; other columns are ignored or, in ``decontaminate``,
 returned as they are; empty tables give an empty result or, without any item, all documents.
@@ -27,6 +29,7 @@ returned as they are; empty tables give an empty result or, without any item, al
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -86,8 +89,16 @@ class Items:
     def __init__(self, items: list[tuple[int | None, str]], q: int = Q, error_rate: float = ERROR_RATE):
         import numpy as np
 
-        held = [(i, t) for i, t in ((i, normalise(t)) for i, t in items) if len(t) >= q]
+        plain = [(i, normalise(t)) for i, t in items]
+        held = [(i, t) for i, t in plain if len(t) >= q]
         self.q, self.ids, self.texts = q, [i for i, _ in held], [t for _, t in held]
+        #: items without a q-gram: length -> text -> numbers, which follow those of the others in ``all_ids``
+        self.short: dict[int, dict[str, list[int]]] = {}
+        self.all_ids = list(self.ids)
+        for i, t in plain:
+            if 0 < len(t) < q:
+                self.short.setdefault(len(t), {}).setdefault(t, []).append(len(self.all_ids))
+                self.all_ids.append(i)
         m = np.array([len(t) for t in self.texts], dtype=np.int64)
         self.m = m
         self.k = np.minimum((m * error_rate).astype(np.int64), (m - q) // q)
@@ -180,8 +191,28 @@ class Items:
                 for (text, _), found in zip(part, self._align(item, part, texts), strict=True):
                     if found[0] <= self.k[item]:
                         best[text, item] = min(best.get((text, item), found), found)
+        for text, item, a, z in self._short_matches(texts):
+            best.setdefault((text, item), (0, a, z))
         return [(text, item, a, z, e) for (text, item), (e, a, z) in sorted(best.items())]
 
+    def _short_matches(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
+        """(text number, item number, start, end) of the exact occurrences, left to right, of items below q characters
+        that stand between characters other than letters and digits."""
+        import numpy as np
+
+        if not self.short:
+            return
+        joined = "\n".join(texts)
+        starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        codes = _codes(joined)
+        for size, numbers in self.short.items():
+            wanted = np.concatenate([_gram_hashes(_codes(t), size) for t in numbers])
+            for pos in np.flatnonzero(np.isin(_gram_hashes(codes, size), wanted)).tolist():
+                if joined[pos:pos + size] in numbers and not joined[pos - 1:pos].isalnum() and not joined[pos + size:pos + size + 1].isalnum():
+                    text = int(np.searchsorted(starts, pos, side="right")) - 1
+                    for item in numbers[joined[pos:pos + size]]:
+                        yield text, item, pos - int(starts[text]), pos + size - int(starts[text])
+
     def _align(self, item: int, regions: list[tuple[int, int]], texts: list[str]) -> list[tuple[int, int, int]]:
         """(edits, start, end) of the best alignment of the item in each region's band of diagonals."""
         import numpy as np
@@ -237,6 +268,18 @@ def blocks(bench: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tu
         yield held
 
 
+_LAST: dict[str, Items] = {}
+
+
+def _index(held) -> Items:
+    """The index of a broadcast block, built on the executor; a Python worker keeps that of its last block."""
+    name, block, q, error_rate = held.value
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = Items(block, q, error_rate)
+    return _LAST[name]
+
+
 def _parts(batch, text_at: int, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
     """(first row, texts) of slices of about ``chars`` characters."""
     low, held, size = 0, [], 0
@@ -260,21 +303,21 @@ def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     schema = "doc_id bigint, item_id bigint, start int, end int, edits int, passage string"
     out = []
     for block in blocks(bench, block_chars):
-        held = spark.sparkContext.broadcast(Items(block, q, error_rate))
+        held = spark.sparkContext.broadcast((uuid.uuid4().hex, block, q, error_rate))
 
         def run(batches: Iterator, held=held) -> Iterator:
             import pyarrow as pa
 
             kinds = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()),
                                ("end", pa.int32()), ("edits", pa.int32()), ("passage", pa.string())])
-            items = held.value
+            items = _index(held)
             for b in batches:
                 for low, texts in _parts(b, 1):
                     rows = []
                     for i, item, a, z, e in items.matches([normalise(t) for t in texts]):
                         at = original_positions(texts[i])
                         a, z = at[a], at[z - 1] + 1
-                        rows.append({"doc_id": b.column(0)[low + i].as_py(), "item_id": items.ids[item], "start": a,
+                        rows.append({"doc_id": b.column(0)[low + i].as_py(), "item_id": items.all_ids[item], "start": a,
                                      "end": z, "edits": e, "passage": texts[i][a:z]})
                     yield pa.RecordBatch.from_pylist(rows, kinds)
 
@@ -289,16 +332,17 @@ def decontaminate(docs: DataFrame, bench: DataFrame, q: int = Q, error_rate: flo
     text_at = names.index("text")
     out = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     for block in blocks(bench, block_chars):
-        held = spark.sparkContext.broadcast(Items(block, q, error_rate))
+        held = spark.sparkContext.broadcast((uuid.uuid4().hex, block, q, error_rate))
 
         def run(batches: Iterator, held=held) -> Iterator:
             import numpy as np
             import pyarrow as pa
 
+            items = _index(held)
             for b in batches:
                 clean = np.ones(b.num_rows, dtype=bool)
                 for low, texts in _parts(b, text_at):
-                    for m in held.value.matches([normalise(t) for t in texts]):
+                    for m in items.matches([normalise(t) for t in texts]):
                         clean[low + m[0]] = False
                 yield b.filter(pa.array(clean))
 

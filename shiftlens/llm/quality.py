@@ -8,7 +8,7 @@ TEMPERED times their mean, so that length alone (a language that the labels
 cover a little less, summed over a long text) decides nothing. Adding standard
 Gumbel noise to the log weights and keeping the k largest keys draws k
 documents without replacement with probabilities proportional to the weights.
-k is the number of documents whose log weight is at least LEAST: the raw model
+k is a parameter, as a number or as a share of the documents; by default it is the number of documents whose log weight is at least LEAST: the raw model
 explains an n-gram of theirs better by LEAST / TEMPERED (7 %) at most. So the
 sample's size follows the corpus.
 
@@ -36,6 +36,7 @@ noise of the null hash; without labelled target documents every log weight is
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,25 +52,37 @@ _UNIT = 1 << 32  # counts are kept as integers of this many parts: sums do not d
 _FLUSH = 1 << 20  # documents whose counts a task adds up in 64 bits: each adds TEMPERED_COUNT * _UNIT < 2**41 at most
 _ODD = 0x9E3779B97F4A7C15  # an odd multiplier for hashing modulo 2**64
 _REPEAT = 0x51ED270B
+WINDOW = 500_000  # characters of short texts, or bytes of a long one, whose n-grams are held at a time
+_WHITE = b"\t\n\v\f\r "
+_SPACE = re.compile(rb"[\t-\r ]")
 
 
-def ngram_buckets(texts: list[str | None]):
-    """(buckets, text numbers) of all n-grams of the texts; word pairs have buckets from TRIGRAMS on."""
+def _data(raw: list[bytes]):
+    """(bytes with digits as 0, each text followed by a line break; where the texts end)"""
     import numpy as np
 
-    raw = [(t or "").encode("utf-8", "replace") for t in texts]
     data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8).copy()
     data[(data >= 48) & (data <= 57)] = 48
-    ends = np.cumsum(np.array([len(r) + 1 for r in raw], dtype=np.int64))
-    tri_shift, pair_shift = (np.uint64(65 - n.bit_length()) for n in (TRIGRAMS, PAIRS))
-    odd = np.uint64(_ODD)
+    return data, np.cumsum(np.array([len(r) + 1 for r in raw], dtype=np.int64))
+
+
+def _trigrams(data, ends):
+    """(buckets, text numbers) of the byte trigrams that do not cross the end of a text."""
+    import numpy as np
+
     code = data.astype(np.uint64)
-    # byte trigrams that do not cross the end of a text
-    tri = (code[:-2] << np.uint64(16) | code[1:-1] << np.uint64(8) | code[2:]) * odd >> tri_shift
+    tri = (code[:-2] << np.uint64(16) | code[1:-1] << np.uint64(8) | code[2:]) * np.uint64(_ODD) >> np.uint64(65 - TRIGRAMS.bit_length())
     at = np.arange(len(tri))
     own = np.searchsorted(ends, at, side="right")
     inside = at + 3 < ends[own]  # the byte before an end is the separator
-    # words: a polynomial hash of their bytes from prefix sums, modulo 2**64
+    return tri[inside].astype(np.int64), own[inside]
+
+
+def _pairs(data, ends):
+    """(buckets, text numbers) of the word pairs; a word's hash is a polynomial of its bytes from prefix sums, modulo 2**64."""
+    import numpy as np
+
+    odd, code = np.uint64(_ODD), data.astype(np.uint64)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
     first, last = edge[::2], edge[1::2]
@@ -85,12 +98,44 @@ def ngram_buckets(texts: list[str | None]):
     text = np.searchsorted(ends, first, side="right")
     same = text[1:] == text[:-1]
     pair = np.where(word[1:] == word[:-1], np.uint64(_REPEAT), word[:-1] * np.uint64(31) + word[1:])
-    pair = (pair ^ pair >> np.uint64(29)) * odd >> pair_shift
-    buckets = np.concatenate([tri[inside], pair[same] + np.uint64(TRIGRAMS)]).astype(np.int64)
-    return buckets, np.concatenate([own[inside], text[1:][same]])
+    pair = (pair ^ pair >> np.uint64(29)) * odd >> np.uint64(65 - PAIRS.bit_length())
+    return (pair[same] + np.uint64(TRIGRAMS)).astype(np.int64), text[1:][same]
+
+
+def ngram_buckets(texts: list[str | None]):
+    """(buckets, text numbers) of all n-grams of the texts; word pairs have buckets from TRIGRAMS on."""
+    import numpy as np
+
+    data, ends = _data([(t or "").encode("utf-8", "replace") for t in texts])
+    tri, pairs = _trigrams(data, ends), _pairs(data, ends)
+    return np.concatenate([tri[0], pairs[0]]), np.concatenate([tri[1], pairs[1]])
+
+
+def bucket_counts(text: str, window: int = WINDOW):
+    """How often each bucket occurs in one long text, in windows of about ``window`` bytes that end at white space: a
+    trigram counts in the window where it starts, a pair in that of its second word."""
+    import numpy as np
+
+    raw, at, last = text.encode("utf-8", "replace"), 0, 0
+    n = np.zeros(BUCKETS, dtype=np.int64)
+    while at < len(raw):
+        gap = _SPACE.search(raw, at + window) if at + window < len(raw) else None
+        end = gap.start() if gap else len(raw)
+        n += np.bincount(_trigrams(*_data([raw[at:end + 2]]))[0], minlength=BUCKETS)
+        n += np.bincount(_pairs(*_data([raw[last:end]]))[0], minlength=BUCKETS)
+        words = raw[last:end].rstrip(_WHITE)
+        if words:  # the next window's first pair begins with this one's last word
+            last += _last_word(words)
+        at = end
+    return n
+
+
+def _last_word(words: bytes) -> int:
+    """Where the last word starts."""
+    return max(words.rfind(bytes([c])) for c in _WHITE) + 1
 
 
-def _blocks(column, chars: int = 500_000) -> Iterator[list[str | None]]:
+def _blocks(column, chars: int = WINDOW) -> Iterator[list[str | None]]:
     """The texts of an Arrow column, in lists of about ``chars`` characters at most (or one text)."""
     held, size = [], 0
     for t in column:
@@ -132,6 +177,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             held += b.num_rows
             flags, done = b.column(0).to_pylist(), 0
             for texts in _blocks(b.column(1)):
+                if len(texts[0] or "") > WINDOW:  # alone in its block
+                    own = bucket_counts(texts[0])
+                    own *= int(np.rint(_UNIT * min(1, TEMPERED_COUNT / max(own.sum(), 1))))
+                    n[0] += own
+                    n[1] += own * bool(flags[done])
+                    done += 1
+                    continue
                 buckets, text = ngram_buckets(texts)
                 size = np.bincount(text, minlength=len(texts))
                 # from 1000 parts for a text of 2**31 bytes up; the sums of a block stay exact in a double
@@ -171,6 +223,10 @@ def log_weight(ratios: list[float]):
 
         out = []
         for block in _blocks(texts):
+            if len(block[0] or "") > WINDOW:
+                own = bucket_counts(block[0])
+                out.append(np.array([own @ held * min(own.sum(), TEMPERED) / max(own.sum(), 1)]))
+                continue
             buckets, text = ngram_buckets(block)
             n = np.bincount(text, minlength=len(block))
             total = np.bincount(text, weights=held[buckets], minlength=len(block))
@@ -209,26 +265,31 @@ def kth_largest(values: DataFrame, k: int, few: int = 4096) -> float:
         inside = inside.where(F.col(col).between(lo, hi))
 
 
-def threshold(docs: DataFrame, weight, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, float]:
-    """(id, log_weight, gumbel_key) of all documents, stored, and the k-th largest key (infinity if k is 0)."""
+def threshold(docs: DataFrame, weight, id_col: str = "doc_id", text_col: str = "text", k: int | None = None,
+              share: float | None = None) -> tuple[DataFrame, float]:
+    """(id, log_weight, gumbel_key) of all documents, stored, and the k-th largest key (infinity if k is 0). ``k``: as given, or
+    ``share`` of all documents, or the number of those with a log weight of LEAST or more."""
     src = pick(docs, id=id_col, text=text_col)
     scored = stored(src.select("id", weight("text").alias("log_weight"))
                     .withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("id"))), "quality-scores")
-    k = scored.where(F.col("log_weight") >= LEAST).count()
+    if k is None:
+        k = round(share * scored.count()) if share is not None else scored.where(F.col("log_weight") >= LEAST).count()
+    k = min(k, scored.count())
     return scored, kth_largest(scored.select("gumbel_key"), k) if k else math.inf
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             max_labelled: int = MAX_LABELLED) -> DataFrame:
+             max_labelled: int = MAX_LABELLED, k: int | None = None, share: float | None = None) -> DataFrame:
     """(id, log_weight, gumbel_key) of the documents drawn."""
-    scored, least = threshold(docs, log_weight(fit(docs, labels, id_col, text_col, max_labelled)), id_col, text_col)
+    scored, least = threshold(docs, log_weight(fit(docs, labels, id_col, text_col, max_labelled)), id_col, text_col, k, share)
     return scored.where(F.col("gumbel_key") >= least)
 
 
-def keep(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, k: int | None = None,
+         share: float | None = None) -> DataFrame:
     """The rows of ``docs`` that ``resample`` draws, with all their columns; nothing is shuffled."""
     weight = log_weight(fit(docs, labels, max_labelled=max_labelled))
-    _, least = threshold(docs, weight)
+    _, least = threshold(docs, weight, k=k, share=share)
     names = docs.columns
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     key = weight(F.col(f"_c{names.index('text')}")) + gumbel(F.col(f"_c{names.index('doc_id')}"))
