@@ -200,15 +200,28 @@ def _raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- the raw zone: files landed from the panel --
 
-def _landed(spark: SparkSession, sf_dir: str, name: str) -> str:
-    base = scratch_dir(spark, name)
+def _once(build: Callable[[SparkSession, str], str]) -> Callable[[SparkSession, str], str]:
+    """A folder that is built once per session and input; its users only read it."""
+    made: dict[tuple[str, str], str] = {}
+
+    def path(spark: SparkSession, sf_dir: str) -> str:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in made:
+            made[key] = build(spark, sf_dir)
+        return made[key]
+    return path
+
+
+@_once
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_dir(spark, "landed")
     J.land_panel(spark, sf_dir, base, "2024-07-01")
     return base
 
 
 def _land_raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What comes back from the landed layout, column by column, with quarter and ingest date from the folders."""
-    raw = read_raw(spark, J.pipeline_paths(_landed(spark, sf_dir, "roundtrip"))["raw"])
+    raw = read_raw(spark, J.pipeline_paths(_landed(spark, sf_dir))["raw"])
     return raw.select("PROVNUM", "PROVNAME", F.trim("STATE").alias("STATE"), "WorkDate", "MDScensus",
                       *[F.col(c).cast("double").alias(c) for c in C.raw_hour_columns()], "cy_qtr", "ingest_date")
 
@@ -227,6 +240,7 @@ def _route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_files(_provider_files(spark, sf_dir), ingest_date=F.lit("2024-07-01"))
 
 
+@_once
 def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
     """The panel landed by state groups, each with a layout of its own: as published; columns in reverse order with
     lower-case names and a note; without the census."""
@@ -302,7 +316,7 @@ def _external_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_inventory_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record bytes per landed folder: file sizes less one header line for each file, however many files Spark wrote."""
-    files = raw_files(spark, f"{_landed(spark, sf_dir, 'inventory')}/raw")
+    files = raw_files(spark, f"{_landed(spark, sf_dir)}/raw")
     header = len(",".join(c for c in C.raw_columns() if c != "CY_Qtr")) + 1
     folder = F.regexp_extract("path", "raw/(.*)/[^/]*$", 1)
     return files.groupBy(folder.alias("folder")).agg(
