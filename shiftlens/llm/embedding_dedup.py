@@ -7,7 +7,10 @@ a linked pair has a block whose squared distance is at most a b-th of that.
 Each block is range-joined: a grid of cells as wide as twice the block's
 radius, every vector indexed under its own cell and probing the cells that
 its ball meets (a pair finds itself from the side with the smaller cell key, so
-once in a block). The union of the blocks' candidates is verified
+once in a block). A row of a cell also carries the block's coordinates, 16 bits
+each in units of the radius / 1024, so the join itself tells whether the block's distance
+is within the budget (widened by what rounding to these units can hide) and only then
+gives a candidate. The union of the blocks' candidates is verified
 by the exact cosine in double precision. No link is lost, none is made up.
 
 Equal vectors of one label (by a 128-bit hash) form one class: copies are
@@ -25,12 +28,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, pick, stored, table
 
 LEAST, BLOCK_DIMS, SEED = 0.98, 8, 6
+UNITS = 1024  # coordinates in a cell's row are in units of the block's radius / UNITS, modulo 2**16
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -51,8 +55,8 @@ def _mix(h):
 
 
 def cell_keys(unit, salt, least: float, block_dims: int):
-    """Yields (home keys, probing row, probed key) for each block of the unit vectors; ``salt`` keeps
-    labels apart. Keys are hashes of cells: a collision only adds a candidate."""
+    """Yields (home keys, probing row, probed key, packed coordinates) for each block of the unit vectors; ``salt``
+    keeps labels apart. Keys are hashes of cells: a collision only adds a candidate."""
     import numpy as np
 
     n, dims = unit.shape
@@ -77,12 +81,35 @@ def cell_keys(unit, salt, least: float, block_dims: int):
         home = _mix(plain + base)
         probed = _mix(plain[row] + moved + base[row])
         ahead = probed >= home[row]
-        yield home, row[ahead], probed[ahead]
+        yield home, row[ahead], probed[ahead], packed(x / budget**0.5, -(-block_dims // 4))
+
+
+def packed(x, longs: int):
+    """Four coordinates in a long: rounded to units, modulo 2**16."""
+    import numpy as np
+
+    units = np.zeros((len(x), 4 * longs), dtype=np.uint64)
+    units[:, :x.shape[1]] = np.rint(x * UNITS).astype(np.int64) & 0xFFFF
+    shifts = np.arange(4, dtype=np.uint64) * np.uint64(16)
+    return (units.reshape(len(x), longs, 4) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def within_radius(a: list[Column], b: list[Column], block_dims: int) -> Column:
+    """True for every two rows of a block no farther apart than its radius (from packed coordinates)."""
+    total = F.lit(0).cast("bigint")
+    for p, q in zip(a, b, strict=True):
+        for shift in range(0, 64, 16):
+            gap = F.shiftright(p, shift).bitwiseAND(F.lit(0xFFFF)) - F.shiftright(q, shift).bitwiseAND(F.lit(0xFFFF))
+            gap = (gap + 0x8000).bitwiseAND(F.lit(0xFFFF)) - 0x8000  # the signed difference modulo 2**16
+            total = total + gap * gap
+    # either side is rounded by half a unit in every dimension
+    return total <= int((UNITS + block_dims**0.5) ** 2) + 1
 
 
 def unit_classes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
     """rows (id, h1, h2; null hashes for vectors that link with nothing) and their distinct vectors
-    (cls, h1, h2, label, v, n, first_id), both stored."""
+    (cls, h1, h2, label, v, norm, n, first_id), both stored; v of the latter is scaled by its largest component, so
+    that its norm neither overflows nor underflows."""
     src = pick(vectors, id=id_col, v=vec_col, label=label_col).withColumn("v", F.col("v").cast("array<double>"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = F.forall("v", lambda x: x == 0)
@@ -95,12 +122,16 @@ def unit_classes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str)
     found = (rows.where("h1 is not null").groupBy("h1", "h2")
              .agg(F.first("label").alias("label"), F.first("v").alias("v"), F.count(F.lit(1)).alias("n"),
                   F.min("id").alias("first_id")))
+    top = F.aggregate("v", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))
+    found = found.withColumn("top", top).withColumn("v", F.transform("v", lambda x: x / F.col("top"))).drop("top")
+    found = found.withColumn("norm", F.sqrt(_dot(F.col("v"), F.col("v"))))
     return rows, stored(found.withColumn("cls", F.monotonically_increasing_id()), "embedding-classes")
 
 
 def candidates(found: DataFrame, least: float = LEAST, block_dims: int = BLOCK_DIMS) -> DataFrame:
     """(a, b) with a < b: pairs of classes that pass some block's range join."""
-    src = found.select("cls", F.xxhash64("label", F.size("v")).alias("salt"), "v")
+    src = found.select("cls", F.xxhash64("label", F.size("v")).alias("salt"), "norm", "v")
+    coordinates = [f"p{i}" for i in range(-(-block_dims // 4))]
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -109,25 +140,28 @@ def candidates(found: DataFrame, least: float = LEAST, block_dims: int = BLOCK_D
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                ids, salts = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                lists = part.column(2)
-                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+                ids, salts, norms = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
+                sizes = part.column(3).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                values, first = part.column(3).flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
                 for dims in np.unique(sizes):
                     own = np.flatnonzero(sizes == dims)
-                    v = np.array([lists[int(i)].as_py() for i in own], dtype=np.float64)
-                    v = v / np.abs(v).max(axis=1, keepdims=True)  # no overflow in the norm
-                    unit = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
-                    for home, row, probed in cell_keys(unit, salts[own].astype(np.uint64), least, block_dims):
-                        cls = ids[own]
+                    unit = values[first[own][:, None] + np.arange(dims)] / norms[own][:, None]
+                    cls = ids[own]
+                    for home, row, probed, where in cell_keys(unit, salts[own].astype(np.uint64), least, block_dims):
+                        where = np.concatenate([where, where[row]])
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.concatenate([np.zeros(len(cls), bool), np.ones(len(row), bool)])),
                              pa.array(np.concatenate([home, probed]).view(np.int64)),
-                             pa.array(np.concatenate([cls, cls[row]]))], ["probe", "key", "cls"])
-
-    cells = stored(src.mapInArrow(run, "probe boolean, key bigint, cls bigint"), "embedding-cells", ("probe",))
-    probe = cells.where("probe").select("key", F.col("cls").alias("x"))
-    index = cells.where("not probe").select("key", F.col("cls").alias("y"))
-    return (probe.join(index, "key").where("x <> y")
+                             pa.array(np.concatenate([cls, cls[row]])),
+                             *[pa.array(np.ascontiguousarray(column)) for column in where.T]],
+                            ["probe", "key", "cls", *coordinates])
+
+    kinds = ", ".join(["probe boolean, key bigint, cls bigint", *[f"{c} bigint" for c in coordinates]])
+    cells = stored(src.mapInArrow(run, kinds), "embedding-cells", ("probe",))
+    probe = cells.where("probe").select("key", F.col("cls").alias("x"), *[F.col(c).alias(f"{c}_x") for c in coordinates])
+    index = cells.where("not probe").select("key", F.col("cls").alias("y"), *[F.col(c).alias(f"{c}_y") for c in coordinates])
+    near = within_radius([F.col(f"{c}_x") for c in coordinates], [F.col(f"{c}_y") for c in coordinates], block_dims)
+    return (probe.join(index, "key").where(F.col("x") != F.col("y")).where(near)
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
@@ -139,12 +173,7 @@ def embedding_components(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
                          label_col: str = "label", least: float = LEAST, block_dims: int = BLOCK_DIMS) -> DataFrame:
     """(id, n_links, component_id): one row per vector."""
     rows, found = unit_classes(vectors, id_col, vec_col, label_col)
-    # scaled by the largest component first: neither overflow nor underflow in the norm
-    top = F.aggregate("v", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))
-    scaled = found.withColumn("top", top).select(
-        "cls", "n", "label", F.transform("v", lambda x: x / F.col("top")).alias("v"))
-    one = scaled.withColumn("norm", F.sqrt(_dot(F.col("v"), F.col("v"))))
-    side = lambda k: one.select(*[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "label", "v", "norm")])
+    side = lambda k: found.select(*[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "label", "v", "norm")])
     pairs = (candidates(found, least, block_dims).withColumnRenamed("a", "cls_a").withColumnRenamed("b", "cls_b")
              .join(side("a"), "cls_a").join(side("b"), "cls_b")
              .where((F.col("label_a") == F.col("label_b")) & (F.size("v_a") == F.size("v_b")))

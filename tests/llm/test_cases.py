@@ -283,6 +283,36 @@ def test_embeddings(spark):
     assert embedding_dedup.embedding_components(df.limit(0)).count() == 0
 
 
+def test_blocks_within_the_radius_are_kept():
+    rng = np.random.default_rng(8)
+    x = rng.uniform(-40, 40, (4000, 6))  # in units of the radius, beyond what 16 bits hold
+    step = rng.standard_normal(x.shape)
+    step /= np.sqrt((step * step).sum(axis=1, keepdims=True))
+    length = np.concatenate([np.ones(2000), rng.uniform(1.01, 20, 2000)])
+    a, b = (embedding_dedup.packed(v, 2).view(np.uint64) for v in (x, x + step * length[:, None]))
+    gap = [(int(p) >> s & 0xFFFF) - (int(q) >> s & 0xFFFF) for r in zip(a, b, strict=True)
+           for p, q in zip(*r, strict=True) for s in range(0, 64, 16)]
+    gap = np.array([(g + 0x8000) % 0x10000 - 0x8000 for g in gap], dtype=float).reshape(4000, 8)
+    near = (gap * gap).sum(axis=1) <= int((embedding_dedup.UNITS + 8**0.5) ** 2) + 1
+    assert near[:2000].all() and not near[2000:].any()
+
+
+def test_candidates_are_within_the_budget_of_a_block(spark):
+    rng = np.random.default_rng(9)
+    v = rng.standard_normal((300, 24))
+    v = np.concatenate([v, v[:100] + rng.standard_normal((100, 24)) * 0.15])
+    df = spark.createDataFrame([(i, [float(c) for c in x], 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    _, found = embedding_dedup.unit_classes(df, "vec_id", "embedding", "label")
+    place = {r.cls: r.first_id for r in found.collect()}
+    got = {tuple(sorted((place[r.a], place[r.b]))) for r in embedding_dedup.candidates(found).collect()}
+    turned = v / np.sqrt((v * v).sum(axis=1, keepdims=True)) @ embedding_dedup.rotation(24)
+    least = np.min([((turned[:, None, a:a + 8] - turned[None, :, a:a + 8]) ** 2).sum(axis=2) for a in (0, 8, 16)], axis=0)
+    i, j = np.triu_indices(len(v), 1)
+    sure, possible = (set(zip(i[near].tolist(), j[near].tolist(), strict=True))
+                      for near in (least[i, j] <= 0.04 / 3, least[i, j] <= 0.04 / 3 * 1.01))
+    assert len(sure) > 50 and sure <= got <= possible
+
+
 def test_sharding(spark, docs, none):
     names = [f"s{i}" for i in range(7)]
     table = sharding.lookup_table(names, 1009)
