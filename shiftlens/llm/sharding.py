@@ -12,9 +12,14 @@ filled once where the job is defined, becomes a DataFrame of ``slots`` rows
 (bounded by that parameter), and is broadcast. Placement is one hash and one
 lookup per row, without any shuffle, so hot keys and copies cause no skew.
 
+``write_shards`` writes the rows, with all their columns, to a folder per shard. Rows are
+shuffled once, by shard, under a REBALANCE hint: Spark cuts every shard into files of the advisory
+size, so that a shard is written by as many tasks as its bytes need, however hot its keys are.
+
 Defined results: a null key has the hash of the empty string and is placed like any
-other; repeated rows go to the same shard; further columns of ``assign``'s
-input are not returned; an empty table gives an empty result.
+other; repeated rows go to the same shard; ``assign`` returns no further columns; ``place`` and
+``write_shards`` keep them all, a name that clashes with one before it or with ``slot`` and ``shard`` (in
+any letter case) gets its column's position as a suffix; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .common import pick, table
 
 SHARDS, SLOTS = 64, 8191  # a prime over 100 times the shards: shares differ by less than 1 %
@@ -75,8 +81,31 @@ def assign(df: DataFrame, key_col: str, names: list[str] | None = None, slots: i
     return keyed.join(F.broadcast(table_frame(df.sparkSession, names, slots)), "slot").select("key", "slot", "shard")
 
 
+def place(df: DataFrame, key_col: str, names: list[str] | None = None, slots: int = SLOTS) -> DataFrame:
+    """Every row of ``df`` with all its columns, and its slot and shard."""
+    names = names or shard_names()
+    taken, kept = {"slot", "shard"}, []
+    for i, c in enumerate(df.columns):
+        while c.lower() in taken:
+            c = f"{c}_{i}"
+        taken.add(c.lower())
+        kept.append(c)
+    keyed = df.toDF(*kept).withColumn("slot", slot_of(F.col(f"`{kept[df.columns.index(key_col)]}`"), slots))
+    keyed = keyed.join(F.broadcast(table_frame(df.sparkSession, names, slots)), "slot")
+    return keyed.select(*[F.col(f"`{c}`") for c in kept], "slot", "shard")
+
+
+def write_shards(df: DataFrame, path: str, key_col: str, names: list[str] | None = None, slots: int = SLOTS) -> DataFrame:
+    """Write the rows as Parquet to ``path``/shard=N; returns them as read back from there."""
+    placed = place(df, key_col, names, slots)
+    placed.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign(table(spark, sf_dir, "documents"), "doc_id").withColumnRenamed("key", "doc_id")
+    out = write_shards(table(spark, sf_dir, "documents"), scratch_dir(spark, "shards"), "doc_id")
+    return out.select("doc_id", "slot", "shard", F.octet_length("text").cast("bigint").alias("text_bytes"),
+                      F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 # The filling once more in SQL: one claim a turn, by the shard whose turn it is, of the first free slot in its order.
@@ -98,8 +127,9 @@ WITH RECURSIVE shards AS (
 ), full_table AS (
   SELECT own FROM fill WHERE turn = {SLOTS}
 ), keyed AS (
-  SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, {DIGITS}))::BIGINT % {SLOTS} AS slot
+  SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, {DIGITS}))::BIGINT % {SLOTS} AS slot,
+    CAST(octet_length(encode(text)) AS BIGINT) AS text_bytes, md5(text) AS text_md5
   FROM documents
 )
-SELECT doc_id, CAST(slot AS INT) AS slot, CAST(own[slot + 1] AS INT) AS shard FROM keyed, full_table
+SELECT doc_id, CAST(slot AS INT) AS slot, CAST(own[slot + 1] AS INT) AS shard, text_bytes, text_md5 FROM keyed, full_table
 """

@@ -330,6 +330,22 @@ def test_sharding(spark, docs, none):
             sharding.lookup_table(**bad)
 
 
+def test_shards_on_disk_hold_every_row_and_column(spark, docs, none, tmp_path):
+    names = [f"s{i}" for i in range(5)]
+    table = sharding.lookup_table(names, 101)
+    clash = docs.selectExpr("*", "'own' as Shard", "1.5 as slot", "array(doc_id) as `a.b`")
+    got = sharding.write_shards(clash, str(tmp_path / "a"), "doc_id", names, 101)
+    assert got.columns == ["doc_id", "text", "fp", "key", "ID", "id_5", "Text_6", "Shard_7", "slot_8", "a.b", "slot", "shard"]
+    kept = got.collect()
+    assert sorted((str(r[0]), r[1] or "null") for r in kept) == sorted((str(i), t or "null") for i, t in ROWS)
+    assert all(r["shard"] == table[r["slot"]] and tuple(r)[2:10] == (1, "k", "I", "i", "T", "own", r[8], [r[0]]) for r in kept)
+    assert {(r["doc_id"], r["slot"], r["shard"]) for r in kept} == {
+        (r.key, r.slot, r.shard) for r in sharding.assign(docs, "doc_id", names, 101).collect()}
+    held = {p.name for p in (tmp_path / "a").iterdir() if p.is_dir()}
+    assert held == {f"shard={r['shard']}" for r in kept}
+    assert sharding.write_shards(none, str(tmp_path / "b"), "doc_id").count() == 0
+
+
 def test_packing_plan():
     r = random.Random(1)
     for _ in range(300):
@@ -367,6 +383,52 @@ def test_packing(spark, docs, none):
     assert packing.pack(none, WORD).count() == 0
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Spark chooses no broadcast by itself either, as for inputs of terabytes."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packing_without_a_broadcast(spark, docs, monkeypatch, no_broadcast):
+    told = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    want = packing.pack(docs, WORD, capacity=512).select(*told).collect()
+    asked = []
+    monkeypatch.setattr(packing, "small", lambda *a, **k: asked.append(1))
+    got = packing.pack(docs, WORD, capacity=512).select(*told).collect()
+    assert asked and sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_warc_without_a_broadcast(spark, monkeypatch, no_broadcast):
+    r = random.Random(6)
+    rows = [(i, f"http://h{i % 7}.org", f"<p>{prose(i % 9)}</p>") for i in range(80)] + [(None, "n", f"<p>{prose(1)}</p>")]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    want = warc_archive.with_references(df).collect()
+    asked = []
+    monkeypatch.setattr(warc_archive, "small", lambda *a, **k: asked.append(1))
+    got = warc_archive.with_references(df)
+    assert asked and got.columns == ["page_id", "url", "payload", "digest", "refers_to"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want)) and sum(x.refers_to is None for x in want) == 9
+    path = scratch_dir(spark, "warc")
+    read = warc_archive.read_pages(spark, path, warc_archive.write_pages(df, path))
+    assert read.where("record_type = 'response'").count() == 9 and read.count() == len(rows)
+
+
+def test_html_without_a_broadcast(spark, monkeypatch, no_broadcast):
+    side = f"<div class=teaser><p>{prose(7, 25)}</p></div>"
+    rows = [(i, f"http://h{i % 3}.org/{i}", f"<body>{side}<div class=k{i % 3}><p>{prose(i, 60)}</p></div>") for i in range(30)]
+    rows += [(90, None, f"<p>{prose(90)}</p>"), (91, "http://h1.org/91", None), (None, "http://h2.org/x", rows[2][2])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = html_extraction.extract(df).collect()
+    monkeypatch.setattr(html_extraction, "BROADCAST_BYTES", -1)
+    got = html_extraction.extract(df)
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want))
+
+
 def test_html(spark):
     page = ('<html><body class="has-sidebar"><div id="top-menu"><a href=x>Home</a></div><div class="cookie-notice">We use'
             ' cookies</div><main class="post-%d"><header><h1>T</h1></header><p>Hello <b>wor</b>ld &amp; co&nbsp;x<p>Second'
