@@ -22,13 +22,15 @@ Nothing is shuffled.
 Defined results: null or empty texts and items match nothing; items with fewer
 than q characters have no q-gram: they match where they occur exactly between characters other
 than letters and digits; repeated documents and
-items match independently; null ids are returned as null; equal error counts
-resolve to the leftmost passage; other columns are ignored or, in ``decontaminate``,
+items match independently; null ids are returned as null. An item that a document holds several times
+gives every passage that overlaps none with fewer edits or, at equal edits, farther left (inexact ones beside an exact
+occurrence are not sought); other columns are ignored or, in ``decontaminate``,
 returned as they are; empty tables give an empty result or, without any item, all documents.
 """
 
 from __future__ import annotations
 
+import bisect
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -83,6 +85,22 @@ def _gram_hashes(codes, q: int):
         length, power = 2 * length, power * power % (1 << 64)
 
 
+def _within(numbers: list[int], low: int, high: int) -> bool:
+    """True if one of the sorted ``numbers`` lies strictly between ``low`` and ``high``."""
+    i = bisect.bisect_right(numbers, low)
+    return i < len(numbers) and numbers[i] < high
+
+
+def _disjoint(found: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of (edits, start, end), in this order, those that overlap none taken before; by start."""
+    taken: list[tuple[int, int, int]] = []  # (start, end, edits), disjoint and so sorted by either
+    for e, a, z in sorted(found):
+        i = bisect.bisect_left(taken, (a, z, e))
+        if (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or z <= taken[i][0]):
+            taken.insert(i, (a, z, e))
+    return [(e, a, z) for a, z, e in taken]
+
+
 class Items:
     """The q-gram index of one block of benchmark items."""
 
@@ -195,6 +213,34 @@ class Items:
             best.setdefault((text, item), (0, a, z))
         return [(text, item, a, z, e) for (text, item), (e, a, z) in sorted(best.items())]
 
+    def passages(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+        """(text number, item number, start, end, edits) in normalised texts: all disjoint passages. A retained region
+        gives its leftmost exact occurrence or its best alignment; two passages that do not overlap start too far apart
+        for one region. Of overlapping ones the one with fewer edits stays, then the one that starts first."""
+        found: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
+        unsure: dict[int, list[tuple[int, int]]] = {}
+        for text, item, first in self._regions(texts).tolist():
+            k, m = int(self.k[item]), int(self.m[item])
+            at = texts[text].find(self.texts[item], max(0, first - k), max(0, first + 2 * (k + 1) + k + m))
+            if at >= 0:
+                found.setdefault((text, item), set()).add((0, at, at + m))
+            elif k:
+                unsure.setdefault(item, []).append((text, first))
+        for item, regions in unsure.items():
+            k, m = int(self.k[item]), int(self.m[item])
+            exact = {t: sorted(a for _, a, _ in found.get((t, item), ())) for t in {t for t, _ in regions}}
+            # whatever starts in a region this close to an exact occurrence overlaps it
+            regions = [(t, first) for t, first in regions
+                       if not _within(exact[t], first + 3 * k + 2 - (m - k), first - k + (m - k))]
+            for i in range(0, len(regions), 256):
+                part = regions[i:i + 256]
+                for (text, _), (e, a, z) in zip(part, self._align(item, part, texts), strict=True):
+                    if e <= k:
+                        found.setdefault((text, item), set()).add((e, a, z))
+        for text, item, a, z in self._short_matches(texts):
+            found.setdefault((text, item), set()).add((0, a, z))
+        return [(text, item, a, z, e) for (text, item), held in sorted(found.items()) for e, a, z in _disjoint(held)]
+
     def _short_matches(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(text number, item number, start, end) of the exact occurrences, left to right, of items below q characters
         that stand between characters other than letters and digits."""
@@ -296,8 +342,8 @@ def _parts(batch, text_at: int, chars: int = 1_000_000) -> Iterator[tuple[int, l
 
 def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   q: int = Q, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, start, end, edits, passage): per document and item that it holds, the passage
-    with the fewest edits, as a span of the original text."""
+    """(doc_id, item_id, start, end, edits, passage): per document and item that it holds, all disjoint passages,
+    as spans of the original text."""
     spark = docs.sparkSession
     src = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("bigint").alias("id"), "text")
     schema = "doc_id bigint, item_id bigint, start int, end int, edits int, passage string"
@@ -313,9 +359,9 @@ def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
             items = _index(held)
             for b in batches:
                 for low, texts in _parts(b, 1):
-                    rows = []
-                    for i, item, a, z, e in items.matches([normalise(t) for t in texts]):
-                        at = original_positions(texts[i])
+                    rows, of, at = [], None, None
+                    for i, item, a, z, e in items.passages([normalise(t) for t in texts]):
+                        of, at = (of, at) if i == of else (i, original_positions(texts[i]))
                         a, z = at[a], at[z - 1] + 1
                         rows.append({"doc_id": b.column(0)[low + i].as_py(), "item_id": items.all_ids[item], "start": a,
                                      "end": z, "edits": e, "passage": texts[i][a:z]})

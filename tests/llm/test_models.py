@@ -108,3 +108,54 @@ def test_short_items_equal_brute_force(spark):
 
     got = decontaminate.find_passages(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(x.doc_id, x.item_id) for x in got.collect()} == {(d, i) for d, text in docs for i, item in items if inside(item, text)}
+
+
+def test_every_disjoint_passage_is_returned(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [(k, prose(12)) for k in range(4)] + [(9, "x1")]
+
+    def edited(text, n):
+        s = list(text)
+        for p in r.sample(range(2, len(s) - 2), n):
+            s[p] = "z" if r.random() < 0.5 else s[p] + "z" if r.random() < 0.5 else ""
+        return "".join(s)
+
+    docs, want = [], {}
+    for d in range(12):
+        parts = []
+        for _ in range(r.randint(0, 9)):
+            i, text = r.choice(items)
+            edits = 0 if i == 9 else r.choice([0, 0, 2, 5])
+            # passages of an item also follow each other directly
+            parts += [" ".join([edited(text, edits)] * r.choice([1, 1, 2]))] + ([prose(r.randint(1, 30))] if r.random() < 0.7 else [])
+        docs.append((d, " ".join(parts)))
+    docs.append((50, None))
+
+    def ends(item, text):
+        """Edits of the best match of the item that ends at each position, with its start."""
+        row = [(0, j) for j in range(len(text) + 1)]
+        for i, c in enumerate(item, 1):
+            new = [(i, 0)]
+            for j, x in enumerate(text, 1):
+                new.append(min((row[j - 1][0] + (c != x), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[-1][0] + 1, new[-1][1])))
+            row = new
+        return row
+
+    for d, text in docs:
+        for i, item in items[:4]:
+            k = min(int(len(item) * 0.1), (len(item) - 8) // 8)
+            found, taken = sorted((e, a, z) for z, (e, a) in enumerate(ends(item, text or "")) if e <= k), []
+            for e, a, z in found:
+                if all(z <= b or y <= a for _, b, y in taken):
+                    taken.append((e, a, z))
+            want |= {(d, i, e, a): z for e, a, z in taken}
+        low = text or ""
+        want |= {(d, 9, 0, p): p + 2 for p in range(len(low)) if low.startswith("x1", p)
+                 and not low[max(0, p - 1):p].isalnum() and not low[p + 2:p + 3].isalnum()}
+    got = decontaminate.find_passages(spark.createDataFrame(docs, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string")).collect()
+    told = {(x.doc_id, x.item_id, x.edits, x.start): x.end for x in got}
+    assert len(told) == len(got) > 40 and max(e for _, _, e, _ in told) > 2
+    assert told == want
