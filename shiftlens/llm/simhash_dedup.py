@@ -6,9 +6,10 @@ its word shingles. Two fingerprints link when at most ``max_bits`` bits differ.
 Candidates. The 64 bits are cut into m segments on a ring. If x and y differ in
 at most t bits, some segment starts a chain along which the differences of its
 first l segments sum to at most floor(l * t / m), for every l from 1 to m.
-The equi-join key is a chain's first two segments: one side is indexed under
-its own bits, the other probes with every bit pattern that the first two
-budgets allow. The longer prefixes of the chain are checked next, the full
+The equi-join key is a chain's first two segments, or more where the counted
+fingerprints are so many that unrelated ones would share such a key (``chain_length``): one side
+is indexed under its own bits, the other probes with every bit pattern that the budgets of
+these prefixes allow. The longer prefixes of the chain are checked next, the full
 Hamming distance last. Exact: the filter loses no link, and there are no caps.
 
 Equal fingerprints are one node, so that copies are never paired; links become
@@ -24,6 +25,7 @@ null); an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import components, pick, stored, table
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
+MOST_PATTERNS = 4096  # of all ring starts together: they are a literal of the plan
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -83,24 +86,54 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def probe_patterns(m: int, max_bits: int) -> list[tuple[int, int, int]]:
+def pattern_count(lengths: list[int], budgets: list[int]) -> int:
+    """The number of bit patterns over segments of these lengths whose first 1, 2, ... segments hold at most
+    ``budgets`` set bits."""
+    ways = {0: 1}  # set bits so far -> patterns
+    for n, most in zip(lengths, budgets, strict=True):
+        now: dict[int, int] = {}
+        for have, k in ways.items():
+            for d in range(min(n, most - have) + 1):
+                now[have + d] = now.get(have + d, 0) + k * comb(n, d)
+        ways = now
+    return sum(ways.values())
+
+
+def chain_length(n: int, m: int, max_bits: int) -> int:
+    """How many segments the join's key takes for ``n`` distinct fingerprints. A longer key is probed with more
+    patterns and meets fewer fingerprints by chance: the length with the least rows probed and met, so that
+    neither grows with the square of the corpus. Every length finds the same links."""
+    segs, cost = segments(m), {}
+    for length in range(2, max(3, m)):
+        budgets = [j * max_bits // m for j in range(1, length + 1)]
+        chains = [[segs[(i + j) % m][1] for j in range(length)] for i in range(m)]
+        count = [pattern_count(c, budgets) for c in chains]
+        if length == 2 or sum(count) <= MOST_PATTERNS:
+            cost[length] = sum(k * (1 + n / 2 ** sum(c)) for k, c in zip(count, chains, strict=True))
+    return min(cost, key=cost.get)
+
+
+def probe_patterns(m: int, max_bits: int, length: int = 2) -> list[tuple[int, int, int]]:
     """(start, chain mask, bits to flip) for each ring start and each pattern of
-    differences that a chain's first two prefixes allow; masks as signed longs."""
+    differences that the first ``length`` prefixes of a chain allow; masks as signed longs."""
     segs, out = segments(m), []
-    first, second = max_bits // m, 2 * max_bits // m
     for i in range(m):
-        (a, n), (b, k) = segs[i], segs[(i + 1) % m]
-        near, far = range(a, a + n), range(b, b + k)
-        for d in range(second + 1):
-            for bits in combinations([*near, *far], d):
-                if sum(x in near for x in bits) <= first:
-                    out.append((i, _signed(_mask([segs[i], segs[(i + 1) % m]])), _signed(sum(1 << x for x in bits))))
+        chain = [segs[(i + j) % m] for j in range(length)]
+        step = [j for j, (_, n) in enumerate(chain) for _ in range(n)]
+        bits = [x for a, n in chain for x in range(a, a + n)]
+        for d in range(length * max_bits // m + 1):
+            for at in combinations(range(len(bits)), d):
+                # the k-th difference may come no sooner than the prefix whose budget is k
+                if all(k <= (step[x] + 1) * max_bits // m for k, x in enumerate(at, 1)):
+                    out.append((i, _signed(_mask(chain)), _signed(sum(1 << bits[x] for x in at))))
     return out
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, m: int | None = None) -> DataFrame:
-    """(a, b) with a < b: all pairs of distinct ``fp`` values that differ in at most ``max_bits`` bits."""
+def links(fps: DataFrame, max_bits: int = MAX_BITS, m: int | None = None, length: int | None = None) -> DataFrame:
+    """(a, b) with a < b: all pairs of distinct ``fp`` values that differ in at most ``max_bits`` bits. The join's key
+    takes ``length`` segments, by default as many as suit the counted fingerprints."""
     m = m or max(2, max_bits + 1)
+    length = length or chain_length(fps.count(), m, max_bits)
     segs = segments(m)
 
     def with_patterns(patterns, flip: bool) -> DataFrame:
@@ -110,16 +143,16 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, m: int | None = None) -> Dat
         bits = F.col("fp").bitwiseXOR(F.col("p.flip")) if flip else F.col("fp")
         return p.select("fp", F.col("p.start").alias("start"), bits.bitwiseAND(F.col("p.mask")).alias("key"))
 
-    patterns = probe_patterns(m, max_bits)
+    patterns = probe_patterns(m, max_bits, length)
     probe = with_patterns(patterns, True).withColumnRenamed("fp", "a")
     index = with_patterns([p for p in patterns if p[2] == 0], False).withColumnRenamed("fp", "b")
     diff = F.col("a").bitwiseXOR(F.col("b"))
     # the longer prefixes of the chain that begins at the key's first segment
     chain = F.lit(True)
-    for length in range(3, m):
-        budget = length * max_bits // m
+    for prefix in range(length + 1, m):
+        budget = prefix * max_bits // m
         for i in range(m):
-            mask = _signed(_mask([segs[(i + j) % m] for j in range(length)]))
+            mask = _signed(_mask([segs[(i + j) % m] for j in range(prefix)]))
             ok = F.bit_count(diff.bitwiseAND(F.lit(mask).cast("bigint"))) <= budget
             chain = chain & ((F.col("start") != i) | ok)
     return (probe.join(index, ["start", "key"]).where(F.col("a") < F.col("b")).where(chain)

@@ -71,12 +71,27 @@ def test_simhash_links_are_all_found(spark):
     fps = sorted(set(fps))
     want = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1:] if (a ^ b).bit_count() <= 4}
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    for m in (4, 5, 7):
-        got = simhash_dedup.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long"), 4, m).collect()
+    for m, length in ((4, None), (5, None), (7, None), (5, 2), (5, 3), (7, 3)):
+        got = simhash_dedup.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long"), 4, m, length).collect()
         assert len(got) == len(want)
         assert {frozenset((a % (1 << 64), b % (1 << 64))) for a, b in got} == set(map(frozenset, want))
 
 
+def test_simhash_key_grows_with_the_number_of_fingerprints():
+    for m, t, length in ((5, 4, 2), (5, 4, 3), (3, 2, 2), (9, 8, 2), (4, 6, 3)):
+        budgets = [j * t // m for j in range(1, length + 1)]
+        segs = simhash_dedup.segments(m)
+        counts = [simhash_dedup.pattern_count([segs[(i + j) % m][1] for j in range(length)], budgets) for i in range(m)]
+        patterns = simhash_dedup.probe_patterns(m, t, length)
+        assert len(set(patterns)) == len(patterns) == sum(counts)
+        for start, mask, flips in patterns:
+            differs = [(flips >> a & (1 << n) - 1).bit_count() for a, n in (segs[(start + j) % m] for j in range(length))]
+            assert flips & ~mask == 0 and all(c <= b for c, b in zip(np.cumsum(differs), budgets, strict=True))
+    lengths = [simhash_dedup.chain_length(10**e, 5, 4) for e in range(13)]
+    assert lengths[:8] == [2] * 8 and lengths[-1] == 3 and lengths == sorted(lengths)
+    assert simhash_dedup.chain_length(0, 2, 1) == simhash_dedup.chain_length(10**12, 3, 2) == 2
+
+
 def test_simhash_keeps_one_row_of_a_group_whose_id_repeats(spark):
     def near(seed):
         text = prose(seed, 300)
