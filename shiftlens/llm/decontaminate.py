@@ -13,11 +13,13 @@ k is ``error_rate`` (0.1) of the item's length, less for short items so that T s
 at least 1; the lemma never loses a match.
 
 Texts and items are compared in lower case with white space runs as one space;
-spans refer to the original text. Items are the stated query set: they are
-taken in blocks of at most ``block_chars`` characters, whose texts are broadcast, each to
-one pass over all documents; executors build a block's index and hold one at a time, the driver
-holds the texts only. A text is searched whole, which takes about 32 times its size in memory.
-Nothing is shuffled.
+spans refer to the original text. Items are the stated query set: Spark deals them
+evenly over files of about ``block_chars`` characters in the shared folder, each for
+one pass over all documents; executors read a file, build its index and hold one at a time, the driver
+knows the files' names only. A text is searched whole, but in pieces of ``PIECE`` characters:
+a band's count is carried on until no later position can add to it, so beside
+the text and its normalised form memory holds one piece and the passages found.
+The documents are not shuffled.
 
 Defined results: null or empty texts and items match nothing; items with fewer
 than q characters have no q-gram: they match where they occur exactly between characters other
@@ -31,35 +33,58 @@ returned as they are; empty tables give an empty result or, without any item, al
 from __future__ import annotations
 
 import bisect
-import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import pick, stored, table
+from .token_files import open_fs
 
 Q, ERROR_RATE, BLOCK_CHARS = 8, 0.1, 2_000_000
+#: Characters of a text that are hashed at once, and shared q-grams that are counted at once.
+PIECE, POSTINGS = 1 << 20, 1 << 21
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-def normalise(text: str | None) -> str:
-    return " ".join((text or "").lower().split())
-
-
-def original_positions(text: str) -> list[int]:
-    """For each character of ``normalise(text)``, its position in ``text``; then the position after the last one."""
-    at, space = [], False
+def normalise(text: str | None, piece: int = PIECE) -> str:
+    """Lower case, runs of white space as one space, none at the ends; by pieces, as the words of a
+    long text as a list take many times its size."""
+    text, out, space = (text or "").lower(), [], False
+    for at in range(0, len(text), piece):
+        part = text[at:at + piece]
+        words = " ".join(part.split())
+        if words and out and (space or part[0].isspace()):
+            out.append(" ")
+        space = part[-1].isspace()
+        if words:
+            out.append(words)
+    return "".join(out)
+
+
+def _positions(text: str) -> Iterator[int]:
+    """For each character of ``normalise(text)``, its position in ``text``."""
+    space = held = False
     for i, c in enumerate(text):
         if c.isspace():
             space = True
             continue
-        if space and at:
-            at.append(i - 1)
-        space = False
-        at += [i] * len(c.lower())
-    return [*at, at[-1] + 1 if at else 0]
+        if space and held:
+            yield i - 1
+        space, held = False, True
+        for _ in c.lower():
+            yield i
+
+
+def original_spans(text: str, spans: Iterable[tuple[int, int]]) -> dict[tuple[int, int], tuple[int, int]]:
+    """For each (start, end) of ``normalise(text)``, those of the same passage in ``text``."""
+    spans, positions, upto, at = set(spans), _positions(text), 0, {}
+    for p in sorted({p for a, z in spans for p in (a, z - 1)}):
+        at[p] = next(islice(positions, p - upto, None))
+        upto = p + 1
+    return {(a, z): (at[a], at[z - 1] + 1) for a, z in spans}
 
 
 def _codes(text: str):
@@ -132,64 +157,83 @@ class Items:
         self.bitmap = np.zeros(1 << 22, dtype=bool)
         self.bitmap[self.grams >> np.uint64(42)] = True
 
+    def _shared(self, joined: str) -> Iterator[tuple]:
+        """(positions, gram numbers, a position before which no later q-gram lies) of the q-grams that items hold,
+        about ``POSTINGS`` of the items' q-grams at a time."""
+        import numpy as np
+
+        for low in range(0, len(joined) - self.q + 1, PIECE):
+            h = _gram_hashes(_codes(joined[low:low + PIECE + self.q - 1]), self.q)
+            pos = np.flatnonzero(self.bitmap[h >> np.uint64(42)])
+            gram = np.searchsorted(self.grams, h[pos])
+            gram[gram == len(self.grams)] = 0
+            same = self.grams[gram] == h[pos]
+            pos, gram = pos[same] + low, gram[same]
+            upto = np.cumsum(self.first[gram + 1] - self.first[gram])
+            at = 0
+            while at < len(pos):
+                end = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + POSTINGS, side="right"))
+                end = max(end, at + 1)
+                yield pos[at:end], gram[at:end], int(pos[end]) if end < len(pos) else low + PIECE
+                at = end
+
     def _regions(self, texts: list[str]):
         """(text number, item, first diagonal) of the retained bands."""
         import numpy as np
 
+        found = [np.zeros((0, 3), dtype=np.int64)]
         if not self.ids:
-            return np.zeros((0, 3), dtype=np.int64)
+            return found[0]
         joined = "\n".join(texts)  # no normalised text or item has a line break
         starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
-        h = _gram_hashes(_codes(joined), self.q)
-        pos = np.flatnonzero(self.bitmap[h >> np.uint64(42)])
-        gram = np.searchsorted(self.grams, h[pos])
-        gram[gram == len(self.grams)] = 0
-        same = self.grams[gram] == h[pos]
-        pos, gram = pos[same], gram[same]
-        found, bound = [], 1 << 22
-        size = self.first[gram + 1] - self.first[gram]
-        cuts = np.searchsorted(np.cumsum(size), np.arange(bound, int(size.sum()) + bound, bound))
-        # about ``bound`` postings at a time, cut where a text ends
-        low = 0
-        while low < len(pos):
-            high = min(len(pos), int(cuts[np.searchsorted(cuts, low, side="right")]) + 1 if len(cuts) and low < cuts[-1] else len(pos))
-            text = np.searchsorted(starts, pos[high - 1], side="right") - 1
-            high = int(np.searchsorted(pos, starts[text + 1]))
-            found.append(self._bands(pos[low:high], gram[low:high], starts))
-            low = high
-        return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
-
-    def _bands(self, pos, gram, starts):
+        top = int(self.m.max())
+        # numbers of bands: one beyond the last of the longest text, so that the one after a band is of the same text and item
+        bands = (max(map(len, texts)) + top) // int(self.k.min() + 1) + 2
+        held, n, before = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), 0
+
+        def place(keys):
+            """Text, item, band, and the last position that can add to the band or to the one after it."""
+            pair, band = np.divmod(keys, bands)
+            text, item = np.divmod(pair, len(self.ids))
+            return text, item, band, starts[text] + (band + 2) * (self.k[item] + 1) - 1 - top + self.m[item] - self.q
+
+        def retained(upto):
+            # a band of width 2(k+1) is two neighbours of width k+1; it is named by the first of them
+            keys = np.union1d(held, held[held % bands > 0] - 1)
+            text, item, band, last = place(keys)
+            done = (before <= last) & (last < upto)  # the others were judged before, or are still open
+            keys, text, item, band = keys[done], text[done], item[done], band[done]
+
+            def count(keys):
+                i = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                return np.where(held[i] == keys, n[i], 0)
+
+            kept = count(keys) + count(keys + 1) >= self.least[item] if len(keys) else np.zeros(0, dtype=bool)
+            return np.stack([text[kept], item[kept], band[kept] * (self.k[item[kept]] + 1) - top], axis=1)
+
+        for pos, gram, upto in self._shared(joined):
+            keys, counts = self._bands(pos, gram, starts, bands)
+            held, where = np.unique(np.concatenate([held, keys]), return_inverse=True)
+            n = np.bincount(where, weights=np.concatenate([n, counts]), minlength=len(held)).astype(np.int64)
+            found.append(retained(upto))
+            still = place(held)[3] >= upto
+            held, n, before = held[still], n[still], upto
+        found.append(retained(len(joined) + int((2 * self.k + 2 + self.m).max()) + 1))
+        return np.concatenate(found)
+
+    def _bands(self, pos, gram, starts, bands: int):
+        """Sorted numbers of (text, item, band of width k+1), and the shared q-grams in each."""
         import numpy as np
 
         size = self.first[gram + 1] - self.first[gram]
         post = np.repeat(self.first[gram], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         item = self.item[post]
         text = np.searchsorted(starts, pos, side="right") - 1
-        top = int(self.m.max())
-        diagonal = np.repeat(pos - starts[text], size) - self.at[post] + top  # from 1 on
-        width = self.k[item] + 1
-        band = diagonal // width
-        bands = int(band.max()) + 1 if len(band) else 1
-        key = (np.repeat(text, size) * len(self.ids) + item) * bands + band
+        diagonal = np.repeat(pos - starts[text], size) - self.at[post] + int(self.m.max())  # from 1 on
+        key = (np.repeat(text, size) * len(self.ids) + item) * bands + diagonal // (self.k[item] + 1)
         key.sort()
         new = np.flatnonzero(np.diff(key, prepend=-1))
-        one, n = key[new], np.diff(new, append=len(key))
-        # a band of width 2(k+1) is two neighbours of width k+1; it is named by the first of them
-        starts_at = np.sort(np.concatenate([one, one[one % bands > 0] - 1]))
-        starts_at = starts_at[np.diff(starts_at, prepend=-1) > 0]
-
-        def count(keys):
-            i = np.minimum(np.searchsorted(one, keys), len(one) - 1)
-            return np.where(one[i] == keys, n[i], 0)
-
-        last = starts_at % bands == bands - 1
-        total = count(starts_at) + np.where(last, 0, count(starts_at + 1))
-        item = starts_at // bands % len(self.ids)
-        kept = total >= self.least[item]
-        starts_at, item = starts_at[kept], item[kept]
-        return np.stack([starts_at // bands // len(self.ids), item,
-                         starts_at % bands * (self.k[item] + 1) - top], axis=1)
+        return key[new], np.diff(new, append=len(key))
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text number, item number, start, end, edits) in normalised texts: the best passage of each pair."""
@@ -250,14 +294,17 @@ class Items:
             return
         joined = "\n".join(texts)
         starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
-        codes = _codes(joined)
-        for size, numbers in self.short.items():
-            wanted = np.concatenate([_gram_hashes(_codes(t), size) for t in numbers])
-            for pos in np.flatnonzero(np.isin(_gram_hashes(codes, size), wanted)).tolist():
-                if joined[pos:pos + size] in numbers and not joined[pos - 1:pos].isalnum() and not joined[pos + size:pos + size + 1].isalnum():
-                    text = int(np.searchsorted(starts, pos, side="right")) - 1
-                    for item in numbers[joined[pos:pos + size]]:
-                        yield text, item, pos - int(starts[text]), pos + size - int(starts[text])
+        wanted = {size: np.concatenate([_gram_hashes(_codes(t), size) for t in numbers]) for size, numbers in self.short.items()}
+        for low in range(0, len(joined), PIECE):
+            codes = _codes(joined[low:low + PIECE + self.q])
+            for size, numbers in self.short.items():
+                h = _gram_hashes(codes, size)[:PIECE]
+                for pos in (np.flatnonzero(np.isin(h, wanted[size])) + low).tolist():
+                    if (joined[pos:pos + size] in numbers and not joined[max(0, pos - 1):pos].isalnum()
+                            and not joined[pos + size:pos + size + 1].isalnum()):
+                        text = int(np.searchsorted(starts, pos, side="right")) - 1
+                        for item in numbers[joined[pos:pos + size]]:
+                            yield text, item, pos - int(starts[text]), pos + size - int(starts[text])
 
     def _align(self, item: int, regions: list[tuple[int, int]], texts: list[str]) -> list[tuple[int, int, int]]:
         """(edits, start, end) of the best alignment of the item in each region's band of diagonals."""
@@ -301,29 +348,26 @@ class Items:
         return out
 
 
-def blocks(bench: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in blocks of at most ``block_chars`` characters (or one item), streamed through the driver."""
-    held, size = [], 0
-    for r in pick(bench, id="item_id", text="text").where("text is not null").toLocalIterator():
-        if held and size + len(r["text"]) > block_chars:
-            yield held
-            held, size = [], 0
-        held.append((r["id"], r["text"]))
-        size += len(r["text"])
-    if held:
-        yield held
+def blocks(bench: DataFrame, block_chars: int = BLOCK_CHARS) -> list[str]:
+    """Files that hold the items, of about ``block_chars`` characters each, in the shared folder."""
+    src = pick(bench, id="item_id", text="text").select(F.col("id").cast("bigint").alias("id"), "text").where("text <> ''")
+    chars = src.agg(F.sum(F.length("text"))).first()[0]
+    return sorted(stored(src.repartition(-(-chars // block_chars)), "benchmark-items").inputFiles()) if chars else []
+
 
+_LAST: dict[tuple, Items] = {}
 
-_LAST: dict[str, Items] = {}
 
+def _index(file: str, q: int, error_rate: float) -> Items:
+    """The index of a file of items, built on the executor; a Python worker keeps that of its last file."""
+    import pyarrow.parquet as pq
 
-def _index(held) -> Items:
-    """The index of a broadcast block, built on the executor; a Python worker keeps that of its last block."""
-    name, block, q, error_rate = held.value
-    if name not in _LAST:
+    if (file, q, error_rate) not in _LAST:
         _LAST.clear()
-        _LAST[name] = Items(block, q, error_rate)
-    return _LAST[name]
+        fs, path = open_fs(file)
+        held = pq.read_table(path, filesystem=fs, partitioning=None)
+        _LAST[file, q, error_rate] = Items(list(zip(held["id"].to_pylist(), held["text"].to_pylist(), strict=True)), q, error_rate)
+    return _LAST[file, q, error_rate]
 
 
 def _parts(batch, text_at: int, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
@@ -348,23 +392,24 @@ def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     src = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("bigint").alias("id"), "text")
     schema = "doc_id bigint, item_id bigint, start int, end int, edits int, passage string"
     out = []
-    for block in blocks(bench, block_chars):
-        held = spark.sparkContext.broadcast((uuid.uuid4().hex, block, q, error_rate))
+    for file in blocks(bench, block_chars):
 
-        def run(batches: Iterator, held=held) -> Iterator:
+        def run(batches: Iterator, file=file) -> Iterator:
             import pyarrow as pa
 
             kinds = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()),
                                ("end", pa.int32()), ("edits", pa.int32()), ("passage", pa.string())])
-            items = _index(held)
+            items = _index(file, q, error_rate)
             for b in batches:
                 for low, texts in _parts(b, 1):
-                    rows, of, at = [], None, None
-                    for i, item, a, z, e in items.passages([normalise(t) for t in texts]):
-                        of, at = (of, at) if i == of else (i, original_positions(texts[i]))
-                        a, z = at[a], at[z - 1] + 1
-                        rows.append({"doc_id": b.column(0)[low + i].as_py(), "item_id": items.all_ids[item], "start": a,
-                                     "end": z, "edits": e, "passage": texts[i][a:z]})
+                    rows = []
+                    for i, found in groupby(items.passages([normalise(t) for t in texts]), lambda p: p[0]):
+                        found = list(found)
+                        spans = original_spans(texts[i], ((a, z) for _, _, a, z, _ in found))
+                        for _, item, *span, e in found:
+                            a, z = spans[tuple(span)]
+                            rows.append({"doc_id": b.column(0)[low + i].as_py(), "item_id": items.all_ids[item], "start": a,
+                                         "end": z, "edits": e, "passage": texts[i][a:z]})
                     yield pa.RecordBatch.from_pylist(rows, kinds)
 
         out.append(src.mapInArrow(run, schema))
@@ -374,17 +419,16 @@ def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 def decontaminate(docs: DataFrame, bench: DataFrame, q: int = Q, error_rate: float = ERROR_RATE,
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    spark, names = docs.sparkSession, docs.columns
+    names = docs.columns
     text_at = names.index("text")
     out = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    for block in blocks(bench, block_chars):
-        held = spark.sparkContext.broadcast((uuid.uuid4().hex, block, q, error_rate))
+    for file in blocks(bench, block_chars):
 
-        def run(batches: Iterator, held=held) -> Iterator:
+        def run(batches: Iterator, file=file) -> Iterator:
             import numpy as np
             import pyarrow as pa
 
-            items = _index(held)
+            items = _index(file, q, error_rate)
             for b in batches:
                 clean = np.ones(b.num_rows, dtype=bool)
                 for low, texts in _parts(b, text_at):

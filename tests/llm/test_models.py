@@ -1,4 +1,4 @@
-"""Quality resampling against a plain reimplementation; decontamination of items below a q-gram."""
+"""Quality resampling against a plain reimplementation; decontamination: short items, pieces of long texts, files of items."""
 
 import math
 import random
@@ -159,3 +159,92 @@ def test_every_disjoint_passage_is_returned(spark):
     told = {(x.doc_id, x.item_id, x.edits, x.start): x.end for x in got}
     assert len(told) == len(got) > 40 and max(e for _, _, e, _ in told) > 2
     assert told == want
+
+
+def random_items_and_texts(r):
+    word = lambda n: "".join(r.choice("abc ") for _ in range(n))
+    items = [(i, word(r.randint(1, 60))) for i in range(30)]
+    texts = [word(r.randint(0, 600)) + r.choice(items)[1] * r.randint(0, 3) + word(50) for _ in range(10)]
+    return items, [decontaminate.normalise(t) for t in texts]
+
+
+def test_a_search_in_pieces_finds_the_same(monkeypatch):
+    r = random.Random(5)
+    cases = [(*random_items_and_texts(r), r.choice([0.05, 0.1, 0.3])) for _ in range(6)]
+
+    def search():
+        out = []
+        for items, texts, rate in cases:
+            index = decontaminate.Items(items, error_rate=rate)
+            out.append((sorted(map(tuple, index._regions(texts).tolist())), index.passages(texts), index.matches(texts)))
+        return out
+
+    whole = search()  # every text lies in one piece
+    assert sum(len(regions) for regions, _, _ in whole) > 100 and sum(len(found) for _, found, _ in whole) > 300
+    for piece, postings in ((13, 7), (64, 1), (500, 100)):
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        monkeypatch.setattr(decontaminate, "POSTINGS", postings)
+        assert search() == whole
+
+
+def test_retained_bands_equal_a_plain_count():
+    r = random.Random(8)
+    for _ in range(3):
+        items, texts = random_items_and_texts(r)
+        index = decontaminate.Items(items, error_rate=0.2)
+        top, want = int(index.m.max()), set()
+        for t, text in enumerate(texts):
+            for i, item in enumerate(index.texts):
+                width, n = int(index.k[i]) + 1, {}
+                for p in range(len(text) - 7):
+                    for a in range(len(item) - 7):
+                        if text[p:p + 8] == item[a:a + 8]:
+                            band = (p - a + top) // width
+                            n[band] = n.get(band, 0) + 1
+                for band in {x for b in n for x in (b - 1, b) if x >= 0}:
+                    if n.get(band, 0) + n.get(band + 1, 0) >= index.least[i]:
+                        want.add((t, i, band * width - top))
+        found = [tuple(x) for x in index._regions(texts).tolist()]
+        assert set(found) == want and len(found) == len(want)
+
+
+def test_normalised_in_pieces_and_spans_of_the_original():
+    r = random.Random(4)
+    for _ in range(100):
+        text = "".join(r.choice(["a", "B", " ", "  ", "\n", "İ", "É", " ", "\x1c", "\U0001d400"]) for _ in range(r.randint(0, 60)))
+        plain = " ".join(text.lower().split())
+        assert all(decontaminate.normalise(text, piece) == plain for piece in (1, 2, 7, 1 << 20))
+        spans = [(a, z) for a in range(len(plain)) for z in range(a + 1, len(plain) + 1) if plain[a] != " " and plain[z - 1] != " "]
+        for (a, z), (b, y) in decontaminate.original_spans(text, spans).items():
+            held = " ".join(text[b:y].lower().split())
+            assert plain[a:z] in held and len(held) <= z - a + 2  # a capital I with a dot has two small characters
+
+
+def test_a_very_long_text_is_searched_in_bounded_memory():
+    text = "Some words  and 12 numbers again\n" * 1_000_000
+    item = "some words and 12 numbers again, then an end of its own"
+    text += item.upper()
+    index = decontaminate.Items([(1, item), (2, "own")])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = index.passages([decontaminate.normalise(text)])
+    at = decontaminate.original_spans(text, [(a, z) for _, _, a, z, _ in found])
+    assert [(item, e) for _, item, _, _, e in found] == [(0, 0), (1, 0)]
+    assert [text[slice(*at[a, z])] for _, _, a, z, _ in found] == [item.upper(), "OWN"]
+    grown = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before  # kilobytes
+    assert grown < 400_000
+
+
+def test_items_lie_in_files_of_about_one_block(spark):
+    texts = [f"item number {i} of the benchmark, with some more words" for i in range(400)]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "a null id keeps its text"), (7, None), (8, "")],
+                                  "item_id long, text string").repartition(3)
+    files = decontaminate.blocks(bench, block_chars=1000)
+    sizes = [spark.read.parquet(f).selectExpr("sum(length(text))").first()[0] for f in files[:5]]
+    total = sum(map(len, texts)) + 24
+    assert abs(len(files) - total / 1000) <= 1 and max(sizes) < 2000
+    held = spark.read.parquet(*files).collect()
+    assert sorted(r.text for r in held) == sorted([*texts, "a null id keeps its text"])
+    docs = spark.createDataFrame([(1, f"say: {texts[3]}!"), (2, "A null id keeps its text"), (3, "clean")], "doc_id long, text string")
+    got = decontaminate.find_passages(docs, bench, block_chars=5000).where("edits = 0").collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 3), (2, None)}
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, bench, block_chars=5000).collect()] == [3]
