@@ -18,7 +18,7 @@ evenly over files of about ``block_chars`` characters in the shared folder, each
 one pass over all documents; executors read a file, build its index and hold one at a time, the driver
 knows the files' names only. A text is searched whole, but in pieces of ``PIECE`` characters:
 a band's count is carried on until no later position can add to it, so beside
-the text and its normalised form memory holds one piece and the passages found.
+the text and its normalised form memory holds one piece, the retained bands and the passages found.
 The documents are not shuffled.
 
 Defined results: null or empty texts and items match nothing; items with fewer
