@@ -1,10 +1,11 @@
 """WARC archives compressed record by record with a dictionary of their own.
 
 Each archive (.warc.zst) starts with a skippable frame (magic 0x184D2A5D) that holds a
-Zstandard dictionary built from records of that archive; every record follows
+Zstandard dictionary built from archived records; every record follows
 as a frame of its own, so a reader can start at any record. The dictionary is
-trained on the archive's first records, up to ``SAMPLE_BYTES`` (what a writer
-holds in memory); where that is too little to train on, their raw bytes serve
+trained once on heads of ``SAMPLES`` response records drawn across the whole table (those
+with the smallest hashes), together at most ``sample_bytes`` of payload; where that is too little to train on
+(below 32 records or 512 KB), the last 64 KB of their raw bytes serve
 as the dictionary. It only affects sizes, never content.
 
 Pages with equal payloads (SHA-1 of the html's UTF-8) are archived once: the
@@ -42,7 +43,7 @@ from .common import pick, small, stored, table
 from .token_files import BadFile, open_fs, publish
 
 DICTIONARY_MAGIC = 0x184D2A5D
-DICTIONARY_BYTES, SAMPLE_BYTES, SALTS = 64 << 10, 4 << 20, 16
+DICTIONARY_BYTES, SAMPLE_BYTES, SAMPLES, SALTS = 64 << 10, 4 << 20, 512, 16
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the public URL namespace of RFC 4122
 DATE = "2024-01-01T00:00:00Z"  # the pages table holds no time; one fixed date keeps archives reproducible
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -52,6 +53,11 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def in_base32(digest: str) -> str:
+    """The base-32 form of a digest in hex."""
+    return base64.b32encode(bytes.fromhex(digest)).decode()
+
+
 def record_id(page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'page:{page_id}')}>"
 
@@ -105,26 +111,15 @@ def build_dictionary(samples: list[bytes]):
     return zstandard.ZstdCompressionDict(b"".join(samples)[-DICTIONARY_BYTES:], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def write_archive(out, records: Iterator[bytes], level: int = 3) -> int:
-    """Write the records as one archive; returns their number."""
+def write_archive(out, records: Iterator[bytes], dictionary: bytes, level: int = 3) -> int:
+    """Write the records as one archive; returns their number. Without a record nothing is written."""
     import zstandard
 
-    first, size, n = [], 0, 0
-    for r in records:
-        first.append(r)
-        size += len(r)
-        if size >= SAMPLE_BYTES:
-            break
-    if not first:
-        return 0
-    kept = build_dictionary(first)
-    raw = kept.as_bytes()
-    out.write(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
-    comp = zstandard.ZstdCompressor(level=level, dict_data=kept, write_checksum=True)
-    for r in first:
-        out.write(comp.compress(r))
-    n, first = len(first), []
+    comp = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
+    n = 0
     for r in records:
+        if not n:
+            out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
         out.write(comp.compress(r))
         n += 1
     return n
@@ -172,11 +167,22 @@ def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
                          F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
 
+def sample_records(referenced: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> list[bytes]:
+    """Heads of at most ``SAMPLES`` response records across all of ``with_references``' rows, of even size in the payload."""
+    rows = (referenced.where("refers_to is null and octet_length(payload) > 0")
+            .select("page_id", F.substring("url", 1, 2048).alias("url"), "digest",
+                    F.substring("payload", 1, max(1, sample_bytes // SAMPLES)).alias("payload"),
+                    F.xxhash64("digest", "page_id").alias("at"))
+            .orderBy("at", "digest", "page_id").limit(SAMPLES).collect())
+    return [make_record(r["page_id"], r["url"], bytes(r["payload"]), in_base32(r["digest"]), None) for r in rows]
+
+
 def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                least_bytes: int = 0) -> DataFrame:
+                least_bytes: int = 0, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """Write archives ``path``/part-NNNNNN.warc.zst; returns their manifest (archive, file, records)."""
     src = pick(pages, page_id=id_col, url=url_col, html=html_col)
-    src = src.withColumn("page_id", F.col("page_id").cast("bigint"))
+    src = with_references(src.withColumn("page_id", F.col("page_id").cast("bigint")), least_bytes)
+    dictionary = build_dictionary(sample_records(src, sample_bytes)).as_bytes()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -187,18 +193,17 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
                 for at in range(0, b.num_rows, 256):
                     for page_id, url, payload, digest, to in zip(*(c.to_pylist() for c in b.slice(at, 256).columns),
                                                                  strict=True):
-                        yield make_record(page_id, url, payload,
-                                          base64.b32encode(bytes.fromhex(digest)).decode(), to)
+                        yield make_record(page_id, url, payload, in_base32(digest), to)
 
         fs, base = open_fs(path)
         fs.create_dir(base, recursive=True)
         k, done = TaskContext.get().partitionId(), []
         name = f"part-{k:06d}.warc.zst"
-        publish(fs, f"{base}/{name}", lambda out: done.append(write_archive(out, records())))
+        publish(fs, f"{base}/{name}", lambda out: done.append(write_archive(out, records(), dictionary)))
         if done[0]:
             yield pa.RecordBatch.from_pydict({"archive": [k], "file": [name], "records": [done[0]]})
 
-    return stored(with_references(src, least_bytes).mapInArrow(run, "archive bigint, file string, records bigint"),
+    return stored(src.mapInArrow(run, "archive bigint, file string, records bigint"),
                   "warc-manifest")
 
 

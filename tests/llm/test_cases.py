@@ -3,6 +3,7 @@
 import io
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -532,10 +533,33 @@ def test_warc_archive_file():
     for n in (1, 500):
         out = io.BytesIO()
         records = [warc_archive.make_record(i, "http://x", prose(i, 400).encode(), "D", 1) for i in range(n)]
-        assert warc_archive.write_archive(out, iter(records)) == n
+        kept = warc_archive.build_dictionary(records).as_bytes()
+        assert warc_archive.write_archive(out, iter(records), kept) == n
         out.seek(0)
         assert list(warc_archive.read_archive(out, chunk=100)) == records
-    assert warc_archive.write_archive(io.BytesIO(), iter([])) == 0
+    assert warc_archive.write_archive(io.BytesIO(), iter([]), b"x") == 0
+
+
+def test_warc_dictionary_sample(spark):
+    shared = prose(1, 300)  # what all pages have in common
+    pages = [(0, "http://x/0", "z" * 3_000_000)] + [(i, f"http://x/{i}", shared + prose(i, 30)) for i in range(1, 1500)]
+    pages += [(i, "http://x/copy", "a copy " + shared) for i in range(2000, 3000)] + [(4000, None, None), (4001, "http://x/" + "y" * 9000, "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    referenced = warc_archive.with_references(df)
+    sample = warc_archive.sample_records(referenced)
+    assert len(sample) == warc_archive.SAMPLES == len({r for r in sample})  # no copy twice
+    assert sample == warc_archive.sample_records(referenced.repartition(3))
+    ids = [int(r.split(b"X-Page-ID: ")[1].split(b"\r\n")[0]) for r in sample]
+    assert min(ids) < 150 and max(ids) > 1350 and sum(2000 <= i < 3000 for i in ids) <= 1
+    assert max(map(len, warc_archive.sample_records(referenced, 51200))) < 100 + 4000 and warc_archive.sample_records(referenced.limit(0)) == []
+    sizes = []
+    for most in (1, warc_archive.SAMPLE_BYTES):
+        path = scratch_dir(spark, "warc")
+        read = warc_archive.read_pages(spark, path, warc_archive.write_pages(df, path, sample_bytes=most))
+        got = {r.page_id: (r.payload_bytes, r.refers_to) for r in read.collect()}
+        assert got == {i: (len(t or ""), 2999 if 2000 <= i < 2999 else 4001 if i == 4000 else None) for i, _, t in pages}
+        sizes.append(sum(f.stat().st_size for f in Path(path.removeprefix("file:")).glob("*.zst")))
+    assert sizes[1] < 0.8 * sizes[0]
 
 
 def test_chat(spark):

@@ -222,7 +222,7 @@ def test_normalised_in_pieces_and_spans_of_the_original():
 
 def test_a_very_long_text_is_searched_in_bounded_memory():
     text = "Some words  and 12 numbers again\n" * 1_000_000
-    item = "this passage with 12 numbers again has an end of its own"
+    item = "one long passage that no other line of the whole text has, of its own"
     text += item.upper()
     index = decontaminate.Items([(1, item), (2, "own")])
     before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
