@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rounding import SUM_TYPE
+from .rounding import decimal_sum
 
 
 def sums(*cols: str, exact: bool = True) -> list[Column]:
@@ -18,7 +18,7 @@ def sums(*cols: str, exact: bool = True) -> list[Column]:
     the order of rows does not matter (at most 6 decimals)."""
     out = []
     for c in cols:
-        out += [F.sum(F.col(c).cast(SUM_TYPE) if exact else F.col(c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
+        out += [(decimal_sum(c) if exact else F.sum(c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
     return out
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .rounding import stable_round
+from .rounding import round_ratio
 
 
 def nz(name: str) -> Column:
@@ -23,12 +23,12 @@ def null_safe_total(names: list[str]) -> Column:
 
 def per_census(hours: Column, census: Column) -> Column:
     """hours / census rounded like the metric view: both to 2 places; null unless census > 0."""
-    return F.when(census > 0, stable_round(stable_round(hours, 2) / census, 2))
+    return F.when(census > 0, round_ratio(hours, 2, census))
 
 
 def share_pct(part: Column, total: Column) -> Column:
     """part / total * 100 at 2 places (part pre-rounded to 4); 0 unless total > 0."""
-    return F.when(total > 0, stable_round(stable_round(part, 4) / total * F.lit(100.0), 2)).otherwise(F.lit(0.0))
+    return F.when(total > 0, round_ratio(part, 4, total, percent=True)).otherwise(F.lit(0.0))
 
 
 def staffing_category(total_hours: Column, census: Column) -> Column:

@@ -28,8 +28,8 @@ def v_daily_metrics(fact: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     ``extra``: further fact columns to carry along (for gold builders)."""
     census = F.col("patient_census")
     total = F.col("total_nursing_hours")
-    contract = S.null_safe_total(["hrs_rn_ctr", "hrs_lpn_ctr", "hrs_cna_ctr"])
-    return fact.select(
+    contract = F.col("_contract")
+    return fact.withColumn("_contract", S.null_safe_total(["hrs_rn_ctr", "hrs_lpn_ctr", "hrs_cna_ctr"])).select(
         "provider_id", "state", "cy_qtr", "work_date", "patient_census",
         *[S.nz(h).alias(h) for h in DAILY_HOURS],
         S.nz("total_nursing_hours").alias("total_nursing_hours"),

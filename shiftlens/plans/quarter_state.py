@@ -19,6 +19,9 @@ Loading a quarter again replaces it: the job can be repeated after a failure.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,7 +29,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..functions import partials as P
 from ..functions import staffing as S
-from ..functions.rounding import SUM_TYPE, stable_round
+from ..functions.rounding import decimal_sum, stable_round
 from ..operators import distinct, gold, history
 from ..sources.sinks import MaterializedView, delete_path, path_exists, write_table
 from .warehouse import GOLD_TABLES, Warehouse
@@ -43,8 +46,8 @@ KEYS = ["provnum", *history.ATTRS, "year", "month"]
 def _daily(silver: DataFrame) -> DataFrame:
     """Silver rows beside their daily metrics, year and month; ``ratio`` is silver's unrounded HPPD."""
     census, total = F.col("mdscensus"), F.col("total_nursing_hours")
-    contract = S.null_safe_total(["hrs_rn_ctr", "hrs_lpn_ctr", "hrs_cna_ctr"])
-    return silver.select(
+    contract = F.col("_contract")
+    return silver.withColumn("_contract", S.null_safe_total(["hrs_rn_ctr", "hrs_lpn_ctr", "hrs_cna_ctr"])).select(
         "provnum", *history.ATTRS, "cy_qtr", "work_date", "mdscensus", *HOURS, *TOTALS,
         F.col("nursing_hppd").alias("ratio"), "contract_ratio",
         F.year("work_date").alias("year"), F.month("work_date").alias("month"),
@@ -60,26 +63,26 @@ def fold_provider_month(silver: DataFrame) -> DataFrame:
     rows = _daily(silver)
     on = F.col("censused")
 
-    def exact(c: str) -> Column:
-        return F.col(c).cast(SUM_TYPE)
-
     out = [F.count(F.lit(1)).alias("n"), F.min("work_date").alias("first"), F.max("work_date").alias("last"),
            F.bit_or(history.day_bit("work_date")).alias("mask"),
            F.sum("mdscensus").alias("_s_mdscensus"), F.count("mdscensus").alias("_n_mdscensus"),
            F.min("ratio").alias("min_ratio"), F.max("ratio").alias("max_ratio")]
-    out += [F.sum(F.coalesce(exact(c), F.lit(0).cast(SUM_TYPE))).alias(f"_s_{c}") for c in HOURS]
-    out += [F.sum(exact(c)).alias(f"_s_{c}") for c in TOTALS] + [F.count(c).alias(f"_n_{c}") for c in TOTALS]
+    out += [decimal_sum(S.nz(c)).alias(f"_s_{c}") for c in HOURS]
+    out += [decimal_sum(c).alias(f"_s_{c}") for c in TOTALS] + [F.count(c).alias(f"_n_{c}") for c in TOTALS]
     for c in ("ratio", "contract_ratio"):
         out += [F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
     for c in RATES:
-        out += [F.sum(exact(c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}"),
-                F.sum(F.when(on, exact(c))).alias(f"c_s_{c}"), F.count(F.when(on, F.col(c))).alias(f"c_n_{c}")]
-    out += [F.sum(F.when(on, F.coalesce(exact(c), F.lit(0).cast(SUM_TYPE)))).alias(f"c_s_{c}")
+        out += [decimal_sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}"),
+                decimal_sum(F.when(on, F.col(c))).alias(f"c_s_{c}"), F.count(F.when(on, F.col(c))).alias(f"c_n_{c}")]
+    out += [decimal_sum(F.when(on, S.nz(c))).alias(f"c_s_{c}")
             for c in (*HOURS, "total_nursing_hours")]
-    two_place = F.col("nursing_hppd").cast("decimal(12,2)")
+    two_place, hundredths = F.col("nursing_hppd").cast("decimal(12,2)"), F.rint(F.col("nursing_hppd") * 100).cast("bigint")
+    small = F.abs("nursing_hppd") < 1e4  # their squares are added as whole ten-thousandths
+    squares = F.sum(F.when(on & small, hundredths * hundredths)).cast("decimal(20,0)") * F.lit(Decimal("0.0001"))
+    rest = F.sum(F.when(on & ~small, (two_place * two_place).cast("decimal(28,4)")))
     out += [F.count_if(on).alias("c_n"), F.sum(F.when(on, F.col("mdscensus"))).alias("c_s_mdscensus"),
             F.min(F.when(on, F.col("nursing_hppd"))).alias("c_min"), F.max(F.when(on, F.col("nursing_hppd"))).alias("c_max"),
-            F.sum(F.when(on, (two_place * two_place).cast("decimal(28,4)"))).alias("c_squares"),
+            F.coalesce(squares + rest, squares, rest).cast("decimal(38,4)").alias("c_squares"),
             F.count_if(on & (F.col("level") == C.CATEGORY_MEETS)).alias("c_meets"),
             F.count_if(on & (F.col("level") == C.CATEGORY_CRITICAL)).alias("c_critical")]
     return rows.groupBy("cy_qtr", *KEYS).agg(*out)
@@ -309,7 +312,7 @@ def read_state(spark: SparkSession, gold_dir: str, name: str) -> DataFrame:
 
 
 def load_quarter(spark: SparkSession, silver_path: str, gold_dir: str, quarter: str,
-                 snapshot_date: str = C.DEFAULT_SNAPSHOT_DATE) -> dict[str, int]:
+                 snapshot_date: str = C.DEFAULT_SNAPSHOT_DATE, concurrent_writes: int = 6) -> dict[str, int]:
     """Bring one quarter of silver into gold; other quarters' facts are neither read nor written.
 
     Returns rows written per table (for the fact and the state: rows of this quarter)."""
@@ -318,17 +321,20 @@ def load_quarter(spark: SparkSession, silver_path: str, gold_dir: str, quarter:
     if silver.isEmpty():
         raise ValueError(f"No records of {quarter} in {silver_path}")
     out = {"facts": write_table(gold.build_fact(silver), f"{gold_dir}/{GOLD_TABLES['facts']}", ["cy_qtr", "state"],
-                                replace="cy_qtr")}
+                                replace="cy_qtr", rebalance=False)}  # silver is laid out by the same columns
     _touch(spark, gold_dir, quarter)  # months that the quarter held until now
     for name, fold in FOLDS.items():
         out[name] = write_table(fold(silver), f"{gold_dir}/{STATE_TABLES[name]}", ["cy_qtr"], replace="cy_qtr")
     _touch(spark, gold_dir, quarter)  # and those it holds from now on
     state, counts = (read_state(spark, gold_dir, n) for n in ("provider_month", "hppd_counts"))
     number_providers(spark, gold_dir, state)
-    for name in GOLD_TABLES:
-        if name != "facts":
-            out[name] = write_table(derive(name, state, counts, snapshot_date), f"{gold_dir}/{GOLD_TABLES[name]}",
-                                    PARTITIONS.get(name))
+
+    def one(name: str) -> int:
+        return write_table(derive(name, state, counts, snapshot_date), f"{gold_dir}/{GOLD_TABLES[name]}", PARTITIONS.get(name))
+
+    derived = [name for name in GOLD_TABLES if name != "facts"]
+    with ThreadPoolExecutor(max_workers=concurrent_writes) as pool:  # the tables do not depend on each other
+        out.update(zip(derived, pool.map(one, derived), strict=True))
     out["mv_staffing_summary"] = refresh_summary(spark, gold_dir)
     return out
 
