@@ -55,10 +55,11 @@ def half_up(c: Column) -> Column:
 
 def decimal_sum(c: Column | str) -> Column:
     """``F.sum(c.cast(SUM_TYPE))`` of a number, added up as two longs: millionths, and the whole part of those values that
-    are large or have more than 6 decimals. A double equal to ``r / 10**6`` with at most 11 digits in ``r`` is that decimal."""
+    are large or next to a tie. A value of at most 11 digits that is clear of a tie has the same millionths as binary and as decimal."""
     c = _col(c)
-    millionths = F.rint(c * F.lit(1e6))
-    short = (F.abs(millionths) < 1e11) & (millionths / F.lit(1e6) == c)
+    scaled = c * F.lit(1e6)
+    millionths = F.rint(scaled)
+    short = (F.abs(millionths) < 1e11) & (F.abs(scaled - millionths) < 0.4999)
     exact = c.cast(SUM_TYPE)
     whole = exact.cast("bigint")
     rest = ((exact - whole.cast("decimal(20,0)")) * F.lit(1000000)).cast("bigint")

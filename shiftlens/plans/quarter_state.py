@@ -193,12 +193,13 @@ def _quartiles(counts: DataFrame, censused: bool) -> DataFrame:
 
 
 def _by_state_month(state: DataFrame) -> DataFrame:
-    """State rows merged by state and month, with the number of providers (and of those with patients)."""
-    per = merged(state, "state", "year", "month", "provnum")
-    rest = [c for c in per.columns if c not in ("state", "year", "month", "provnum")]
-    return per.groupBy("state", "year", "month").agg(
-        F.count("provnum").alias("providers"), F.count(F.when(F.col("c_n") > 0, F.col("provnum"))).alias("c_providers"),
-        *[_MERGE.get(c, F.sum)(c).alias(c) for c in rest])
+    """State rows merged by state and month, with the number of providers (and of those with patients). Only the
+    counting goes by provider; the other columns are added up at once, to a few rows a task."""
+    keys = ["state", "year", "month"]
+    seen = state.groupBy(*keys, "provnum").agg(F.max("c_n").alias("c_n"))
+    providers = seen.groupBy(*keys).agg(
+        F.count("provnum").alias("providers"), F.count(F.when(F.col("c_n") > 0, F.col("provnum"))).alias("c_providers"))
+    return _with(merged(state, *keys), providers)
 
 
 def _with(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -320,21 +321,28 @@ def load_quarter(spark: SparkSession, silver_path: str, gold_dir: str, quarter:
     silver = spark.read.parquet(silver_path).where(F.col("cy_qtr") == F.lit(quarter))  # a partition filter
     if silver.isEmpty():
         raise ValueError(f"No records of {quarter} in {silver_path}")
-    out = {"facts": write_table(gold.build_fact(silver), f"{gold_dir}/{GOLD_TABLES['facts']}", ["cy_qtr", "state"],
-                                replace="cy_qtr", rebalance=False)}  # silver is laid out by the same columns
     _touch(spark, gold_dir, quarter)  # months that the quarter held until now
-    for name, fold in FOLDS.items():
-        out[name] = write_table(fold(silver), f"{gold_dir}/{STATE_TABLES[name]}", ["cy_qtr"], replace="cy_qtr")
+
+    def own(name: str) -> int:
+        if name == "facts":  # silver is laid out by the same columns
+            return write_table(gold.build_fact(silver), f"{gold_dir}/{GOLD_TABLES[name]}", ["cy_qtr", "state"],
+                               replace="cy_qtr", rebalance=False)
+        return write_table(FOLDS[name](silver), f"{gold_dir}/{STATE_TABLES[name]}", ["cy_qtr"], replace="cy_qtr")
+
+    names = ["facts", *FOLDS]
+    with ThreadPoolExecutor(max_workers=concurrent_writes) as pool:  # the quarter's tables do not depend on each other
+        out = dict(zip(names, pool.map(own, names), strict=True))
     _touch(spark, gold_dir, quarter)  # and those it holds from now on
     state, counts = (read_state(spark, gold_dir, n) for n in ("provider_month", "hppd_counts"))
-    number_providers(spark, gold_dir, state)
 
     def one(name: str) -> int:
         return write_table(derive(name, state, counts, snapshot_date), f"{gold_dir}/{GOLD_TABLES[name]}", PARTITIONS.get(name))
 
     derived = [name for name in GOLD_TABLES if name != "facts"]
     with ThreadPoolExecutor(max_workers=concurrent_writes) as pool:  # the tables do not depend on each other
+        numbers = pool.submit(number_providers, spark, gold_dir, state)
         out.update(zip(derived, pool.map(one, derived), strict=True))
+        numbers.result()
     out["mv_staffing_summary"] = refresh_summary(spark, gold_dir)
     return out
 

@@ -20,7 +20,7 @@ from ..operators.silver import to_silver
 from ..session import scratch_dir
 from ..sources.bronze import raw_files, raw_inventory, read_raw, route_files
 from ..sources.headers import read_raw_by_name, schema_check
-from ..sources.panel import NEXT_QUARTER, PANEL_QUARTER, facility_days, next_quarter, render_raw
+from ..sources.panel import NEXT_QUARTER, PANEL_QUARTER, facility_days, facility_sums, next_quarter, panel_of, render_raw
 from ..sources.sinks import create_external_tables, materialize, register_tables, write_silver, write_table
 from ..streaming.incremental import run_incremental_silver
 
@@ -332,8 +332,8 @@ def _quarters_gold(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _QUARTERS:
         base = scratch_dir(spark, "quarters")
-        write_table(facility_days(spark, sf_dir), f"{base}/panel")  # both quarters are made from it
-        first = spark.read.parquet(f"{base}/panel")
+        write_table(facility_sums(spark, sf_dir), f"{base}/panel")  # both quarters are made from it
+        first = panel_of(spark.read.parquet(f"{base}/panel"))
         for panel, quarter in ((first, PANEL_QUARTER), (next_quarter(first), NEXT_QUARTER)):
             write_silver(to_silver(render_raw(panel), source_file=f"{sf_dir}/lineitem.parquet"), f"{base}/silver")
             T.load_quarter(spark, f"{base}/silver", f"{base}/gold", quarter)

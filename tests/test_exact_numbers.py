@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from shiftlens.functions import partials as P
 from shiftlens.functions.rounding import SUM_TYPE, decimal_sum, half_up, round_ratio, stable_round
-from shiftlens.plans import registry
+from shiftlens.plans import quarter_state, registry
+from shiftlens.sources.panel import facility_days, panel_of
 
 VALUES = [None, 0.0, -0.0, 0.005, 0.015, 1.005, 2.675, -1.005, -0.001, 0.285, 0.49999999999999994, 0.5, 1.5, 2.5, -0.5, -2.5, 7.000000000000001,
           28.999999999999996, 0.1 + 0.2, 1 / 3, 0.0000005, 123456.7890125, 99999.999999, 100000.000001, 1e6, 12345678.905, 1e9, 98765432101.5, 3e13]
@@ -65,3 +66,37 @@ def test_quarters_read_the_line_items_once(spark, inputs, monkeypatch):
     assert len(read) == 2 and not [f for files in read for f in files if "lineitem.parquet" in os.path.dirname(f)]
     reach = registry.QUARTER_QUERIES["monthly_provider_reach"](spark, inputs).collect()
     assert kpi[0].total_providers == 3 and {r.providers for r in reach} == {2, 3}
+
+
+def test_quarters_store_the_sums_of_line_items(spark, inputs, monkeypatch):
+    """What is stored for both quarters is a narrow row a facility-day, and the panel made from it is the panel."""
+    stored, plain = [], registry.write_table
+    monkeypatch.setattr(registry, "write_table", lambda df, path, *a: stored.append((df.columns, path)) or plain(df, path, *a))
+    registry._QUARTERS.pop((spark.sparkContext.applicationId, inputs), None)
+    registry._quarters_gold(spark, inputs)
+    (columns, path), = stored
+    assert len(columns) <= 13 and not [c for c in columns if c.startswith("hrs_")]
+    panel, made = facility_days(spark, inputs), panel_of(spark.read.parquet(path))
+    assert made.dtypes == panel.dtypes and made.exceptAll(panel).isEmpty() and panel.exceptAll(made).isEmpty() and not panel.isEmpty()
+
+
+def test_decimal_sums_of_noisy_doubles(spark):
+    """Sums of hours are a little off their decimals; they add up as the decimals do, without going through them."""
+    rows = spark.range(20000).select((F.col("id") % 7).alias("g"), (F.col("id") * 0.1 + (F.col("id") % 13) * 0.07 - 500).alias("v"))
+    got = rows.groupBy("g").agg(decimal_sum("v").alias("n"), F.sum(F.col("v").cast(SUM_TYPE)).alias("o"))
+    assert got.where("NOT n <=> o").collect() == [] and got.count() == 7
+    scaled = F.col("v") * 1e6  # next to no tie, so no row takes the decimal way
+    assert rows.where(F.abs(scaled - F.rint(scaled)) >= 0.4999).isEmpty() and not rows.where(F.rint(scaled) / 1e6 != F.col("v")).isEmpty()
+
+
+def test_state_months_add_up_without_a_row_a_provider(spark):
+    """Providers are counted once, nulls not at all; no exchange by provider carries more than its key and its days."""
+    rows = [("A", 2024, 4, "p1", "n", 2, 5.0, 0), ("A", 2024, 4, "p1", "m", 3, 7.0, 1), ("A", 2024, 4, "p2", "n", 1, 1.0, 0),
+            ("A", 2024, 4, None, "n", 4, 2.0, 4), ("A", 2024, 5, "p1", "n", 1, 9.0, 1), (None, None, None, "p3", "n", 6, 3.0, 6)]
+    state = spark.createDataFrame(rows, "state string, year int, month int, provnum string, provname string, n long, max_ratio double, c_n long")
+    out = quarter_state._by_state_month(state)
+    got = {(r.state, r.year, r.month): (r.providers, r.c_providers, r.n, r.max_ratio, r.c_n) for r in out.collect()}
+    assert got == {("A", 2024, 4): (2, 1, 10, 7.0, 5), ("A", 2024, 5): (1, 1, 1, 9.0, 1), (None, None, None): (1, 1, 6, 3.0, 6)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    by_provider = [x for x in plan.splitlines() if "Aggregate [" in x and "provnum" in x.split("]")[0]]
+    assert len(by_provider) == 1 and "max_ratio" not in by_provider[0]
